@@ -15,8 +15,11 @@ import gzip
 import os
 import struct
 import uuid
+from collections import defaultdict
 from typing import Iterator
 
+import numpy as np
+
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage,
 )
@@ -56,6 +59,29 @@ def masked_crc(data: bytes) -> int:
     return (((c >> 15) | (c << 17)) + _MASK_DELTA) & 0xFFFFFFFF
 
 
+_NP_TABLE = np.array(_TABLE, dtype=np.uint32)
+
+
+def masked_crcs(chunks: list) -> np.ndarray:
+    """Masked CRC-32C of many byte strings at once: strings of equal length
+    are stacked and the table step runs column by column over all of them."""
+    out = np.empty(len(chunks), dtype=np.uint32)
+    groups = defaultdict(list)
+    for i, c in enumerate(chunks):
+        groups[len(c)].append(i)
+    for length, idx in groups.items():
+        crc = np.full(len(idx), 0xFFFFFFFF, dtype=np.uint32)
+        if length:
+            arr = np.frombuffer(b"".join(chunks[i] for i in idx), dtype=np.uint8)
+            arr = arr.reshape(len(idx), length)
+            for j in range(length):
+                crc = _NP_TABLE[(crc ^ arr[:, j]) & 0xFF] ^ (crc >> np.uint32(8))
+        crc ^= np.uint32(0xFFFFFFFF)
+        rot = (crc >> np.uint32(15)) | (crc << np.uint32(17))
+        out[np.asarray(idx)] = rot + np.uint32(_MASK_DELTA)
+    return out
+
+
 # ---------------------------------------------------------------- protobuf
 def _varint(n: int) -> bytes:
     n &= (1 << 64) - 1
@@ -179,6 +205,41 @@ def write_record(fh, payload: bytes) -> None:
              + struct.pack("<I", masked_crc(payload)))
 
 
+def write_records(fh, payloads: list) -> None:
+    """Frame and write a chunk of records with vectorised checksums."""
+    heads = [struct.pack("<Q", len(p)) for p in payloads]
+    hc, pc = masked_crcs(heads), masked_crcs(payloads)
+    fh.write(b"".join(h + struct.pack("<I", int(a)) + p + struct.pack("<I", int(b))
+                      for h, a, p, b in zip(heads, hc, payloads, pc)))
+
+
+def read_record_chunks(fh, chunk: int = 4096, verify: bool = True) -> Iterator[list]:
+    """Yield lists of payloads; checksums verified a chunk at a time."""
+    heads, hcs, payloads, pcs = [], [], [], []
+    while True:
+        head = fh.read(12)
+        if head:
+            if len(head) < 12:
+                raise ValueError("truncated TFRecord header")
+            length = struct.unpack("<Q", head[:8])[0]
+            payload = fh.read(length)
+            tail = fh.read(4)
+            if len(payload) < length or len(tail) < 4:
+                raise ValueError("truncated TFRecord record")
+            heads.append(head[:8])
+            hcs.append(struct.unpack("<I", head[8:])[0])
+            payloads.append(payload)
+            pcs.append(struct.unpack("<I", tail)[0])
+        if payloads and (not head or len(payloads) >= chunk):
+            if verify and (np.any(masked_crcs(heads) != np.asarray(hcs, dtype=np.uint32))
+                           or np.any(masked_crcs(payloads) != np.asarray(pcs, dtype=np.uint32))):
+                raise ValueError("TFRecord checksum mismatch")
+            yield payloads
+            heads, hcs, payloads, pcs = [], [], [], []
+        if not head:
+            return
+
+
 def read_records(fh, verify: bool = True) -> Iterator[bytes]:
     while True:
         head = fh.read(12)
@@ -197,6 +258,17 @@ def read_records(fh, verify: bool = True) -> Iterator[bytes]:
 
 
 # ---------------------------------------------------------------- Spark glue
+def local_path(path: str) -> str:
+    """``file:`` URIs -> POSIX paths. The Python writer and reader open files
+    with the OS, so other schemes need the store mounted on every node."""
+    from urllib.parse import urlparse
+
+    u = urlparse(path)
+    if u.scheme in ("", "file"):
+        return u.path if u.scheme else path
+    raise ValueError(f"tfrecord needs a path on a shared POSIX mount, got {path!r}")
+
+
 _INTS = (ByteType, ShortType, IntegerType, LongType, BooleanType)
 _FLOATS = (FloatType, DoubleType)
 
@@ -221,9 +293,9 @@ class _Commit(WriterCommitMessage):
 class TFRecordWriter(DataSourceWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool):
         self.schema = schema
-        self.path = options.get("path")
-        if not self.path:
+        if not options.get("path"):
             raise ValueError("tfrecord writer needs a path")
+        self.path = local_path(options.get("path"))
         self.level = int(options.get("compressionLevel", "6"))
         self.overwrite = overwrite
 
@@ -234,19 +306,26 @@ class TFRecordWriter(DataSourceWriter):
         os.makedirs(self.path, exist_ok=True)
         target = os.path.join(self.path, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.tfrecord.gz")
         tmp = target + ".inprogress"
-        kinds = [(f.name, _kind(f.dataType), isinstance(f.dataType, ArrayType))
-                 for f in self.schema.fields]
+        kinds = [(i, f.name, _kind(f.dataType), isinstance(f.dataType, ArrayType))
+                 for i, f in enumerate(self.schema.fields)]
         n = 0
+        buf = []
         with gzip.open(tmp, "wb", compresslevel=self.level) as fh:
             for row in iterator:
                 feats = {}
-                for name, kind, is_list in kinds:
-                    v = row[name]
+                for i, name, kind, is_list in kinds:
+                    v = row[i]
                     if v is None:
                         continue
                     feats[name] = (kind, list(v) if is_list else [v])
-                write_record(fh, encode_example(feats))
-                n += 1
+                buf.append(encode_example(feats))
+                if len(buf) >= 4096:
+                    write_records(fh, buf)
+                    n += len(buf)
+                    buf = []
+            if buf:
+                write_records(fh, buf)
+                n += len(buf)
         os.replace(tmp, target)
         return _Commit(target, n)
 
@@ -269,7 +348,7 @@ class TFRecordWriter(DataSourceWriter):
 class TFRecordReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
-        self.path = options.get("path")
+        self.path = local_path(options.get("path"))
         self.verify = options.get("verifyChecksums", "true").lower() == "true"
 
     def partitions(self):
@@ -278,21 +357,27 @@ class TFRecordReader(DataSourceReader):
         return [InputPartition(f) for f in files]
 
     def read(self, partition):
+        """Yields Arrow record batches (one per chunk of records)."""
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         fields = [(f.name, f.dataType) for f in self.schema.fields]
+        arrow_schema = to_arrow_schema(self.schema)
         opener = gzip.open if partition.value.endswith(".gz") else open
         with opener(partition.value, "rb") as fh:
-            for payload in read_records(fh, self.verify):
-                ex = decode_example(payload)
-                out = []
-                for name, dt in fields:
-                    vals = ex.get(name)
-                    if vals is None:
-                        out.append(None)
-                    elif isinstance(dt, ArrayType):
-                        out.append([_convert(v, dt.elementType) for v in vals])
-                    else:
-                        out.append(_convert(vals[0], dt) if vals else None)
-                yield tuple(out)
+            for payloads in read_record_chunks(fh, verify=self.verify):
+                cols = {name: [] for name, _ in fields}
+                for payload in payloads:
+                    ex = decode_example(payload)
+                    for name, dt in fields:
+                        vals = ex.get(name)
+                        if vals is None:
+                            cols[name].append(None)
+                        elif isinstance(dt, ArrayType):
+                            cols[name].append([_convert(v, dt.elementType) for v in vals])
+                        else:
+                            cols[name].append(_convert(vals[0], dt) if vals else None)
+                yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
 
 
 def _convert(v, dt):
