@@ -31,6 +31,24 @@ def fit_index(df: DataFrame, col: str, start: int = 0, value: str = "value",
     return with_row_index(vals, [value], name=id_col, start=start)
 
 
+def fit_indexes(df: DataFrame, cols, start: int = 0) -> DataFrame:
+    """I1 for several columns in one pass: (column, value, id), ids dense
+    from ``start`` per column in byte order of the value. All vocabularies
+    share one distributed index (one range shuffle, one checkpoint); each
+    column's ids are its global index minus the column's first index (a
+    per-column minimum: as many rows as columns, so broadcast)."""
+    cols = list(cols)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                         F.col(c).cast("string").alias("value"))
+                                for c in cols])).alias("_kv")
+    stacked = (df.select(pairs).select("_kv.*").where(F.col("value").isNotNull()).distinct())
+    idx = with_row_index(stacked, ["column", "value"], name="_gidx")
+    first = idx.groupBy("column").agg(F.min("_gidx").alias("_first"))
+    return (idx.join(F.broadcast(first), "column")
+               .select("column", "value",
+                       (F.col("_gidx") - F.col("_first") + F.lit(start)).alias("id")))
+
+
 def encode_column(df: DataFrame, col: str, dtype: str, mapping: DataFrame | None = None) -> tuple:
     """One categorical column: blank -> "unknown" -> id (0-based), typed.
     Returns (encoded frame, mapping)."""
@@ -40,10 +58,16 @@ def encode_column(df: DataFrame, col: str, dtype: str, mapping: DataFrame | None
 
 
 def encode_categoricals(df: DataFrame, cols=tuple(CATEGORY_COLUMNS)) -> tuple:
-    """Encode every categorical column; returns (frame, {col: mapping})."""
+    """Blank -> "unknown" -> 0-based id for every categorical column,
+    typed per column; returns (frame, {col: mapping(value, id)})."""
+    cols = list(cols)
+    for col, _ in cols:
+        df = df.withColumn(col, blank_to_unknown(col))
+    all_maps = fit_indexes(df, [c for c, _ in cols], start=0)
     maps = {}
     for col, dtype in cols:
-        df, maps[col] = encode_column(df, col, dtype)
+        maps[col] = all_maps.where(F.col("column") == col).select("value", "id")
+        df = lookup(df, col, maps[col], default=None, dtype=dtype)
     return df, maps
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recprep.operators.joins import maybe_broadcast
+
 # The ranking example layout written by the reference.
 RANKING_COLUMNS = [
     "user_id", "item_id", "language", "is_ebook", "format", "publisher",
@@ -15,14 +17,17 @@ POSITIVE_RATING = 4
 
 
 def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
-                       hi: int | None = 250) -> DataFrame:
+                       hi: int | None = 250, broadcast_rows: int | None = None) -> DataFrame:
     """B1: keep keys with ``lo..hi`` rows (inclusive; either bound optional).
 
     Counted with a group-by (map-side partial counts, so a key holding a
-    third of the rows costs one small partial per task), then a left-semi
-    join back. AQE splits a hot key's partition on the join side
-    (``skewJoin``), and the semi join drops such a key before any per-user
-    window runs.
+    third of the rows costs one small partial per task). The kept keys are
+    then semi-joined back. When their number is under the broadcast bound
+    (counted, not assumed) the semi join is a map-side broadcast filter: a
+    hot key above ``hi`` is dropped where it is read and never reaches a
+    shuffle, and every later per-key shuffle sees groups of at most ``hi``
+    rows. Above the bound it is a shuffle semi join (AQE splits skewed
+    partitions where the plan allows).
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_act_n"))
     cond = F.lit(True)
@@ -30,7 +35,8 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
         cond = cond & (F.col("_act_n") >= lo)
     if hi is not None:
         cond = cond & (F.col("_act_n") <= hi)
-    return df.join(counts.where(cond).select(key), key, "left_semi")
+    keep = maybe_broadcast(counts.where(cond).select(key), max_rows=broadcast_rows)
+    return df.join(keep, key, "left_semi")
 
 
 def binarize(df: DataFrame, col: str = "rating", threshold: int = POSITIVE_RATING,

@@ -82,8 +82,18 @@ def running_sum(df: DataFrame, order, value: str, name: str = "running",
              .drop(_PID, _LOCAL, _OFF))
 
 
+DEFAULT_WINDOW_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, keys) -> int:
+    """Row count of the largest key group (partial aggregate + max)."""
+    keys = _cols(keys)
+    m = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_g")).agg(F.max("_g")).first()[0]
+    return int(m or 0)
+
+
 def rank_within(df: DataFrame, keys, order, pos: str = "pos", size: str = "n",
-                method: str = "window") -> DataFrame:
+                method: str = "auto") -> DataFrame:
     """0-based position of each row inside its key group, plus the group size.
 
     ``method="window"``: one hash exchange on the keys; each group is held by
@@ -92,8 +102,14 @@ def rank_within(df: DataFrame, keys, order, pos: str = "pos", size: str = "n",
     ``method="global"``: a global range sort on (keys, order) splits a hot key
     over many tasks; the position is the global index minus the group's first
     index (a partial aggregate). Safe for a key holding a third of all rows.
+    ``method="auto"`` measures the largest group and uses the window path
+    only under ``recprep.window.maxGroupRows`` (default 5M rows).
     """
     keys, order = _cols(keys), _cols(order)
+    if method == "auto":
+        conf = df.sparkSession.conf.get("recprep.window.maxGroupRows", None)
+        bound = int(conf) if conf else DEFAULT_WINDOW_GROUP_ROWS
+        method = "window" if largest_group(df, keys) <= bound else "global"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return (df.withColumn(pos, F.row_number().over(w) - 1)

@@ -39,7 +39,7 @@ def sort_within(df: DataFrame, key: str, col: str, pos: str = "pos",
 
 
 def split_by_ratio(df: DataFrame, key: str, order, ratio: float = 0.8,
-                   split_col: str = "split", method: str = "window") -> DataFrame:
+                   split_col: str = "split", method: str = "auto") -> DataFrame:
     """First ``ceil(n * ratio)`` rows of each key (in ``order``) are
     ``train``, the rest ``eval``; one pass tags both instead of two scans."""
     if not 0.0 <= ratio <= 1.0:
@@ -52,7 +52,7 @@ def split_by_ratio(df: DataFrame, key: str, order, ratio: float = 0.8,
 
 
 def split_leave_last(df: DataFrame, key: str, order, k: int = 2, role_col: str = "role",
-                     pos: str = "pos", size: str = "n", method: str = "window") -> DataFrame:
+                     pos: str = "pos", size: str = "n", method: str = "auto") -> DataFrame:
     """E4 (row form): all but the last ``k`` rows are ``train``; of the last
     two, the earlier is ``eval`` and the last is ``test``. Keeps ``pos`` and
     the group size ``n`` for the sequence operators."""

@@ -72,8 +72,13 @@ def feature_null_check(features: DataFrame) -> DataFrame:
 
 
 def ranking_examples(interactions: DataFrame, features: DataFrame, lo: int = 10,
-                     hi: int = 250, ratio: float = 0.8, method: str = "window") -> DataFrame:
-    """Minimum slice: labelled, split, feature-joined examples (one pass)."""
+                     hi: int | None = 250, ratio: float = 0.8, method: str | None = None) -> DataFrame:
+    """Minimum slice: labelled, split, feature-joined examples (one pass).
+
+    With an upper activity bound every user group has at most ``hi`` rows,
+    so the split is a per-user window; without one the rank method is
+    chosen from the measured largest group."""
+    method = method or ("window" if hi is not None else "auto")
     data = filter_by_activity(interactions, "user_id", lo, hi)
     data = binarize(data, "rating", 4, "label")
     data = split_by_ratio(data, "user_id", ["book_id"], ratio, method=method)

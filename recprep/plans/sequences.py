@@ -38,9 +38,12 @@ class SequenceData:
     total: int
 
 
-def prepare(interactions: DataFrame, lo: int = MIN_INTERACTIONS, hi: int = MAX_INTERACTIONS,
-            method: str = "window") -> SequenceData:
-    """Filter, re-index and split; the shared front of both sets."""
+def prepare(interactions: DataFrame, lo: int = MIN_INTERACTIONS, hi: int | None = MAX_INTERACTIONS,
+            method: str | None = None) -> SequenceData:
+    """Filter, re-index and split; the shared front of both sets. Groups are
+    bounded by ``hi``, so the split is a per-user window (``auto`` without
+    an upper bound)."""
+    method = method or ("window" if hi is not None else "auto")
     data = filter_by_activity(interactions.select("user_id", "book_id"), "user_id", lo, hi)
     ids = reindex_ids(data, "user_id", "book_id")
     rows = split_leave_last(ids["data"], "user_id", ["book_id"], method=method)
