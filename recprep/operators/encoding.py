@@ -38,8 +38,10 @@ def fit_indexes(df: DataFrame, cols, start: int = 0) -> DataFrame:
     column's ids are its global index minus the column's first index (a
     per-column minimum: as many rows as columns, so broadcast)."""
     cols = list(cols)
+    types = {dict(df.dtypes)[c] for c in cols}
+    vtype = types.pop() if len(types) == 1 else "string"   # keep numeric order
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
-                                         F.col(c).cast("string").alias("value"))
+                                         F.col(c).cast(vtype).alias("value"))
                                 for c in cols])).alias("_kv")
     stacked = (df.select(pairs).select("_kv.*").where(F.col("value").isNotNull()).distinct())
     idx = with_row_index(stacked, ["column", "value"], name="_gidx")
@@ -78,8 +80,9 @@ def reindex_ids(df: DataFrame, user: str = "user_id", item: str = "book_id") ->
     "mask_id"}``; ``mask_id = n_items + 1`` (vocabulary ``n_items + 2``).
     Counts are the only driver values.
     """
-    user_map = fit_index(df, user, start=1)
-    item_map = fit_index(df, item, start=1)
+    both = fit_indexes(df, [user, item], start=1)
+    user_map = both.where(F.col("column") == user).select("value", "id")
+    item_map = both.where(F.col("column") == item).select("value", "id")
     n_users, n_items = user_map.count(), item_map.count()
     data = lookup(df, user, user_map, default=PAD_ID, dtype="int")
     data = lookup(data, item, item_map, default=PAD_ID, dtype="int")

@@ -44,6 +44,18 @@ def _sorted_layout(df: DataFrame, order: Sequence, num_partitions: int | None) -
     return materialize(s)
 
 
+def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Hash-spread a small driving table before an explode that multiplies
+    its rows (draws, candidate lists). AQE sizes post-shuffle partitions by
+    input bytes and would otherwise fold a tiny per-user table -- and every
+    row it explodes into -- into one task. Round-robin with an explicit
+    count: a hash repartition on keys the child is already partitioned by
+    would be dropped by the planner, and AQE does not coalesce an explicit
+    count."""
+    n = _partitions(df, num_partitions)
+    return df.repartition(n)
+
+
 def with_row_index(df: DataFrame, order, name: str = "row_idx", start: int = 0,
                    num_partitions: int | None = None) -> DataFrame:
     """K2: add a dense ``start``-based index in ``order``.

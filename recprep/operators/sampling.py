@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from recprep.functions.random import uniform
 from recprep.operators.aggregates import popularity_rank
-from recprep.operators.indexing import running_sum
+from recprep.operators.indexing import running_sum, spread
 from recprep.operators.joins import maybe_broadcast
 
 
@@ -59,8 +59,8 @@ def popularity_draws(users: DataFrame, table: PopularityTable, seed: int, key: s
                      m_col: str = "m", round_no: int = 0, draw: str = "draw") -> DataFrame:
     """``m`` weighted draws (with replacement) per user ->
     (user, draw, item). ``users`` holds the key and the draw count ``m``."""
-    d = (users.where(F.col(m_col) > 0)
-              .select(key, F.explode(F.sequence(F.lit(0), F.col(m_col) - 1)).alias(draw)))
+    d = (spread(users.where(F.col(m_col) > 0))
+         .select(key, F.explode(F.sequence(F.lit(0), F.col(m_col) - 1)).alias(draw)))
     r = F.floor(uniform(seed, round_no, key, draw) * F.lit(float(table.total))).cast("bigint")
     d = d.withColumn("_r", r).withColumn("bucket", F.floor(F.col("_r") / table.width))
     buckets = maybe_broadcast(table.ranges.select(table.item, "start", "end", "bucket"),
@@ -88,7 +88,8 @@ def _fill_popular(users: DataFrame, chosen: DataFrame, excluded: DataFrame | Non
     short = short.where(F.col("_have") < k)
     npos = F.col(npos_col) if npos_col else F.lit(0)
     span = F.least(F.lit(k) + npos, F.lit(table.n_items))
-    cand = short.select(key, "_have", F.explode(F.sequence(F.lit(1), span)).alias("pop_rank"))
+    cand = spread(short).select(key, "_have",
+                                     F.explode(F.sequence(F.lit(1), span)).alias("pop_rank"))
     ranked = maybe_broadcast(table.ranked.select(item, "pop_rank"), known_rows=table.n_items)
     cand = cand.join(ranked, "pop_rank")
     if excluded is not None:

@@ -22,4 +22,4 @@ def repeat_epochs(df: DataFrame, n: int, name: str = "epoch") -> DataFrame:
     """The data set repeated ``n`` times, tagged 1..n (finite only)."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    return df.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(n))))
+    return df.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(n))))  # narrow: keeps input splits

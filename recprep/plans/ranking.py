@@ -16,6 +16,7 @@ from recprep.operators.encoding import CATEGORY_COLUMNS, encode_categoricals
 from recprep.operators.filters import RANKING_COLUMNS, binarize, filter_by_activity
 from recprep.operators.joins import attach_features, attach_internal_id
 from recprep.operators.windows import split_by_ratio
+from recprep.session import materialize
 
 CONTINUOUS_COLUMNS = ["avg_rating", "num_pages"]
 
@@ -56,7 +57,9 @@ def build_item_features(book_map: DataFrame, books: DataFrame, user_map: DataFra
     b, maps = encode_categoricals(b, CATEGORY_COLUMNS)
     for c in CONTINUOUS_COLUMNS:
         b = minmax_scale(b, c)
-    feats = attach_internal_id(book_map, b, on="book_original_id")
+    # item table: small next to the interactions and reused by the size
+    # check and the join, so it is computed once
+    feats = materialize(attach_internal_id(book_map, b, on="book_original_id"))
     sizes = {}
     if user_map is not None:
         sizes["user"] = (user_map, None)

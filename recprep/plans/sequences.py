@@ -22,6 +22,7 @@ from recprep.operators.sequences import (
     candidate_lists, eval_sequences, mask_tokens, sliding_sequences,
 )
 from recprep.operators.windows import EVAL, TEST, TRAIN, split_leave_last
+from recprep.session import materialize
 
 # The reference's sequence settings.
 MIN_INTERACTIONS, MAX_INTERACTIONS = 20, 200
@@ -44,10 +45,13 @@ def prepare(interactions: DataFrame, lo: int = MIN_INTERACTIONS, hi: int | None
     bounded by ``hi``, so the split is a per-user window (``auto`` without
     an upper bound)."""
     method = method or ("window" if hi is not None else "auto")
-    data = filter_by_activity(interactions.select("user_id", "book_id"), "user_id", lo, hi)
+    # the filtered pairs feed two vocabularies, counts and the split: read
+    # and filter the input once, then work from the checkpoint
+    data = materialize(filter_by_activity(interactions.select("user_id", "book_id"),
+                                          "user_id", lo, hi))
     ids = reindex_ids(data, "user_id", "book_id")
-    rows = split_leave_last(ids["data"], "user_id", ["book_id"], method=method)
-    total = ids["data"].count()
+    rows = materialize(split_leave_last(ids["data"], "user_id", ["book_id"], method=method))
+    total = rows.count()
     return SequenceData(rows, ids["n_users"], ids["n_items"], ids["mask_id"], total)
 
 
