@@ -38,6 +38,20 @@ def continuous_stats(df: DataFrame, col: str, max_valid: float = 2000.0,
                     F.round(med, 4).alias("median"))
 
 
+def continuous_stats_many(df: DataFrame, cols, max_valid: float = 2000.0,
+                          exact: bool = True, accuracy: int = 100000) -> dict:
+    """D2 for several columns in one aggregate job -> {col: (min, max, median)}."""
+    aggs = []
+    for c in cols:
+        v = F.when(F.col(c) != "", F.col(c).try_cast("float")).cast("double")
+        v = F.when(v <= max_valid, v)
+        med = F.median(v) if exact else F.percentile_approx(v, 0.5, accuracy)
+        aggs += [F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max"),
+                 F.round(med, 4).alias(f"{c}__med")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"{c}__min"], row[f"{c}__max"], row[f"{c}__med"]) for c in cols}
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """D3 / G1: distinct values (a shuffle with partial de-duplication)."""
     return df.select(col).distinct()

@@ -66,10 +66,15 @@ def encode_categoricals(df: DataFrame, cols=tuple(CATEGORY_COLUMNS)) -> tuple:
     for col, _ in cols:
         df = df.withColumn(col, blank_to_unknown(col))
     all_maps = fit_indexes(df, [c for c, _ in cols], start=0)
+    # vocabulary sizes in one small job (one row per column); they bound
+    # each mapping's broadcast
+    sizes = {r["column"]: r["n"] for r in
+             all_maps.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     maps = {}
     for col, dtype in cols:
         maps[col] = all_maps.where(F.col("column") == col).select("value", "id")
-        df = lookup(df, col, maps[col], default=None, dtype=dtype)
+        df = lookup(df, col, maps[col], default=None, dtype=dtype,
+                    known_rows=sizes.get(col, 0))
     return df, maps
 
 

@@ -51,12 +51,13 @@ def attach_labels(rows: DataFrame, interactions: DataFrame, on=("user_id", "book
 
 def lookup(df: DataFrame, col: str, mapping: DataFrame, key: str = "value",
            value: str = "id", default=None, out: str | None = None,
-           dtype: str | None = None) -> DataFrame:
+           dtype: str | None = None, known_rows: int | None = None) -> DataFrame:
     """C4: dictionary replace through a join on a mapping table; unmapped ->
-    ``default`` (null unless given)."""
+    ``default`` (null unless given). The mapping is broadcast only under the
+    row bound (``known_rows`` skips the count when the size is known)."""
     out = out or col
     m = mapping.select(F.col(key).alias("_lk_key"), F.col(value).alias("_lk_val"))
-    res = df.join(maybe_broadcast(m), df[col] == F.col("_lk_key"), "left")
+    res = df.join(maybe_broadcast(m, known_rows=known_rows), df[col] == F.col("_lk_key"), "left")
     v = F.col("_lk_val") if default is None else F.coalesce(F.col("_lk_val"), F.lit(default))
     if dtype:
         v = v.cast(dtype)

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.functions.scalar import OUTLIER_LIMIT, clip_outlier_to, decade_of, impute_blank
-from recprep.operators.aggregates import cardinalities, continuous_stats, null_counts
+from recprep.operators.aggregates import (
+    cardinalities, continuous_stats, continuous_stats_many, null_counts,
+)
 from recprep.operators.encoding import CATEGORY_COLUMNS, encode_categoricals
 from recprep.operators.filters import RANKING_COLUMNS, binarize, filter_by_activity
 from recprep.operators.joins import attach_features, attach_internal_id
@@ -33,14 +35,17 @@ def project_books(books: DataFrame) -> DataFrame:
     )
 
 
-def minmax_scale(df: DataFrame, col: str, max_valid: float = OUTLIER_LIMIT) -> DataFrame:
+def minmax_scale(df: DataFrame, col: str, max_valid: float = OUTLIER_LIMIT,
+                 stats: tuple | None = None) -> DataFrame:
     """H5: blank -> median, outlier -> median, then (x - min) / (max - min).
 
-    Stats are one aggregate row fetched as three scalars; min == max gives
-    null (``try_divide``) instead of a division error.
+    Stats are one aggregate row fetched as three scalars (or passed in);
+    min == max gives null (``try_divide``) instead of a division error.
     """
-    st = continuous_stats(df, col, max_valid).first()
-    lo, hi, med = st["min"], st["max"], st["median"]
+    if stats is None:
+        st = continuous_stats(df, col, max_valid).first()
+        stats = (st["min"], st["max"], st["median"])
+    lo, hi, med = stats
     if lo is None:
         return df.withColumn(col, F.lit(None).cast("float"))
     med_f = F.lit(med).cast("float")
@@ -54,9 +59,10 @@ def build_item_features(book_map: DataFrame, books: DataFrame, user_map: DataFra
     """I4: item feature table keyed by the internal ``book_id`` plus the
     cardinality table (D8). Returns ``(features, size_map)``."""
     b = project_books(books).withColumn("pub_decade", decade_of("pub_year")).drop("pub_year")
+    stats = continuous_stats_many(b, CONTINUOUS_COLUMNS)   # one job, raw strings
     b, maps = encode_categoricals(b, CATEGORY_COLUMNS)
     for c in CONTINUOUS_COLUMNS:
-        b = minmax_scale(b, c)
+        b = minmax_scale(b, c, stats=stats[c])
     # item table: small next to the interactions and reused by the size
     # check and the join, so it is computed once
     feats = materialize(attach_internal_id(book_map, b, on="book_original_id"))
