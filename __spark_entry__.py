@@ -66,7 +66,9 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 
 def _r6(col: str) -> F.Column:
-    return F.round(F.col(col).cast("double"), 6).alias(col)
+    """Round to 6 digits; a rounded zero is always +0.0 (no signed zero)."""
+    r = F.round(F.col(col).cast("double"), 6)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r).alias(col)
 
 
 # --------------------------------------------------------------------------
@@ -86,6 +88,11 @@ def q_ranking_examples(spark: SparkSession, sf: str) -> DataFrame:
                      _r6("avg_rating"), _r6("num_pages"))
 
 
+def _r6c(c: F.Column, name: str) -> F.Column:
+    r = F.round(c.cast("double"), 6)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r).alias(name)
+
+
 def _arr(col: str) -> F.Column:
     """Array column as a comma-joined string (engine-neutral for the hash)."""
     return F.array_join(F.col(col).cast("array<string>"), ",").alias(col)
@@ -307,17 +314,24 @@ def q_m2_assemble_item_vector(spark, sf):
     return v.select("book_id", F.size("item_vec").alias("dim"), F.round(total, 6).alias("total"))
 
 
-def q_m4_tower_transform(spark, sf):
+def _tower_weights(dim: int = 64, width: int = 16):
+    """Fixed caller-supplied weights for the M4 query (seeded; a parameter
+    of the query, not data)."""
     import numpy as np
+    rng = np.random.default_rng(0)
+    return (rng.normal(0, dim ** -0.5, (dim, width)), rng.normal(0, 0.1, width),
+            rng.normal(0, width ** -0.5, (width, width)), rng.normal(0, 0.1, width))
+
+
+def q_m4_tower_transform(spark, sf):
     emb, n = _vectors(spark, sf)
     users = fx.interactions(spark, sf).select("user_id").distinct() \
               .withColumn("vec_id", F.pmod("user_id", F.lit(n)))
     users = embedding_lookup(users, "vec_id", emb, out="vec", table_rows=n)
-    rng = np.random.default_rng(0)
-    dim = 64
-    w = (rng.normal(0, dim ** -0.5, (dim, 16)), np.zeros(16),
-         rng.normal(0, 16 ** -0.5, (16, 16)), np.zeros(16))
-    return tower_transform(users, "vec", w).select("user_id", "tower")
+    out = tower_transform(users, "vec", _tower_weights())
+    total = F.aggregate("tower", F.lit(0.0), lambda a, x: a + x)
+    return out.select("user_id", F.size("tower").alias("dim"), _r6c(total, "tower_sum"),
+                      _r6c(F.get("tower", 0), "tower_first"))
 
 
 def q_m5_score_candidates(spark, sf):
@@ -992,6 +1006,11 @@ SELECT round(sum(t), 6) AS roc_auc FROM terms"""
 NVEC = "(SELECT count(*) FROM embeddings)"
 
 
+def _r6sql(expr: str) -> str:
+    """round(expr, 6) with signed zero folded to +0.0, as ``_r6`` does."""
+    return f"(CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END)"
+
+
 def _dot_sql(u: str, v: str) -> str:
     return (f"list_reduce(list_transform(range(1, len({u}) + 1), "
             f"lambda i: CAST({u}[i] AS DOUBLE) * CAST({v}[i] AS DOUBLE)), lambda a, b: a + b)")
@@ -1005,7 +1024,7 @@ SELECT m.book_id, CAST(len(e.embedding) AS INT) AS dim,
 FROM book_id_map m LEFT JOIN embeddings e ON e.vec_id = m.book_id % """ + NVEC
 
 M3_SQL = "WITH " + FIX_INTERACTIONS + """
-SELECT i.user_id, i.book_id, round(""" + _dot_sql("u.embedding", "v.embedding") + """, 6) AS logit
+SELECT i.user_id, i.book_id, """ + _r6sql(_dot_sql("u.embedding", "v.embedding")) + """ AS logit
 FROM interactions i
 LEFT JOIN embeddings u ON u.vec_id = i.user_id % """ + NVEC + """
 LEFT JOIN embeddings v ON v.vec_id = i.book_id % """ + NVEC
@@ -1173,6 +1192,53 @@ SELECT u.user_id, coalesce(dl.difference, '') AS difference
 FROM nusers u LEFT JOIN dl ON u.user_id = dl.user_id"""
 
 
+M5_SQL = SCORED + """,
+hist AS (SELECT user_id, p, item FROM (
+           SELECT user_id, generate_subscripts(eval_seqs, 1) AS p, unnest(eval_seqs) AS item
+           FROM eseq) t, consts c
+         WHERE item <> 0 AND item <> c.mask_id),
+hv AS (SELECT h.user_id, list(e.embedding ORDER BY h.p) AS vecs
+       FROM hist h JOIN embeddings e ON e.vec_id = h.item % """ + NVEC + """
+       GROUP BY h.user_id),
+uv AS (SELECT user_id,
+              list_transform(range(1, len(vecs[1]) + 1),
+                lambda d: list_reduce(list_transform(vecs, lambda v: CAST(v[d] AS DOUBLE)),
+                                      lambda a, b: a + b) / len(vecs)) AS u
+       FROM hv)
+SELECT s.user_id, s.position, s.item,
+       """ + _r6sql(_dot_sql("uv.u", "e.embedding")) + """ AS score
+FROM scored0 s LEFT JOIN uv ON s.user_id = uv.user_id
+LEFT JOIN embeddings e ON e.vec_id = s.item % """ + NVEC
+
+
+def _m4_sql() -> str:
+    w1, b1, w2, b2 = _tower_weights()
+    rows = lambda vals: ", ".join(vals)
+    w1v = rows(f"({i}, {j}, {float(w1[i, j])!r})" for i in range(w1.shape[0]) for j in range(w1.shape[1]))
+    b1v = rows(f"({j}, {float(b1[j])!r})" for j in range(b1.shape[0]))
+    w2v = rows(f"({j}, {k}, {float(w2[j, k])!r})" for j in range(w2.shape[0]) for k in range(w2.shape[1]))
+    b2v = rows(f"({k}, {float(b2[k])!r})" for k in range(b2.shape[0]))
+    out = "o"
+    return "WITH " + FIX_INTERACTIONS + f""",
+w1(i, j, w) AS (VALUES {w1v}),
+b1(j, b) AS (VALUES {b1v}),
+w2(j, k, w) AS (VALUES {w2v}),
+b2(k, b) AS (VALUES {b2v}),
+u AS (SELECT DISTINCT user_id FROM interactions),
+x AS (SELECT user_id, i, xv FROM (
+        SELECT u.user_id, generate_subscripts(e.embedding, 1) - 1 AS i, unnest(e.embedding) AS xv
+        FROM u JOIN embeddings e ON e.vec_id = u.user_id % """ + NVEC + f""") t),
+h AS (SELECT x.user_id, w1.j, sum(CAST(x.xv AS DOUBLE) * w1.w) + any_value(b1.b) AS h
+      FROM x JOIN w1 ON w1.i = x.i JOIN b1 ON b1.j = w1.j GROUP BY x.user_id, w1.j),
+a AS (SELECT user_id, j, h / (1.0 + exp(-h)) AS a FROM h),
+o AS (SELECT a.user_id, w2.k, sum(a.a * w2.w) + any_value(b2.b) AS {out}
+      FROM a JOIN w2 ON w2.j = a.j JOIN b2 ON b2.k = w2.k GROUP BY a.user_id, w2.k)
+SELECT user_id, CAST(count(*) AS INT) AS dim,
+       {_r6sql("list_reduce(list(o ORDER BY k), lambda p, q: p + q)")} AS tower_sum,
+       {_r6sql("max(CASE WHEN k = 0 THEN o END)")} AS tower_first
+FROM o GROUP BY user_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ranking_examples": RANKING_SQL,
@@ -1223,6 +1289,8 @@ FROM logits""",
         "m1_embedding_lookup": M1_SQL,
         "m2_assemble_item_vector": M2_SQL,
         "m3_dot_score": M3_SQL,
+        "m5_score_candidates": M5_SQL,
+        "m4_tower_transform": _m4_sql(),
         "a1_read_interactions": "WITH " + FIX_INTERACTIONS + " SELECT * FROM interactions",
         "a2_read_id_map": "WITH " + FIX_BOOK_MAP + " SELECT * FROM book_id_map",
         "a3_read_item_metadata": "WITH " + FIX_BOOKS + " SELECT * FROM books",
