@@ -26,7 +26,7 @@ from recprep.operators.sequences import (
 )
 from recprep.functions.random import uniform
 from recprep.operators.batching import (
-    assign_batches, shard_even, shard_rows, shuffle_rows, steps_frame,
+    assign_batches, shard_batches, shard_even, shard_rows, shuffle_rows, steps_frame, to_jagged,
 )
 from recprep.operators.indexing import with_row_index
 from recprep.operators.metrics import (
@@ -251,7 +251,7 @@ def q_l3_l4_ranking_metrics_ties(spark, sf):
 def q_l6_metrics_by_batch(spark, sf):
     per = ranking_metrics(_scored(spark, sf), ks=(10,), per_row=True)
     idx = with_row_index(per, ["user_id"])
-    b = (shard_rows(idx, 2).withColumn("batch_id", F.floor(F.floor(F.col("row_idx") / 2) / 16)))
+    b = shard_batches(idx, 2, 16)
     return _r6_all(metrics_by_batch(b, ["recall_10", "ndcg_10"]))
 
 
@@ -601,17 +601,12 @@ def q_g3_repeat_epochs(spark, sf):
 def q_h12_to_jagged(spark, sf):
     t = seqplan.bert_train_set(_seq_data(spark, sf))
     b = assign_batches(t, 16, order=["user_id", "window_start"])
-    rows = b.select("batch_id", "row_idx",
-                    F.filter("train_interactions", lambda x: x != 0).alias("vals"))
-    g = rows.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("row_idx", "vals"))).alias("_r"))
-    return g.select(
-        "batch_id",
-        F.size(F.flatten(F.transform("_r", lambda x: x["vals"]))).alias("n_values"),
-        F.array_join(F.transform("_r", lambda x: F.size(x["vals"]).cast("string")), ",")
-         .alias("lengths"),
-        F.array_join(F.transform(F.get(F.col("_r"), 0)["vals"], lambda v: v.cast("string")),
-                     ",").alias("first_row"))
+    j = to_jagged(b, "batch_id", "row_idx", "train_interactions")
+    return j.select(
+        "batch_id", F.size("values").alias("n_values"),
+        F.array_join(F.col("lengths").cast("array<string>"), ",").alias("lengths"),
+        F.array_join(F.slice("values", 1, F.get("lengths", 0)).cast("array<string>"), ",")
+         .alias("first_row"))
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -94,3 +94,32 @@ def steps_frame(df: DataFrame, per_device_batch: int, devices: int = 1) -> DataF
         "n_rows", F.lit(b).cast("bigint").alias("global_batch"),
         F.floor(F.col("n_rows") / b).cast("bigint").alias("steps_drop_last"),
         F.ceil(F.col("n_rows") / b).cast("bigint").alias("steps_keep_last"))
+
+
+def shard_batches(df: DataFrame, world: int, size: int, index: str = "row_idx",
+                  shard: str = "shard", batch: str = "batch_id") -> DataFrame:
+    """K4 + K3 per rank: rows dealt round-robin to ``world`` shards, then
+    batched in order inside each shard (what each rank's loader sees)."""
+    local = F.floor(F.col(index) / world)
+    return (df.withColumn(shard, (F.col(index) % world).cast("int"))
+              .withColumn(batch, F.floor(local / size).cast("bigint")))
+
+
+def to_jagged(df: DataFrame, batch: str, order: str, values: str, pad: int | None = 0) -> DataFrame:
+    """Per batch, the flat value list and per-row lengths and offsets
+    (a jagged tensor); ``pad`` values are dropped first. Each batch gathers
+    only its own rows."""
+    vals = F.filter(values, lambda x: x != F.lit(pad)) if pad is not None else F.col(values)
+    rows = df.select(batch, order, vals.alias("_v"))
+    g = rows.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct(order, "_v"))).alias("_r"))
+    lengths = F.transform("_r", lambda x: F.size(x["_v"]))
+    return g.select(
+        batch,
+        F.flatten(F.transform("_r", lambda x: x["_v"])).alias("values"),
+        lengths.alias("lengths"),
+        F.slice(F.aggregate(lengths, F.array().cast("array<int>"),
+                            lambda acc, n: F.concat(acc, F.array(
+                                F.coalesce(F.element_at(acc, -1), F.lit(0)) + n))),
+                1, F.size(lengths)).alias("_ends"),
+    ).withColumn("offsets", F.transform("_ends", lambda e, i: e - F.element_at("lengths", i + 1))) \
+     .drop("_ends")

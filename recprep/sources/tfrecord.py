@@ -83,7 +83,14 @@ def masked_crcs(chunks: list) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- protobuf
+_ONE_BYTE = [bytes([i]) for i in range(128)]
+_TAGS = {1: b"\x0a", 2: b"\x12", 3: b"\x1a"}   # field number, wire type 2
+_NAME_PREFIX: dict = {}
+
+
 def _varint(n: int) -> bytes:
+    if 0 <= n < 128:
+        return _ONE_BYTE[n]
     n &= (1 << 64) - 1
     out = bytearray()
     while True:
@@ -97,6 +104,9 @@ def _varint(n: int) -> bytes:
 
 
 def _read_varint(buf: bytes, i: int):
+    b = buf[i]
+    if b < 128:
+        return b, i + 1
     shift = result = 0
     while True:
         b = buf[i]
@@ -108,7 +118,16 @@ def _read_varint(buf: bytes, i: int):
 
 
 def _len_field(num: int, payload: bytes) -> bytes:
-    return _varint((num << 3) | 2) + _varint(len(payload)) + payload
+    tag = _TAGS.get(num) or _varint((num << 3) | 2)
+    return tag + _varint(len(payload)) + payload
+
+
+def _name_field(name: str) -> bytes:
+    """Map-entry key field for a feature name (cached per name)."""
+    got = _NAME_PREFIX.get(name)
+    if got is None:
+        got = _NAME_PREFIX[name] = _len_field(1, name.encode())
+    return got
 
 
 def _feature(kind: str, values) -> bytes:
@@ -125,7 +144,7 @@ def _feature(kind: str, values) -> bytes:
 def encode_example(features: dict) -> bytes:
     """``{name: (kind, [values])}`` -> serialized Example."""
     entries = b"".join(
-        _len_field(1, _len_field(1, name.encode()) + _len_field(2, _feature(kind, vals)))
+        _len_field(1, _name_field(name) + _len_field(2, _feature(kind, vals)))
         for name, (kind, vals) in features.items())
     return _len_field(1, entries)
 

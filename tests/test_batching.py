@@ -51,3 +51,13 @@ def test_shard_even_pads_with_first_rows(spark):
 def test_plan_steps():
     assert plan_steps(100, 32, True) == 3
     assert plan_steps(100, 32, False) == 4
+
+
+def test_to_jagged_values_lengths_offsets(spark):
+    from recprep.operators.batching import to_jagged
+    df = spark.createDataFrame([(0, 0, [5, 6, 0]), (0, 1, [7, 0, 0]), (0, 2, [8, 9, 4]),
+                                (1, 3, [1, 0, 0])], "b int, i int, v array<int>")
+    out = {r["b"]: r for r in to_jagged(df, "b", "i", "v").collect()}
+    assert out[0]["values"] == [5, 6, 7, 8, 9, 4]
+    assert out[0]["lengths"] == [2, 1, 3] and out[0]["offsets"] == [0, 2, 3]
+    assert out[1]["values"] == [1] and out[1]["offsets"] == [0]
