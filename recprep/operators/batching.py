@@ -113,13 +113,8 @@ def to_jagged(df: DataFrame, batch: str, order: str, values: str, pad: int | Non
     rows = df.select(batch, order, vals.alias("_v"))
     g = rows.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct(order, "_v"))).alias("_r"))
     lengths = F.transform("_r", lambda x: F.size(x["_v"]))
-    return g.select(
-        batch,
-        F.flatten(F.transform("_r", lambda x: x["_v"])).alias("values"),
-        lengths.alias("lengths"),
-        F.slice(F.aggregate(lengths, F.array().cast("array<int>"),
-                            lambda acc, n: F.concat(acc, F.array(
-                                F.coalesce(F.element_at(acc, -1), F.lit(0)) + n))),
-                1, F.size(lengths)).alias("_ends"),
-    ).withColumn("offsets", F.transform("_ends", lambda e, i: e - F.element_at("lengths", i + 1))) \
-     .drop("_ends")
+    # exclusive prefix sums; a batch has a bounded number of rows
+    offsets = F.transform(lengths, lambda n, i: F.aggregate(
+        F.slice(lengths, 1, i), F.lit(0), lambda a, x: a + x))
+    return g.select(batch, F.flatten(F.transform("_r", lambda x: x["_v"])).alias("values"),
+                    lengths.alias("lengths"), offsets.alias("offsets"))
