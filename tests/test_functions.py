@@ -79,3 +79,31 @@ def test_array_helpers(spark):
     assert r[0]["t"] == [2, 3] and r[1]["t"] == []
     assert r[0]["g"] == 2 and r[1]["g"] is None
     assert r[0]["m"] == [True, True, True, False]
+
+
+def test_small_operators(spark):
+    from recprep.functions.scalar import fill_null
+    from recprep.operators.aggregates import cardinalities, check_dense_ids, continuous_stats
+    from recprep.operators.filters import drop_columns, select_output, with_constants
+    from recprep.operators.ordering import head_per_group
+    from recprep.operators.setops import repeat_epochs, unique
+    df = spark.createDataFrame([(1, 3), (1, 1), (2, 2), (2, None)], "user_id int, book_id int")
+    assert sorted(r[0] for r in df.select(fill_null("book_id", 0)).collect()) == [0, 1, 2, 3]
+    assert sorted(tuple(r) for r in head_per_group(df.dropna(), "user_id", ["book_id"], 1)
+                  .collect()) == [(1, 1), (2, 2)]
+    assert sorted(r[0] for r in unique(df, "user_id").collect()) == [1, 2]
+    assert repeat_epochs(df, 3).count() == 12
+    t = with_constants(df, pad=(0, "int"))
+    assert drop_columns(t, "pad").columns == ["user_id", "book_id"]
+    d = check_dense_ids(spark.createDataFrame([(1,), (2,), (2,), (3,)], "x int"), "x", 3).first()
+    assert d["dense"] and d["n_distinct"] == 3
+    c = {r["name"]: r["size"] for r in cardinalities({"u": (df, "user_id"), "rows": (df, None)})
+         .collect()}
+    assert c == {"u": 2, "rows": 4}
+    s = spark.createDataFrame([("1",), ("",), ("3",), ("5000",), ("2",)], "v string")
+    st = continuous_stats(s, "v").first()
+    assert (st["min"], st["max"], st["median"]) == (1.0, 3.0, 2.0)
+    ex = spark.createDataFrame([(1, 2, *range(10))], "user_id int, book_id int, language int, "
+                               "is_ebook int, format int, publisher int, pub_decade int, "
+                               "avg_rating int, num_pages int, is_read int, is_reviewed int, label int")
+    assert select_output(ex).columns[:2] == ["user_id", "item_id"]
