@@ -310,7 +310,13 @@ class _Commit(WriterCommitMessage):
 
 
 class TFRecordWriter(DataSourceWriter):
+    """One file per task, named ``part-<partition>-<job>-<attempt>``. Files
+    are written under a temporary name and renamed when complete; on commit
+    the driver keeps exactly the files named in the task commit messages, so
+    retried or speculative task attempts leave no duplicate rows."""
+
     def __init__(self, schema: StructType, options: dict, overwrite: bool):
+        self.job = uuid.uuid4().hex[:12]
         self.schema = schema
         if not options.get("path"):
             raise ValueError("tfrecord writer needs a path")
@@ -323,7 +329,8 @@ class TFRecordWriter(DataSourceWriter):
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         os.makedirs(self.path, exist_ok=True)
-        target = os.path.join(self.path, f"part-{pid:05d}-{uuid.uuid4().hex[:8]}.tfrecord.gz")
+        target = os.path.join(
+            self.path, f"part-{pid:05d}-{self.job}-{uuid.uuid4().hex[:8]}.tfrecord.gz")
         tmp = target + ".inprogress"
         kinds = [(i, f.name, _kind(f.dataType), isinstance(f.dataType, ArrayType))
                  for i, f in enumerate(self.schema.fields)]
@@ -349,19 +356,18 @@ class TFRecordWriter(DataSourceWriter):
         return _Commit(target, n)
 
     def commit(self, messages) -> None:
-        """Overwrite mode: drop record files of earlier writes to this path."""
-        if not self.overwrite:
-            return None
+        """Keep the committed files; drop this job's other attempts and, in
+        overwrite mode, the record files of earlier writes."""
         keep = {m.path for m in messages if m is not None}
-        for f in glob.glob(os.path.join(self.path, "*.tfrecord.gz")):
-            if f not in keep:
+        for f in glob.glob(os.path.join(self.path, "part-*.tfrecord.gz*")):
+            mine = f"-{self.job}-" in os.path.basename(f)
+            if f not in keep and (mine or self.overwrite):
                 os.remove(f)
         return None
 
     def abort(self, messages) -> None:
-        for m in messages or []:
-            if m is not None and os.path.exists(m.path):
-                os.remove(m.path)
+        for f in glob.glob(os.path.join(self.path, f"part-*-{self.job}-*")):
+            os.remove(f)
 
 
 class TFRecordReader(DataSourceReader):
@@ -372,7 +378,11 @@ class TFRecordReader(DataSourceReader):
 
     def partitions(self):
         p = self.path
-        files = sorted(glob.glob(os.path.join(p, "*.tfrecord*")) if os.path.isdir(p) else glob.glob(p))
+        if os.path.isdir(p):
+            files = glob.glob(os.path.join(p, "*.tfrecord.gz")) + glob.glob(os.path.join(p, "*.tfrecord"))
+        else:
+            files = glob.glob(p)
+        files = sorted(f for f in files if not f.endswith(".inprogress"))
         return [InputPartition(f) for f in files]
 
     def read(self, partition):

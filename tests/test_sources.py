@@ -88,3 +88,17 @@ def test_tfrecord_roundtrip(spark):
                 .load(path)
     assert sorted(tuple(r) for r in back.collect()) == \
         [(1, 2.5, "x", [1, 2]), (2, -1.0, None, []), (3, 0.0, "z", [7])]
+
+
+def test_tfrecord_commit_drops_uncommitted_attempts(spark):
+    from pyspark.sql.types import LongType, StructField, StructType
+    schema = StructType([StructField("id", LongType())])
+    path = staging_path(spark, "tfr-attempts")
+    w = tfrecord.TFRecordWriter(schema, {"path": path}, overwrite=False)
+    good = w.write(iter([(1,), (2,)]))
+    stray = w.write(iter([(1,), (2,)]))          # a retried attempt of the same task
+    w.commit([good])
+    tfrecord.register(spark)
+    back = spark.read.format("tfrecord").schema("id bigint").load(path)
+    assert sorted(r[0] for r in back.collect()) == [1, 2]
+    assert not os.path.exists(tfrecord.local_path(stray.path))
