@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.operators.joins import maybe_broadcast
+from recprep.session import materialize
 
 # The ranking example layout written by the reference.
 RANKING_COLUMNS = [
@@ -22,7 +23,8 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
 
     Counted with a group-by (map-side partial counts, so a key holding a
     third of the rows costs one small partial per task). The kept keys are
-    then semi-joined back. When their number is under the broadcast bound
+    checkpointed (one row per key) and semi-joined back, so the input is
+    read twice: once to count, once to filter. When their number is under the broadcast bound
     (counted, not assumed) the semi join is a map-side broadcast filter: a
     hot key above ``hi`` is dropped where it is read and never reaches a
     shuffle, and every later per-key shuffle sees groups of at most ``hi``
@@ -35,8 +37,10 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
         cond = cond & (F.col("_act_n") >= lo)
     if hi is not None:
         cond = cond & (F.col("_act_n") <= hi)
-    keep = maybe_broadcast(counts.where(cond).select(key), max_rows=broadcast_rows)
-    return df.join(keep, key, "left_semi")
+    # the kept keys (one row per key) are checkpointed once: the size check
+    # and the join then read that small table instead of re-counting the input
+    keep = materialize(counts.where(cond).select(key))
+    return df.join(maybe_broadcast(keep, max_rows=broadcast_rows), key, "left_semi")
 
 
 def binarize(df: DataFrame, col: str = "rating", threshold: int = POSITIVE_RATING,
