@@ -93,3 +93,58 @@ def ranking_examples(interactions: DataFrame, features: DataFrame, lo: int = 10,
     data = split_by_ratio(data, "user_id", ["book_id"], ratio, method=method)
     data = attach_features(data, features, on="book_id")
     return data.withColumnRenamed("book_id", "item_id").select(*RANKING_COLUMNS, "split")
+
+
+# The reference's raw file names and part count.
+INTERACTIONS_FILE = "goodreads_interactions.csv"
+USER_MAP_FILE = "user_id_map.csv"
+BOOK_MAP_FILE = "book_id_map.csv"
+BOOKS_FILE = "goodreads_books.json"
+RANKING_PARTS = 8
+
+
+def prepare_ranking_dataset(spark, data_dir: str, out_dir: str, write_format: str = "parquet",
+                            n_parts: int = RANKING_PARTS, seed: int = 42) -> dict:
+    """Section 3.1 end to end: raw files -> item features and size map ->
+    labelled, split, feature-joined examples -> ``train`` (shuffled) and
+    ``eval`` parts in Parquet or GZIP TFRecord, plus the size-map and
+    data-size sidecars. Returns the output paths and row counts."""
+    from recprep.sources import files, tfrecord
+
+    if write_format not in ("parquet", "tfrecord"):
+        raise ValueError("write_format must be 'parquet' or 'tfrecord'")
+    base = data_dir.rstrip("/")
+    inter = files.read_interactions(spark, f"{base}/{INTERACTIONS_FILE}")
+    user_map = files.read_id_map(spark, f"{base}/{USER_MAP_FILE}",
+                                 ["user_id", "user_original_id"], {"user_id": "int"})
+    book_map = files.read_id_map(spark, f"{base}/{BOOK_MAP_FILE}",
+                                 ["book_id", "book_original_id"], {"book_id": "int"})
+    books = files.read_item_metadata(spark, f"{base}/{BOOKS_FILE}")
+    feats, sizes = build_item_features(book_map, books, user_map)
+    files.write_size_map(sizes, f"{out_dir}/size_map")
+    ex = ranking_examples(inter, feats)
+    cols = [c for c in ex.columns if c != "split"]
+    out = {"size_map": f"{out_dir}/size_map"}
+    for split, shuffle in (("train", True), ("eval", False)):
+        part = ex.where(F.col("split") == split).select(*cols)
+        if write_format == "parquet":
+            out[split] = files.write_parts(part, f"{out_dir}/parquet", split, n_parts,
+                                           shuffle=shuffle, seed=seed, keys=["user_id", "item_id"],
+                                           order=["user_id", "item_id"])
+        else:
+            tfrecord.register(spark)
+            from recprep.operators.batching import shuffle_key
+            typed = part.select(*[F.col(c).cast("bigint") for c in RANKING_COLUMNS[:7]],
+                                *[F.col(c).cast("float") for c in ("avg_rating", "num_pages", "label")])
+            if shuffle:
+                typed = (typed.withColumn("_k", shuffle_key(seed, 0, "user_id", "item_id"))
+                              .repartitionByRange(n_parts, "_k").sortWithinPartitions("_k").drop("_k"))
+            else:
+                typed = typed.repartitionByRange(n_parts, "user_id", "item_id")
+            path = f"{out_dir}/tfrecord/{split}"
+            typed.write.format("tfrecord").mode("overwrite").save(path)
+            out[split] = path
+        n = spark.read.parquet(out[split]).count() if write_format == "parquet" else part.count()
+        files.write_data_size(spark, n, f"{out_dir}/{write_format}/{split}_data_size", split)
+        out[f"{split}_rows"] = n
+    return out

@@ -87,3 +87,33 @@ def size_map(sd: SequenceData, spark) -> DataFrame:
     """A9 content for the sequence data: n_users, n_items."""
     return spark.createDataFrame([("n_users", sd.n_users), ("n_items", sd.n_items)],
                                  "name string, size bigint")
+
+
+SEQUENCE_PARTS = 2
+
+
+def prepare_sequence_dataset(spark, data_dir: str, out_dir: str, n_parts: int = SEQUENCE_PARTS,
+                             seq_len: int = SEQ_LEN, step: int = SLIDING_STEP,
+                             mask_prob: float = MASK_PROB, k: int = EVAL_NEG_NUM,
+                             seed: int = SEED) -> dict:
+    """Section 3.2 end to end: raw interactions -> train windows (shuffled
+    parts) and eval sequences with candidates (parts), plus the
+    ``n_users`` / ``n_items`` size map."""
+    from recprep.plans.ranking import INTERACTIONS_FILE
+    from recprep.sources import files
+
+    inter = files.read_interactions(spark, f"{data_dir.rstrip('/')}/{INTERACTIONS_FILE}")
+    sd = prepare(inter)
+    files.write_size_map(size_map(sd, spark), f"{out_dir}/size_map_bert4rec")
+    train = bert_train_set(sd, seq_len, step, mask_prob, seed).select(
+        "user_id", "train_interactions", "labels", "window_start")
+    ev = bert_eval_set(sd, seq_len, k, seed)
+    out = {
+        "train": files.write_parts(train, f"{out_dir}/parquet_bert4rec", "train", n_parts,
+                                   shuffle=True, seed=seed, keys=["user_id", "window_start"]),
+        "eval": files.write_parts(ev, f"{out_dir}/parquet_bert4rec", "eval", n_parts,
+                                  order=["user_id"]),
+        "size_map": f"{out_dir}/size_map_bert4rec",
+        "n_users": sd.n_users, "n_items": sd.n_items,
+    }
+    return out
