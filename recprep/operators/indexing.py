@@ -128,10 +128,13 @@ def rank_within(df: DataFrame, keys, order, pos: str = "pos", size: str = "n",
                   .withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     if method != "global":
         raise ValueError("method must be 'window' or 'global'")
+    from recprep.operators.joins import maybe_broadcast
+
     idx = with_row_index(df, keys + order, name="_rx_idx")
     stats = idx.groupBy(*keys).agg(F.min("_rx_idx").alias("_rx_first"),
                                    F.count(F.lit(1)).alias(size))
-    return (idx.join(stats, keys)
+    # one row per key: broadcast under the bound, so hot keys' rows stay put
+    return (idx.join(maybe_broadcast(stats), keys)
                .withColumn(pos, (F.col("_rx_idx") - F.col("_rx_first")).cast("int"))
                .withColumn(size, F.col(size).cast("bigint"))
                .drop("_rx_idx", "_rx_first"))
