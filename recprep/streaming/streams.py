@@ -50,9 +50,16 @@ def metric_state(stream: DataFrame, logit: str = "logit", label: str = "label",
 
 def run_stream_metrics(stream: DataFrame, logit: str = "logit", label: str = "label",
                        num_thresholds: int = 200, state_path: str | None = None,
-                       checkpoint: str | None = None) -> str:
+                       checkpoint: str | None = None, state_partitions: int = 4) -> str:
     """Run N2 to the end of the input; each micro-batch replaces the state
-    table with the complete (bounded) bucket table. Returns its path."""
+    table with the complete (bounded) bucket table. Returns its path.
+
+    The state has at most ``num_thresholds`` rows whatever the input size
+    (the heavy part, the per-batch partial aggregation, runs over all input
+    splits), so it is kept in ``state_partitions`` state-store partitions.
+    Spark fixes that number when a query first starts, from the session's
+    shuffle setting; it is set only around ``start()``.
+    """
     spark = stream.sparkSession
     state_path = state_path or staging_path(spark, "metric-state")
     ck = checkpoint or staging_path(spark, "metric-ckpt")
@@ -60,9 +67,15 @@ def run_stream_metrics(stream: DataFrame, logit: str = "logit", label: str = "la
     def _save(batch: DataFrame, _epoch: int) -> None:
         batch.coalesce(1).write.mode("overwrite").parquet(state_path)
 
-    q = (metric_state(stream, logit, label, num_thresholds).writeStream
-         .outputMode("complete").foreachBatch(_save)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    writer = (metric_state(stream, logit, label, num_thresholds).writeStream
+              .outputMode("complete").foreachBatch(_save)
+              .option("checkpointLocation", ck).trigger(availableNow=True))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
     return state_path
 
