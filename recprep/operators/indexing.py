@@ -35,10 +35,16 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _sorted_layout(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
-    """Range-partition + sort, record partition id and position, checkpoint."""
-    n = _partitions(df, num_partitions)
-    s = (df.repartitionByRange(n, *order)
-           .sortWithinPartitions(*order)
+    """Range-partition + sort, record partition id and position, checkpoint.
+
+    Without an explicit count the range exchange starts at the session's
+    shuffle partitions and AQE merges adjacent (still ordered) ranges by
+    data volume, so a small vocabulary gets a few tasks and a large table
+    many. Partition ids are taken after that and frozen by the checkpoint.
+    """
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    s = (ranged.sortWithinPartitions(*order)
            .withColumn(_PID, F.spark_partition_id())
            .withColumn(_LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
     return materialize(s)
