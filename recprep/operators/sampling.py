@@ -59,7 +59,9 @@ def popularity_draws(users: DataFrame, table: PopularityTable, seed: int, key: s
                      m_col: str = "m", round_no: int = 0, draw: str = "draw") -> DataFrame:
     """``m`` weighted draws (with replacement) per user ->
     (user, draw, item). ``users`` holds the key and the draw count ``m``."""
-    d = (spread(users.where(F.col(m_col) > 0))
+    drivers = users.where(F.col(m_col) > 0)
+    n_draws = drivers.agg(F.sum(m_col)).first()[0] or 0     # one small job
+    d = (spread(drivers, expected_rows=int(n_draws))
          .select(key, F.explode(F.sequence(F.lit(0), F.col(m_col) - 1)).alias(draw)))
     r = F.floor(uniform(seed, round_no, key, draw) * F.lit(float(table.total))).cast("bigint")
     d = d.withColumn("_r", r).withColumn("bucket", F.floor(F.col("_r") / table.width))
