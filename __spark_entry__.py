@@ -411,7 +411,9 @@ def q_a7_a8_tfrecord_roundtrip(spark, sf):
                       F.col("avg_rating").cast("float"), F.col("num_pages").cast("float"),
                       F.col("label").cast("float"))
     path = staging_path(spark, "ranking-tfrecord")
-    typed.write.format("tfrecord").mode("overwrite").save(path)
+    # eight part files as the reference writes; also the encode parallelism
+    typed.repartitionByRange(8, "user_id", "item_id").write.format("tfrecord") \
+         .mode("overwrite").save(path)
     back = spark.read.format("tfrecord").schema(tfrecord.RANKING_TFRECORD_SCHEMA).load(path)
     return back.select(*FEATURE_COLUMNS[:7], _r6("avg_rating"), _r6("num_pages"), _r6("label"))
 

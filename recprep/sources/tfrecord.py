@@ -21,7 +21,7 @@ from typing import Iterator
 import numpy as np
 
 from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
 )
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, ByteType, DoubleType, FloatType, IntegerType,
@@ -198,8 +198,93 @@ def _decode_list(kind: int, body: bytes) -> list:
     return vals
 
 
+class _Unexpected(Exception):
+    pass
+
+
+def _decode_fast(buf: bytes) -> dict:
+    """Index-based parser for the standard Example layout (every message
+    field length-delimited, list values packed or not); raises _Unexpected
+    on anything else so the general parser takes over."""
+    rv = _read_varint
+    out = {}
+    i, n = 0, len(buf)
+    while i < n:
+        tag = buf[i]
+        ln, i = rv(buf, i + 1)
+        end = i + ln
+        if tag != 0x0A:                      # unknown Example field
+            if tag & 7 != 2:
+                raise _Unexpected
+            i = end
+            continue
+        while i < end:                       # Features: map entries
+            if buf[i] != 0x0A:
+                raise _Unexpected
+            el, i = rv(buf, i + 1)
+            e_end = i + el
+            name, fs, fe = None, 0, 0
+            while i < e_end:
+                t = buf[i]
+                fl, i = rv(buf, i + 1)
+                if t == 0x0A:
+                    name = buf[i:i + fl].decode()
+                elif t == 0x12:
+                    fs, fe = i, i + fl
+                elif t & 7 != 2:
+                    raise _Unexpected
+                i += fl
+            vals = []
+            j = fs
+            while j < fe:                    # Feature: one list message
+                kt = buf[j]
+                kl, j = rv(buf, j + 1)
+                kind, k_end = kt >> 3, j + kl
+                while j < k_end:
+                    vt = buf[j]
+                    j += 1
+                    wire = vt & 7
+                    if kind == 3:
+                        if wire == 2:
+                            pl, j = rv(buf, j)
+                            p_end = j + pl
+                            while j < p_end:
+                                x, j = rv(buf, j)
+                                vals.append(x - (1 << 64) if x >= 1 << 63 else x)
+                        elif wire == 0:
+                            x, j = rv(buf, j)
+                            vals.append(x - (1 << 64) if x >= 1 << 63 else x)
+                        else:
+                            raise _Unexpected
+                    elif kind == 2:
+                        if wire == 2:
+                            pl, j = rv(buf, j)
+                            vals.extend(struct.unpack_from(f"<{pl // 4}f", buf, j))
+                            j += pl
+                        elif wire == 5:
+                            vals.append(struct.unpack_from("<f", buf, j)[0])
+                            j += 4
+                        else:
+                            raise _Unexpected
+                    elif kind == 1 and wire == 2:
+                        pl, j = rv(buf, j)
+                        vals.append(bytes(buf[j:j + pl]))
+                        j += pl
+                    else:
+                        raise _Unexpected
+            out[name] = vals
+    return out
+
+
 def decode_example(buf: bytes) -> dict:
     """Serialized Example -> ``{name: [values]}``."""
+    try:
+        return _decode_fast(buf)
+    except (_Unexpected, IndexError, struct.error):
+        return _decode_general(buf)
+
+
+def _decode_general(buf: bytes) -> dict:
     out = {}
     for num, _, feats in _fields(buf):
         if num != 1:
@@ -309,7 +394,7 @@ class _Commit(WriterCommitMessage):
         self.path, self.rows = path, rows
 
 
-class TFRecordWriter(DataSourceWriter):
+class TFRecordWriter(DataSourceArrowWriter):
     """One file per task, named ``part-<partition>-<job>-<attempt>``. Files
     are written under a temporary name and renamed when complete; on commit
     the driver keeps exactly the files named in the task commit messages, so
@@ -325,6 +410,7 @@ class TFRecordWriter(DataSourceWriter):
         self.overwrite = overwrite
 
     def write(self, iterator) -> _Commit:
+        """``iterator`` yields Arrow record batches (columns in schema order)."""
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
@@ -337,18 +423,20 @@ class TFRecordWriter(DataSourceWriter):
         n = 0
         buf = []
         with gzip.open(tmp, "wb", compresslevel=self.level) as fh:
-            for row in iterator:
-                feats = {}
-                for i, name, kind, is_list in kinds:
-                    v = row[i]
-                    if v is None:
-                        continue
-                    feats[name] = (kind, list(v) if is_list else [v])
-                buf.append(encode_example(feats))
-                if len(buf) >= 4096:
-                    write_records(fh, buf)
-                    n += len(buf)
-                    buf = []
+            for batch in iterator:
+                cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+                for row in zip(*cols):
+                    feats = {}
+                    for i, name, kind, is_list in kinds:
+                        v = row[i]
+                        if v is None:
+                            continue
+                        feats[name] = (kind, list(v) if is_list else [v])
+                    buf.append(encode_example(feats))
+                    if len(buf) >= 4096:
+                        write_records(fh, buf)
+                        n += len(buf)
+                        buf = []
             if buf:
                 write_records(fh, buf)
                 n += len(buf)

@@ -95,10 +95,34 @@ def test_tfrecord_commit_drops_uncommitted_attempts(spark):
     schema = StructType([StructField("id", LongType())])
     path = staging_path(spark, "tfr-attempts")
     w = tfrecord.TFRecordWriter(schema, {"path": path}, overwrite=False)
-    good = w.write(iter([(1,), (2,)]))
-    stray = w.write(iter([(1,), (2,)]))          # a retried attempt of the same task
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1, 2], pa.int64())})
+    good = w.write(iter([batch]))
+    stray = w.write(iter([batch]))               # a retried attempt of the same task
     w.commit([good])
     tfrecord.register(spark)
     back = spark.read.format("tfrecord").schema("id bigint").load(path)
     assert sorted(r[0] for r in back.collect()) == [1, 2]
     assert not os.path.exists(tfrecord.local_path(stray.path))
+
+
+def test_fast_and_general_decoders_agree():
+    import random
+    rnd = random.Random(3)
+    for _ in range(300):
+        feats = {}
+        for j in range(rnd.randint(0, 6)):
+            kind = rnd.choice(["int", "float", "bytes"])
+            k = rnd.randint(0, 4)
+            if kind == "int":
+                vals = [rnd.randint(-2**63, 2**63 - 1) for _ in range(k)]
+            elif kind == "float":
+                vals = [float(struct.unpack("<f", struct.pack("<f", rnd.uniform(-1e6, 1e6)))[0])
+                        for _ in range(k)]
+            else:
+                vals = [bytes(rnd.getrandbits(8) for _ in range(rnd.randint(0, 200)))
+                        for _ in range(k)]
+            feats[f"f{j}_{'x' * rnd.randint(0, 150)}"] = (kind, vals)
+        ex = tfrecord.encode_example(feats)
+        assert tfrecord._decode_fast(ex) == tfrecord._decode_general(ex)
+        assert tfrecord.decode_example(ex) == {k: v for k, (_, v) in feats.items()}
