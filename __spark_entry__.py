@@ -8,8 +8,15 @@ sides so the order-insensitive value hash compares values, not formatting.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable however this file is loaded (by path, from any directory)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -78,6 +78,9 @@ def tower_transform(df: DataFrame, vec_col: str, weights, out: str = "tower",
     computed once rather than per example."""
     from pyspark.ml.functions import predict_batch_udf
 
+    from recprep.session import ship_package
+
+    ship_package(df.sparkSession)
     w1, b1, w2, b2 = (np.asarray(w, dtype=np.float64) for w in weights)
     dim = w1.shape[0]
 
@@ -107,6 +110,10 @@ def score_candidates(df: DataFrame, key: str = "user_id", seq: str = "eval_seqs"
     """
     if model_fn is not None:
         from pyspark.ml.functions import predict_batch_udf
+
+        from recprep.session import ship_package
+
+        ship_package(df.sparkSession)
         fn = predict_batch_udf(model_fn, return_type=ArrayType(DoubleType()), batch_size=1024,
                                input_tensor_shapes=[[seq_len], [n_cands]])
         scored = df.withColumn("_scores", fn(F.col(seq), F.col(cands)))

@@ -71,6 +71,34 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``recprep`` importable in Python workers (``--py-files`` done
+    from code): the package is zipped once per application and added with
+    ``addPyFile``; Spark serves the zip from the driver to every executor.
+    Needed by the parts that run Python on executors (TFRecord data source,
+    Arrow-batch model functions)."""
+    import zipfile
+
+    import recprep
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(recprep.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="recprep-pyfiles-"), "recprep.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(root):
+            for f in names:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint directory for intermediate tables
     (for example files written to exercise a reader)."""

@@ -527,7 +527,11 @@ class TFRecordDataSource(DataSource):
 
 
 def register(spark) -> None:
-    """Register the ``tfrecord`` format on this session."""
+    """Register the ``tfrecord`` format on this session (and ship the
+    package to the Python workers that run the reader and writer)."""
+    from recprep.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(TFRecordDataSource)
 
 
