@@ -63,7 +63,7 @@ from recprep.operators.setops import array_difference, repeat_epochs
 from recprep.operators.windows import (
     count_over, flag_last, running_offsets, sort_within, split_by_ratio,
 )
-from recprep.plans import ranking
+from recprep.plans import evaluation, ranking
 from recprep.plans import sequences as seqplan
 from recprep.session import staging_path
 from recprep.sources import files, tfrecord
@@ -456,6 +456,21 @@ def q_n2_stream_metrics(spark, sf):
     return _r6_all(streams.metrics_from_state(spark, state))
 
 
+def q_evaluate_sequence_dataset(spark, sf):
+    """Raw CSV -> prepared sequence dataset (A1, J7, A6) -> written eval parts
+    scored by the built-in scorer (M5) -> Recall/NDCG@10/20/50 (L3, L4)."""
+    raw = staging_path(spark, "raw-interactions")
+    fx.interactions(spark, sf).write.option("header", True).csv(f"{raw}/{ranking.INTERACTIONS_FILE}")
+    out = seqplan.prepare_sequence_dataset(spark, raw, staging_path(spark, "seq-dataset"))
+    emb, n = _vectors(spark, sf)
+    items = spark.range(1, out["n_items"] + 1).select(F.col("id").cast("int").alias("vec_id"))
+    vecs = items.join(emb.withColumnRenamed("vec_id", "src"),
+                      F.pmod(F.col("vec_id"), F.lit(n)) == F.col("src")).drop("src")
+    m = evaluation.evaluate_sequences(spark, out["eval"], item_vectors=vecs,
+                                      mask_id=out["n_items"] + 1)
+    return _r6_all(m)
+
+
 # ---- projections, joins, aggregates, windows, sets, arrays ----------------
 
 def q_b2_binarize(spark, sf):
@@ -693,6 +708,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "g2_array_difference": q_g2_array_difference,
         "g3_repeat_epochs": q_g3_repeat_epochs,
         "h12_to_jagged": q_h12_to_jagged,
+        "evaluate_sequence_dataset": q_evaluate_sequence_dataset,
     }
 
 
@@ -942,7 +958,8 @@ scored0 AS (SELECT user_id, CAST(position AS INT) AS position, CAST(item AS INT)
                    """ + uniform_sql(7, "user_id", "position") + """ AS score FROM cands)"""
 
 
-def _metrics_sql(score_expr: str = "score", ks=(10, 20, 50), per_row: bool = False) -> str:
+def _metrics_sql(score_expr: str = "score", ks=(10, 20, 50), per_row: bool = False,
+                 src: str = "scored0") -> str:
     sums = []
     outs = []
     for k in ks:
@@ -957,7 +974,7 @@ def _metrics_sql(score_expr: str = "score", ks=(10, 20, 50), per_row: bool = Fal
             outs.append(f"round(avg(d{k} / {ideal}), 6) AS ndcg_{k}")
     head = "user_id, " if per_row else ""
     return f""",
-scored AS (SELECT user_id, position, item, label, {score_expr} AS score FROM scored0),
+scored AS (SELECT user_id, position, item, label, {score_expr} AS score FROM {src}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, position) AS rk
            FROM scored),
 per AS (SELECT user_id, CAST(sum(label) AS BIGINT) AS ans, {", ".join(sums)} FROM ranked GROUP BY user_id),
@@ -1243,6 +1260,14 @@ SELECT user_id, CAST(count(*) AS INT) AS dim,
 FROM o GROUP BY user_id"""
 
 
+EVAL_SEQ_SQL = M5_SQL.rsplit("SELECT s.user_id, s.position, s.item,", 1)[0].rstrip() + """,
+m5s AS (SELECT s.user_id, s.position, s.item, s.label,
+               """ + _dot_sql("uv.u", "e.embedding") + """ AS mscore
+        FROM scored0 s LEFT JOIN uv ON s.user_id = uv.user_id
+        LEFT JOIN embeddings e ON e.vec_id = s.item % """ + NVEC + ")" + \
+    _metrics_sql("mscore", src="m5s") + " SELECT * FROM met"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ranking_examples": RANKING_SQL,
@@ -1295,6 +1320,7 @@ FROM logits""",
         "m3_dot_score": M3_SQL,
         "m5_score_candidates": M5_SQL,
         "m4_tower_transform": _m4_sql(),
+        "evaluate_sequence_dataset": EVAL_SEQ_SQL,
         "a1_read_interactions": "WITH " + FIX_INTERACTIONS + " SELECT * FROM interactions",
         "a2_read_id_map": "WITH " + FIX_BOOK_MAP + " SELECT * FROM book_id_map",
         "a3_read_item_metadata": "WITH " + FIX_BOOKS + " SELECT * FROM books",
