@@ -56,19 +56,22 @@ def popularity_table(pop: DataFrame, item: str = "book_id", total: int | None =
 
 
 def popularity_draws(users: DataFrame, table: PopularityTable, seed: int, key: str = "user_id",
-                     m_col: str = "m", round_no: int = 0, draw: str = "draw") -> DataFrame:
+                     m_col: str = "m", round_no: int = 0, draw: str = "draw",
+                     keep=()) -> DataFrame:
     """``m`` weighted draws (with replacement) per user ->
-    (user, draw, item). ``users`` holds the key and the draw count ``m``."""
+    (user, draw, item, *keep). ``users`` holds the key, the draw count
+    ``m`` and any ``keep`` columns carried onto every draw."""
+    keep = list(keep)
     drivers = users.where(F.col(m_col) > 0)
     n_draws = drivers.agg(F.sum(m_col)).first()[0] or 0     # one small job
     d = (spread(drivers, expected_rows=int(n_draws))
-         .select(key, F.explode(F.sequence(F.lit(0), F.col(m_col) - 1)).alias(draw)))
+         .select(key, *keep, F.explode(F.sequence(F.lit(0), F.col(m_col) - 1)).alias(draw)))
     r = F.floor(uniform(seed, round_no, key, draw) * F.lit(float(table.total))).cast("bigint")
     d = d.withColumn("_r", r).withColumn("bucket", F.floor(F.col("_r") / table.width))
     buckets = maybe_broadcast(table.ranges.select(table.item, "start", "end", "bucket"),
                               known_rows=table.n_items + math.ceil(table.total / table.width))
     j = d.join(buckets, "bucket").where((F.col("_r") >= F.col("start")) & (F.col("_r") < F.col("end")))
-    return j.select(key, draw, table.item)
+    return j.select(key, draw, table.item, *keep)
 
 
 def _first_k(draws: DataFrame, k_col, key: str, item: str, draw: str, out: str) -> DataFrame:
@@ -114,10 +117,24 @@ def sample_negatives(users: DataFrame, table: PopularityTable, k: int = 100, see
     return chosen.select(key, table.item, F.col(out).cast("int")).unionByName(fill)
 
 
+def _first_k_arrays(draws: DataFrame, k: int, key: str, item: str, draw: str,
+                    out: str) -> DataFrame:
+    """First ``k`` distinct items per user in draw order with one shuffle:
+    the user's (draw, item) pairs are gathered, sorted by draw, and
+    ``array_distinct`` keeps first occurrences. Draw lists are bounded by
+    the user's draw count."""
+    g = draws.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct(draw, item))).alias("_d"))
+    firsts = F.slice(F.array_distinct(F.transform("_d", lambda x: x[item])), 1, k)
+    return (g.select(key, F.posexplode(firsts).alias("_p", item))
+             .select(key, item, (F.col("_p") + 1).cast("int").alias(out)))
+
+
 def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: PopularityTable,
                                k: int = 100, seed: int = 42, key: str = "user_id",
                                npos_col: str = "n_pos", oversample: int = 4,
-                               out: str = "neg_rank") -> DataFrame:
+                               out: str = "neg_rank",
+                               max_positives: int | None = None) -> DataFrame:
     """``k`` distinct weighted negatives per user, none in ``positives``.
 
     ``users`` has the key and ``n_pos`` (number of excluded items of that

@@ -37,6 +37,7 @@ class SequenceData:
     n_items: int
     mask_id: int
     total: int
+    max_rows_per_user: int | None = None   # the activity filter's upper bound
 
 
 def prepare(interactions: DataFrame, lo: int = MIN_INTERACTIONS, hi: int | None = MAX_INTERACTIONS,
@@ -52,7 +53,7 @@ def prepare(interactions: DataFrame, lo: int = MIN_INTERACTIONS, hi: int | None
     ids = reindex_ids(data, "user_id", "book_id")
     rows = materialize(split_leave_last(ids["data"], "user_id", ["book_id"], method=method))
     total = rows.count()
-    return SequenceData(rows, ids["n_users"], ids["n_items"], ids["mask_id"], total)
+    return SequenceData(rows, ids["n_users"], ids["n_items"], ids["mask_id"], total, hi)
 
 
 def train_rows(sd: SequenceData) -> DataFrame:
@@ -78,7 +79,8 @@ def bert_eval_set(sd: SequenceData, seq_len: int = SEQ_LEN, k: int = EVAL_NEG_NU
     users = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pos"))
     pop = item_popularity(rows, "book_id", sd.total)
     table = popularity_table(pop, "book_id", sd.total)
-    negs = sample_negatives_excluding(users, pos.select("user_id", "book_id"), table, k, seed)
+    negs = sample_negatives_excluding(users, pos.select("user_id", "book_id"), table, k, seed,
+                                      max_positives=sd.max_rows_per_user)
     cands = candidate_lists(seqs, negs)
     return cands.select("user_id", "eval_seqs", "candidate_items")
 

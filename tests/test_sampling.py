@@ -82,3 +82,13 @@ def test_no_cartesian_product_in_negative_sampling(spark):
     negs = sample_negatives_excluding(users, data, table, 20, 42)
     plan = negs._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_bounded_array_path_equals_anti_join_path(spark):
+    data = fx.interactions(spark, SF_SMALL).select("user_id", "book_id")
+    total = data.count()
+    table = popularity_table(item_popularity(data, "book_id", total), "book_id", total)
+    users = data.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pos"))
+    a = sample_negatives_excluding(users, data, table, 30, 7).collect()
+    b = sample_negatives_excluding(users, data, table, 30, 7, max_positives=250).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
