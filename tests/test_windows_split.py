@@ -58,3 +58,24 @@ def test_positional_sort_detaches_columns(spark):
     assert pos == {0: (1, "a"), 1: (2, "b"), 2: (3, "c")}
     whole = {r["book_id"]: r["label"] for r in sort_within(df, "user_id", "book_id").collect()}
     assert whole == {3: "a", 1: "b", 2: "c"}
+
+
+def test_minmax_zero_range_gives_null_not_error(spark):
+    from recprep.plans.ranking import minmax_scale
+    df = spark.createDataFrame([("5",), ("5",), ("",)], "v string")
+    assert [r[0] for r in minmax_scale(df, "v").collect()] == [None, None, None]
+    df2 = spark.createDataFrame([("1",), ("3",), ("",), ("9000",)], "v string")
+    got = [r[0] for r in minmax_scale(df2, "v").collect()]
+    assert got == [0.0, 1.0, 0.5, 0.5]        # blank and outlier -> median 2.0
+
+
+def test_items_missing_from_metadata_show_in_null_counts(spark):
+    from recprep.operators.aggregates import null_counts
+    from recprep.operators.joins import attach_features, attach_internal_id
+    id_map = spark.createDataFrame([(1, "B1"), (2, "B2")], "book_id int, book_original_id string")
+    meta = spark.createDataFrame([("B1", 7)], "book_original_id string, language int")
+    feats = attach_internal_id(id_map, meta)
+    ex = spark.createDataFrame([(10, 1), (11, 2), (12, 3)], "user_id int, book_id int")
+    joined = attach_features(ex, feats)
+    counts = null_counts(joined).first().asDict()
+    assert counts == {"book_id": 0, "user_id": 0, "language": 2}
