@@ -38,7 +38,7 @@ from recprep.operators.batching import (
 from recprep.operators.indexing import with_row_index
 from recprep.operators.metrics import (
     candidate_labels, log_loss, masked_cross_entropy, metrics_by_batch, ranking_metrics,
-    roc_auc, roc_auc_thresholded,
+    ranking_metrics_arrays, roc_auc, roc_auc_thresholded,
 )
 from recprep.operators.models import fit_ranker, predict_logits
 from recprep.operators.ordering import topk_candidates
@@ -251,6 +251,16 @@ def q_l3_l4_ranking_metrics(spark, sf):
     return _r6_all(ranking_metrics(_scored(spark, sf)))
 
 
+def q_l3_l4_ranking_metrics_arrays(spark, sf):
+    """The same metrics on array-form candidates: J9 scores per position,
+    ranked inside each row (no explode, no shuffle)."""
+    e = seqplan.bert_eval_set(_seq_data(spark, sf))
+    sc = e.withColumn("scores", F.transform(
+        F.sequence(F.lit(0), F.size("candidate_items") - 1),
+        lambda p: uniform(7, "user_id", p)))
+    return _r6_all(ranking_metrics_arrays(sc, "scores"))
+
+
 def q_l3_l4_ranking_metrics_ties(spark, sf):
     return _r6_all(ranking_metrics(_scored(spark, sf, digits=2)))
 
@@ -663,6 +673,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "f3_topk_candidates": q_f3_topk_candidates,
         "l3_l4_ranking_metrics": q_l3_l4_ranking_metrics,
         "l3_l4_ranking_metrics_ties": q_l3_l4_ranking_metrics_ties,
+        "l3_l4_ranking_metrics_arrays": q_l3_l4_ranking_metrics_arrays,
         "l6_metrics_by_batch": q_l6_metrics_by_batch,
         "l7_masked_cross_entropy": q_l7_masked_cross_entropy,
         "l1_log_loss": q_l1_log_loss,
@@ -1308,6 +1319,7 @@ SELECT user_id, position, CAST(rk AS INT) AS rank FROM (
   FROM scored0) t WHERE rk <= 10""",
         "l3_l4_ranking_metrics": SCORED + _metrics_sql() + " SELECT * FROM met",
         "l3_l4_ranking_metrics_ties": SCORED + _metrics_sql("round(score, 2)") + " SELECT * FROM met",
+        "l3_l4_ranking_metrics_arrays": SCORED + _metrics_sql() + " SELECT * FROM met",
         "l6_metrics_by_batch": L6_SQL,
         "l7_masked_cross_entropy": L7_SQL,
         "l1_log_loss": LOGITS + """
