@@ -96,6 +96,23 @@ def tower_transform(df: DataFrame, vec_col: str, weights, out: str = "tower",
     return df.withColumn(out, fn(F.col(vec_col).cast("array<double>")))
 
 
+def candidate_score_arrays(df: DataFrame, model_fn: Callable, seq: str = "eval_seqs",
+                           cands: str = "candidate_items", seq_len: int | None = None,
+                           n_cands: int | None = None, out: str = "scores",
+                           batch_size: int = 1024) -> DataFrame:
+    """M5 with a user model: ``model_fn`` is a ``make_predict_fn`` for
+    ``predict_batch_udf`` taking (seqs, candidates) Arrow batches and
+    returning one score per candidate; adds the score array ``out``."""
+    from pyspark.ml.functions import predict_batch_udf
+
+    from recprep.session import ship_package
+
+    ship_package(df.sparkSession)
+    fn = predict_batch_udf(model_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size,
+                           input_tensor_shapes=[[seq_len], [n_cands]])
+    return df.withColumn(out, fn(F.col(seq), F.col(cands)))
+
+
 def score_candidates(df: DataFrame, key: str = "user_id", seq: str = "eval_seqs",
                      cands: str = "candidate_items", item_vectors: DataFrame | None = None,
                      model_fn: Callable | None = None, seq_len: int | None = None,
@@ -109,14 +126,7 @@ def score_candidates(df: DataFrame, key: str = "user_id", seq: str = "eval_seqs"
     batches and returning one score per candidate.
     """
     if model_fn is not None:
-        from pyspark.ml.functions import predict_batch_udf
-
-        from recprep.session import ship_package
-
-        ship_package(df.sparkSession)
-        fn = predict_batch_udf(model_fn, return_type=ArrayType(DoubleType()), batch_size=1024,
-                               input_tensor_shapes=[[seq_len], [n_cands]])
-        scored = df.withColumn("_scores", fn(F.col(seq), F.col(cands)))
+        scored = candidate_score_arrays(df, model_fn, seq, cands, seq_len, n_cands, out="_scores")
         return scored.select(key, F.posexplode(F.arrays_zip(F.col(cands).alias("item"),
                                                             F.col("_scores").alias("score")))
                              .alias("position", "_z")) \

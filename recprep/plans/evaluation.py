@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from recprep.operators.filters import FEATURE_COLUMNS
 from recprep.operators.metrics import (
-    candidate_labels, log_loss, ranking_metrics, roc_auc, roc_auc_thresholded,
+    candidate_labels, log_loss, ranking_metrics, ranking_metrics_arrays, roc_auc,
+    roc_auc_thresholded,
 )
 from recprep.operators.models import predict_logits
-from recprep.operators.scoring import score_candidates
+from recprep.operators.scoring import candidate_score_arrays, score_candidates
 from recprep.sources.files import read_examples
 
 
@@ -37,8 +38,15 @@ def evaluate_ranker(spark, model, examples_path: str) -> DataFrame:
 def evaluate_sequences(spark, eval_path: str, item_vectors: DataFrame | None = None,
                        model_fn=None, mask_id: int | None = None, seq_len: int = 20,
                        n_cands: int = 101, ks=(10, 20, 50)) -> DataFrame:
-    """Recall@K / NDCG@K means over eval rows (answer at position 0)."""
+    """Recall@K / NDCG@K means over eval rows (answer at position 0).
+
+    A user model scores whole candidate arrays, so its metrics are computed
+    row-wise on the arrays; the built-in scorer joins candidate embeddings
+    and uses the long form."""
     ev = spark.read.parquet(eval_path).select("user_id", "eval_seqs", "candidate_items")
+    if model_fn is not None:
+        scored = candidate_score_arrays(ev, model_fn, seq_len=seq_len, n_cands=n_cands)
+        return ranking_metrics_arrays(scored, "scores", ks=ks)
     scores = score_candidates(ev, item_vectors=item_vectors, model_fn=model_fn,
                               mask_id=mask_id, seq_len=seq_len, n_cands=n_cands)
     labels = candidate_labels(ev).select("user_id", "position", "label")
