@@ -88,9 +88,11 @@ def reindex_ids(df: DataFrame, user: str = "user_id", item: str = "book_id") ->
     both = fit_indexes(df, [user, item], start=1)
     user_map = both.where(F.col("column") == user).select("value", "id")
     item_map = both.where(F.col("column") == item).select("value", "id")
-    n_users, n_items = user_map.count(), item_map.count()
-    data = lookup(df, user, user_map, default=PAD_ID, dtype="int")
-    data = lookup(data, item, item_map, default=PAD_ID, dtype="int")
+    sizes = {r["column"]: r["n"] for r in
+             both.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_users, n_items = sizes.get(user, 0), sizes.get(item, 0)
+    data = lookup(df, user, user_map, default=PAD_ID, dtype="int", known_rows=n_users)
+    data = lookup(data, item, item_map, default=PAD_ID, dtype="int", known_rows=n_items)
     return {"data": data, "user_map": user_map, "item_map": item_map,
             "n_users": n_users, "n_items": n_items, "mask_id": n_items + 1}
 
