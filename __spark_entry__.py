@@ -466,6 +466,18 @@ def q_n2_stream_metrics(spark, sf):
     return _r6_all(streams.metrics_from_state(spark, state))
 
 
+def q_ranking_dataset_from_raw_files(spark, sf):
+    """Raw CSV/JSON files -> A1-A3 readers -> I4 + the ranking slice ->
+    shuffled train parts (A6) -> read back (A5)."""
+    raw = staging_path(spark, "raw-ranking")
+    fx.interactions(spark, sf).write.option("header", True).csv(f"{raw}/{ranking.INTERACTIONS_FILE}")
+    fx.user_id_map(spark, sf).write.option("header", True).csv(f"{raw}/{ranking.USER_MAP_FILE}")
+    fx.book_id_map(spark, sf).write.option("header", True).csv(f"{raw}/{ranking.BOOK_MAP_FILE}")
+    fx.books(spark, sf).write.json(f"{raw}/{ranking.BOOKS_FILE}")
+    out = ranking.prepare_ranking_dataset(spark, raw, staging_path(spark, "ranking-dataset"))
+    return _rounded_examples(spark.read.parquet(out["train"]))
+
+
 def q_evaluate_sequence_dataset(spark, sf):
     """Raw CSV -> prepared sequence dataset (A1, J7, A6) -> written eval parts
     scored by the built-in scorer (M5) -> Recall/NDCG@10/20/50 (L3, L4)."""
@@ -720,6 +732,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "g3_repeat_epochs": q_g3_repeat_epochs,
         "h12_to_jagged": q_h12_to_jagged,
         "evaluate_sequence_dataset": q_evaluate_sequence_dataset,
+        "ranking_dataset_from_raw_files": q_ranking_dataset_from_raw_files,
     }
 
 
@@ -1333,6 +1346,7 @@ FROM logits""",
         "m5_score_candidates": M5_SQL,
         "m4_tower_transform": _m4_sql(),
         "evaluate_sequence_dataset": EVAL_SEQ_SQL,
+        "ranking_dataset_from_raw_files": RANK_ROWS + f" SELECT {EX_COLS}, is_read, is_reviewed, label FROM ex WHERE split = 'train'",
         "a1_read_interactions": "WITH " + FIX_INTERACTIONS + " SELECT * FROM interactions",
         "a2_read_id_map": "WITH " + FIX_BOOK_MAP + " SELECT * FROM book_id_map",
         "a3_read_item_metadata": "WITH " + FIX_BOOKS + " SELECT * FROM books",
