@@ -141,11 +141,25 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
     user); each user draws ``oversample * k + 2 * n_pos`` times. Users still
     short after de-duplication are topped up from the most popular admissible
     items, so every user gets exactly ``k`` when the catalogue allows.
+
+    With ``max_positives`` (a proven bound on positives per user, such as
+    the activity filter's ``hi``) each user's positives travel as a bounded
+    array on the small user table: draws are filtered with ``array_contains``
+    where they are made and reach a single shuffle (the per-user gather).
+    Without a bound, positives are removed with an anti join and the first
+    ``k`` come from a per-user window.
     """
     item = table.item
     u = users.select(key, npos_col).withColumn("m", F.lit(oversample * k) + 2 * F.col(npos_col))
-    d = popularity_draws(u, table, seed, key)
-    d = d.join(positives.select(key, item), [key, item], "left_anti")
-    chosen = _first_k(d, F.lit(k), key, item, "draw", out)
+    if max_positives is not None:
+        plist = positives.groupBy(key).agg(F.collect_set(item).alias("_pos"))
+        u = u.join(plist, key, "left")
+        d = popularity_draws(u, table, seed, key, keep=["_pos"])
+        d = d.where(~F.coalesce(F.array_contains("_pos", F.col(item)), F.lit(False))).drop("_pos")
+        chosen = _first_k_arrays(d, k, key, item, "draw", out)
+    else:
+        d = popularity_draws(u, table, seed, key)
+        d = d.join(positives.select(key, item), [key, item], "left_anti")
+        chosen = _first_k(d, F.lit(k), key, item, "draw", out)
     fill = _fill_popular(users.select(key, npos_col), chosen, positives, table, k, key, out, npos_col)
     return chosen.select(key, item, F.col(out).cast("int")).unionByName(fill)
