@@ -83,23 +83,34 @@ def _first_k(draws: DataFrame, k_col, key: str, item: str, draw: str, out: str)
 
 def _fill_popular(users: DataFrame, chosen: DataFrame, excluded: DataFrame | None,
                   table: PopularityTable, k: int, key: str, out: str,
-                  npos_col: str | None) -> DataFrame:
+                  npos_col: str | None, excluded_lists: DataFrame | None = None) -> DataFrame:
     """Top up short users from the most popular items not excluded and not
-    already chosen. Taking ranks 1..(need + excluded + chosen) is exact: that
-    prefix always holds ``need`` admissible items when the catalogue does."""
+    already chosen. Taking ranks 1..(k + excluded count) is exact: that
+    prefix always holds ``need`` admissible items when the catalogue does.
+
+    Already-chosen items (at most k per user) are checked as an array.
+    Excluded items are checked as an array too when ``excluded_lists``
+    (key, ``_pos``) is given, else with an anti join on ``excluded``.
+    """
     item = table.item
-    have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"))
+    have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"),
+                                   F.collect_set(item).alias("_chosen"))
     short = users.join(have, key, "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
     short = short.where(F.col("_have") < k)
+    if excluded_lists is not None:
+        short = short.join(excluded_lists, key, "left")
     npos = F.col(npos_col) if npos_col else F.lit(0)
     span = F.least(F.lit(k) + npos, F.lit(table.n_items))
-    cand = spread(short).select(key, "_have",
-                                     F.explode(F.sequence(F.lit(1), span)).alias("pop_rank"))
+    carry = ["_have", "_chosen"] + (["_pos"] if excluded_lists is not None else [])
+    cand = spread(short).select(key, *carry,
+                                F.explode(F.sequence(F.lit(1), span)).alias("pop_rank"))
     ranked = maybe_broadcast(table.ranked.select(item, "pop_rank"), known_rows=table.n_items)
     cand = cand.join(ranked, "pop_rank")
-    if excluded is not None:
+    cand = cand.where(~F.coalesce(F.array_contains("_chosen", F.col(item)), F.lit(False)))
+    if excluded_lists is not None:
+        cand = cand.where(~F.coalesce(F.array_contains("_pos", F.col(item)), F.lit(False)))
+    elif excluded is not None:
         cand = cand.join(excluded.select(key, item), [key, item], "left_anti")
-    cand = cand.join(chosen.select(key, item), [key, item], "left_anti")
     w = Window.partitionBy(key).orderBy("pop_rank")
     cand = cand.withColumn("_rn", F.row_number().over(w))
     return (cand.where(F.col("_rn") <= F.lit(k) - F.col("_have"))
@@ -151,6 +162,7 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
     """
     item = table.item
     u = users.select(key, npos_col).withColumn("m", F.lit(oversample * k) + 2 * F.col(npos_col))
+    plist = None
     if max_positives is not None:
         plist = positives.groupBy(key).agg(F.collect_set(item).alias("_pos"))
         u = u.join(plist, key, "left")
@@ -161,5 +173,6 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
         d = popularity_draws(u, table, seed, key)
         d = d.join(positives.select(key, item), [key, item], "left_anti")
         chosen = _first_k(d, F.lit(k), key, item, "draw", out)
-    fill = _fill_popular(users.select(key, npos_col), chosen, positives, table, k, key, out, npos_col)
+    fill = _fill_popular(users.select(key, npos_col), chosen, positives, table, k, key, out,
+                         npos_col, excluded_lists=plist)
     return chosen.select(key, item, F.col(out).cast("int")).unionByName(fill)

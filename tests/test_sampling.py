@@ -59,6 +59,9 @@ def test_user_who_saw_all_but_five(spark):
     users = spark.createDataFrame([(999, 25)], "user_id int, n_pos long")
     got = sorted(r["book_id"] for r in sample_negatives_excluding(users, pos, table, 10, 5).collect())
     assert got == [25, 26, 27, 28, 29]
+    bounded = sample_negatives_excluding(users, pos, table, 10, 5, max_positives=25).collect()
+    assert sorted(r["book_id"] for r in bounded) == [25, 26, 27, 28, 29]
+    assert sorted(r["neg_rank"] for r in bounded) == [1, 2, 3, 4, 5]
 
 
 def test_sample_negatives_allows_positives_and_is_distinct(spark):
