@@ -66,16 +66,29 @@ def mask_tokens(rows: DataFrame, prob: float, mask_id: int, seed: int, key: str
 
 def sliding_sequences(rows: DataFrame, seq_len: int, step: int, key: str = "user_id",
                       pos: str = "pos", cols=("train_interactions", "labels"),
-                      start_col: str = "window_start") -> DataFrame:
+                      start_col: str = "window_start", max_len: int | None = None) -> DataFrame:
     """Windows starting at 0, step, 2*step, ... (< n), each ``seq_len``
     long and right-padded with ``PAD_ID``; all ``cols`` windowed together.
 
-    Each row is sent to the windows that contain it (``ceil(seq_len/step)``
-    at most) and each window gathers at most ``seq_len`` rows.
+    Without a length bound each row is sent to the windows that contain it
+    (``ceil(seq_len/step)`` at most) and each window gathers at most
+    ``seq_len`` rows. With ``max_len`` (a proven bound on a user's rows, such
+    as the activity filter's ``hi``) each history is gathered once -- one
+    shuffle of the rows instead of about ``seq_len/step`` copies -- and the
+    windows are array slices.
     """
     if seq_len < step:
         raise ValueError("seq_len must be >= step")
     cols = list(cols)
+    if max_len is not None:
+        g = rows.groupBy(key).agg(F.array_sort(F.collect_list(
+            F.struct(F.col(pos).alias("_p"), *cols))).alias("_s"))
+        starts = F.sequence(F.lit(0), F.size("_s") - 1, F.lit(step))
+        ex = g.select(key, "_s", F.explode(starts).alias("_start"))
+        return ex.select(
+            key, F.col("_start").cast("int").alias(start_col),
+            *[pad_right(F.slice(F.transform("_s", _field(c)), F.col("_start") + 1, seq_len),
+                        seq_len, PAD_ID).alias(c) for c in cols])
     p = F.col(pos)
     i_lo = F.greatest(F.lit(0), F.ceil((p - F.lit(seq_len - 1)) / F.lit(step)).cast("int"))
     i_hi = F.floor(p / F.lit(step)).cast("int")

@@ -65,7 +65,7 @@ def bert_train_set(sd: SequenceData, seq_len: int = SEQ_LEN, step: int = SLIDING
                    mask_prob: float = MASK_PROB, seed: int = SEED) -> DataFrame:
     """(user_id, window_start, train_interactions[L], labels[L])."""
     masked = mask_tokens(train_rows(sd), mask_prob, sd.mask_id, seed)
-    return sliding_sequences(masked, seq_len, step)
+    return sliding_sequences(masked, seq_len, step, max_len=sd.max_rows_per_user)
 
 
 def bert_eval_set(sd: SequenceData, seq_len: int = SEQ_LEN, k: int = EVAL_NEG_NUM,

@@ -63,3 +63,16 @@ def test_eval_sequences_left_padded(spark):
     assert out[0] == [0, 0, 0, 0, MASK]
     assert out[1] == [0, 100, 101, 102, MASK]
     assert out[2] == [121, 122, 123, 124, MASK]
+
+
+def test_bounded_history_windows_equal_row_windows(spark):
+    lengths = [1, 5, 20, 21, 30, 40]
+    df = _train_rows(spark, lengths)
+    a = sliding_sequences(df, L, STEP, cols=["book_id"]).collect()
+    b = sliding_sequences(df, L, STEP, cols=["book_id"], max_len=40).collect()
+    key = lambda r: (r["user_id"], r["window_start"], tuple(r["book_id"]))
+    assert sorted(map(key, a)) == sorted(map(key, b))
+    for u, n in enumerate(lengths):
+        got = [r["book_id"] for r in sorted((r for r in b if r["user_id"] == u),
+                                            key=lambda r: r["window_start"])]
+        assert got == _reference_windows([100 + p for p in range(n)], L, STEP)
