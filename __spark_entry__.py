@@ -69,6 +69,16 @@ from recprep.session import staging_path
 from recprep.sources import files, tfrecord
 from recprep.streaming import streams
 
+# The training-data operators and their pipeline are optional: only their
+# absence is forgiven, any other import error is raised.
+try:
+    import corpus_pipeline
+    from recprep.llm import queries as llm_queries
+except ModuleNotFoundError as _e:
+    if (_e.name or "").split(".")[0] != "corpus_pipeline" and not (_e.name or "").startswith("recprep.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -660,7 +670,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_ranking_examples(spark, SF_SMOKE)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ranking_examples": q_ranking_examples,
         "e4_split_leave_last": q_e4_split_leave_last,
@@ -1292,7 +1302,7 @@ m5s AS (SELECT s.user_id, s.position, s.item, s.label,
     _metrics_sql("mscore", src="m5s") + " SELECT * FROM met"
 
 
-def oracle_sql() -> dict[str, str]:
+def _library_sql() -> dict[str, str]:
     return {
         "ranking_examples": RANKING_SQL,
         "e4_split_leave_last": E4_SQL,
@@ -1415,3 +1425,21 @@ SELECT e.user_id, array_to_string(e.eval_seqs, ',') AS eval_seqs,
          AS candidate_items
 FROM eseq e LEFT JOIN cl ON e.user_id = cl.user_id""",
     }
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries; those of the optional package come last."""
+    out = _library_queries()
+    if llm_queries is not None:
+        out |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return out
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of the queries that SQL can express."""
+    out = _library_sql()
+    if llm_queries is not None:
+        out |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
