@@ -34,10 +34,10 @@ from recprep.llm.common import append_columns
 SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 #: answers about arcs remembered per Python worker: two to this power
-ARC_BITS = 20
+ARC_BITS = 19
 
 #: chunks of text remembered per Python worker
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 120_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -356,9 +356,15 @@ def id_lists(packed: list[bytes]) -> pa.Array:
         np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)))
 
 
-def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text",
-           ids_col: str = "ids") -> DataFrame:
-    """Append ``ids_col`` (array<int>): the token ids of each whole text.
+def emit_labels(labels: list[bytes], ids: list[int]) -> str:
+    """The arc labels of the ids, as text."""
+    return b"".join(map(labels.__getitem__, ids)).decode("utf-8", "replace")
+
+
+def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text", ids_col: str = "ids",
+           decoded_col: str | None = None) -> DataFrame:
+    """Append ``ids_col`` (array<int>): the token ids of each whole text, and
+    with ``decoded_col`` also the text that the ids decode to.
 
     Null or empty text: an empty list. Special strings of the vocabulary
     found in a text give their id, as the tokenizers library does. Every row
@@ -368,10 +374,20 @@ def encode(df: DataFrame, tokenizer_path: str, text_col: str = "text",
 
     def make():
         enc = worker_encoder(key, shared)
-        return lambda texts: [id_lists(enc([t or "" for t in texts]))]
+        labels = enc.auto.labels
+
+        def rows(texts):
+            packed = enc([t or "" for t in texts])
+            out = [id_lists(packed)]
+            if decoded_col:
+                out.append([emit_labels(labels, np.frombuffer(p, dtype="<u4").tolist()) for p in packed])
+            return out
+        return rows
 
-    field = T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)
-    return append_columns(df, [text_col], [field], make)
+    fields = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.StringType(), False))
+    return append_columns(df, [text_col], fields, make)
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids",
@@ -382,14 +398,13 @@ def decode(df: DataFrame, tokenizer_path: str, ids_col: str = "ids",
     _, shared = share_automaton(df.sparkSession, tokenizer_path)
 
     def make():
-        label = shared.value.labels.__getitem__
+        labels = shared.value.labels
 
         def texts(lists: pa.ListArray) -> list:
             ids = lists.flatten().to_numpy(zero_copy_only=False).tolist()
-            lengths = lists.value_lengths().fill_null(0).to_pylist()
             out, at = [], 0
-            for n in lengths:
-                out.append(b"".join(map(label, ids[at:at + n])).decode("utf-8", "replace"))
+            for n in lists.value_lengths().fill_null(0).to_pylist():
+                out.append(emit_labels(labels, ids[at:at + n]))
                 at += n
             return [out]
         return texts

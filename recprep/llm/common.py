@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from recprep.session import ship_package, staging_path
 
 #: bytes of text that a Python task holds at once (about; one text may be longer)
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

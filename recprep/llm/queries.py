@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recprep.llm import bpe, packing
-from recprep.llm.common import table
+from recprep.llm import bpe, html_text, language, packing, quality, simhash, warc
+from recprep.llm.common import staged, table
+from recprep.session import staging_path
 
 
 def _vocabulary(name: str) -> str:
@@ -31,19 +32,96 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of ids and text."""
-    path = _vocabulary("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path).drop("text")
-    both = bpe.decode(ids, path)
+    both = bpe.encode(docs, _vocabulary("byte_bpe_50k.json"), decoded_col="decoded").drop("text")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",")
                               .cast("binary"), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text (quality
+    label 1, not toxic) of its language, and whether it is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.classify(docs, _trusted(spark, sf_dir), keep=["doc_id", "lang"])
+
+
+def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: documents that the quality classifier keeps."""
+    return quality.classify(docs, _trusted(spark, sf_dir)).where("kept").select(*docs.columns)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text",
+                                           F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language.identify(docs, keep=["doc_id"])
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: documents whose language is recognised, with it as
+    their ``lang``."""
+    out = language.identify(docs).where("not rejected")
+    return out.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of each near-duplicate group the document with the
+    smallest id."""
+    groups = simhash.near_duplicates(docs, words=3, max_bits=2)
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("first")).distinct()
+    return docs.join(first, docs["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to web archives and read back."""
+    path = staging_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    back = staged(warc.read_archives(spark, path).select(
+        "record", "type", "row_id", "refers_to", "refers_to_row", "error",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest")), "archive-rows")
+    origin = (back.where("type = 'response'").groupBy(F.col("record").alias("o"))
+                  .agg(F.first("payload_bytes").alias("ob"), F.first("payload_digest").alias("od")))
+    rows = back.join(origin, back["refers_to"] == origin["o"], "left")
+    return rows.select(F.col("row_id").cast("long").alias("page_id"),
+                       F.coalesce("payload_bytes", "ob").alias("payload_bytes"),
+                       F.coalesce("payload_digest", "od").alias("payload_digest"),
+                       F.col("type").alias("record_type"),
+                       F.col("refers_to_row").cast("long").alias("refers_to"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html,
+                  strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS origin FROM p WHERE n >= 100 GROUP BY h)
+SELECT p.page_id, CAST(n AS BIGINT) AS payload_bytes, p.h AS payload_digest,
+       CASE WHEN origin <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN origin <> p.page_id THEN origin END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op4_bpe)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op4_bpe, op6_html_extraction,
+                                    op7_language_id, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": OP10_SQL}
