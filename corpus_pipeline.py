@@ -7,9 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recprep.llm.common import staged, table
-from recprep.llm.queries import pack_stage
+from recprep.llm.queries import language_stage, pack_stage, quality_stage, simhash_stage
 
-STAGES = [("packing", pack_stage)]
+STAGES = [("language", language_stage), ("quality", quality_stage),
+          ("simhash", simhash_stage), ("packing", pack_stage)]
 
 #: SQL expresses none of the stages; tests hold them against brute force.
 ORACLE_SQL = None
