@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recprep.llm import bpe, html_text, language, packing, quality, simhash, warc
+from recprep.llm import (bpe, fingerprints, html_text, language, packing, quality, simhash,
+                         token_counts, warc)
 from recprep.llm.common import staged, table
 from recprep.session import staging_path
 
@@ -30,6 +31,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_stage(spark, table(spark, sf_dir, "documents"), sf_dir)
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and likenesses."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of ids and text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +62,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.classify(docs, _trusted(spark, sf_dir)).where("kept").select(*docs.columns)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and best path score of every document under the unigram
+    reading of a public vocabulary (its pieces and their scores)."""
+    pieces, unknown = token_counts.sentencepiece_vocabulary(_vocabulary("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, pieces, unknown).select("doc_id", "n_tokens", "best_score")
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -119,7 +133,8 @@ FROM p LEFT JOIN f ON p.h = f.h"""
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op4_bpe, op6_html_extraction,
+    return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_order_minhash, op4_bpe,
+                                    op5_token_counts, op6_html_extraction,
                                     op7_language_id, op9_simhash, op10_warc)}
 
 
