@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recprep.llm import (bpe, fingerprints, html_text, language, packing, quality, simhash,
+from recprep.llm import (bpe, embedding_dedup, fingerprints, html_text, language, packing, quality, simhash,
                          token_counts, warc)
 from recprep.llm.common import staged, table
 from recprep.session import staging_path
@@ -91,6 +91,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with equal labels."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -135,7 +140,7 @@ FROM p LEFT JOIN f ON p.h = f.h"""
 def queries() -> dict:
     return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_order_minhash, op4_bpe,
                                     op5_token_counts, op6_html_extraction,
-                                    op7_language_id, op9_simhash, op10_warc)}
+                                    op7_language_id, op8_embedding_dedup, op9_simhash, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
