@@ -156,11 +156,12 @@ _HEADER = {"record": "warc-record-id", "type": "warc-type", "row_id": "x-row-id"
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of one archive file, by Content-Length."""
+    """The records of one archive file, by Content-Length; ValueError where no
+    record can be found."""
     at = 0
     while at < len(data):
-        if data[at:at + 2] == b"\r\n":                # between records
-            at += 2
+        if data[at] in b"\r\n":                      # between records
+            at += 1
             continue
         if not data.startswith(b"WARC/", at):
             raise ValueError(f"no record at byte {at}")
