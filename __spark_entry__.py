@@ -200,6 +200,54 @@ def q_j5_sample_negatives_excluding(spark, sf):
                                       100, 42)
 
 
+def _skewed(spark, sf):
+    """Interactions whose item popularity is steep: item numbers cubed and
+    rescaled, so that most of them meet in the low ones."""
+    n = F.lit(spark.read.parquet(f"{sf}/part.parquet").agg(F.max("p_partkey")).first()[0]).cast("long")
+    b = F.col("book_id").cast("long")
+    return fx.interactions_raw(spark, sf).select(
+        "user_id", (1 + F.floor(b * b * b / (n * n))).cast("int").alias("book_id")).distinct()
+
+
+def q_j5_negatives_skewed(spark, sf):
+    """J5 on steep popularity: short users draw further rounds."""
+    sd = seqplan.prepare(_skewed(spark, sf))
+    pos = sd.rows.where(F.col("role") != "test")
+    users = pos.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_pos"))
+    return sample_negatives_excluding(users, pos.select("user_id", "book_id"), _pop_table(sd),
+                                      100, 42)
+
+
+def q_e3_split_global(spark, sf):
+    """E3 over the global rank, with a group of null users."""
+    x = fx.interactions(spark, sf).select(
+        F.col("user_id").alias("was"), F.when(F.col("user_id") % 17 != 0, F.col("user_id")).alias("user_id"),
+        "book_id")
+    return split_by_ratio(x, "user_id", ["book_id", "was"], 0.8, method="global")
+
+
+def q_b1_null_key(spark, sf):
+    """B1 where some users are null: they are one group."""
+    x = fx.interactions(spark, sf).select(
+        F.when(F.col("user_id") % 400 != 0, F.col("user_id")).alias("user_id"), "book_id")
+    return filter_by_activity(x, "user_id", 20, 200)
+
+
+def q_i3_reindex_mixed_types(spark, sf):
+    """I3 with integer users and text items, each in its own order."""
+    x = fx.interactions(spark, sf).select(
+        "user_id", F.concat(F.lit("B"), F.col("book_id").cast("string")).alias("book_id"))
+    return reindex_ids(x)["data"].select("user_id", "book_id")
+
+
+def q_l2_one_class(spark, sf):
+    """Exact and bucketed AUC of rows of one class: null."""
+    x = fx.interactions(spark, sf).select((F.col("book_id") % 7 - 3.0).cast("double").alias("logit"),
+                                          F.lit(1).alias("label"))
+    return roc_auc(x).withColumnRenamed("roc_auc", "exact").crossJoin(
+        roc_auc_thresholded(x).withColumnRenamed("roc_auc", "bucketed"))
+
+
 def q_j7_bert_eval_set(spark, sf):
     e = seqplan.bert_eval_set(_seq_data(spark, sf))
     return e.select("user_id", _arr("eval_seqs"), _arr("candidate_items"))
@@ -685,6 +733,11 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "j8_popularity_draws": q_j8_popularity_draws,
         "j4_sample_negatives": q_j4_sample_negatives,
         "j5_sample_negatives_excluding": q_j5_sample_negatives_excluding,
+        "j5_negatives_skewed": q_j5_negatives_skewed,
+        "e3_split_global": q_e3_split_global,
+        "b1_null_key": q_b1_null_key,
+        "i3_reindex_mixed_types": q_i3_reindex_mixed_types,
+        "l2_one_class": q_l2_one_class,
         "j7_bert_eval_set": q_j7_bert_eval_set,
         "k1_shuffle_rows": q_k1_shuffle_rows,
         "k3_assign_batches": q_k3_assign_batches,
@@ -765,6 +818,11 @@ interactions AS (
          max(is_read) AS is_read, max(is_reviewed) AS is_reviewed
   FROM interactions_raw GROUP BY user_id, book_id)"""
 
+FIX_SKEWED = FIX_INTERACTIONS_RAW + """,
+interactions AS (
+  SELECT DISTINCT user_id, CAST(1 + CAST(book_id AS BIGINT) * book_id * book_id // (n * n) AS INT) AS book_id
+  FROM interactions_raw, (SELECT CAST(max(p_partkey) AS BIGINT) AS n FROM part) m)"""
+
 FIX_BOOK_MAP = """
 book_id_map AS (
   SELECT CAST(p_partkey AS INT) AS book_id,
@@ -918,37 +976,53 @@ SELECT d.user_id, d.draw, cum.book_id FROM (
 JOIN cum ON d.r >= cum.start AND d.r < cum.start + cum.cnt"""
 
 
-def _negatives_sql(excluding: bool, k: int = 100) -> str:
+def _negatives_sql(excluding: bool, k: int = 100, rounds: int = 4, base: str = "") -> str:
+    """Draws, then up to ``rounds`` further rounds for short users, each with
+    twice the draws, the last one over all items left (see ``_complete``)."""
     if excluding:
         users = ("nusers AS (SELECT user_id, count(*) AS n_pos FROM srows "
                  "WHERE pos < n - 1 GROUP BY user_id),\n"
-                 "posi AS (SELECT user_id, book_id FROM srows WHERE pos < n - 1),")
+                 "posi AS (SELECT user_id, book_id FROM srows WHERE pos < n - 1),\n"
+                 "gone AS (SELECT user_id, count(DISTINCT book_id) AS gone FROM posi GROUP BY user_id),")
         m_expr = f"{4 * k} + 2 * n_pos"
         anti = "AND NOT EXISTS (SELECT 1 FROM posi p WHERE p.user_id = x.user_id AND p.book_id = x.book_id)"
-        span = f"least({k} + h.n_pos, c.n_items)"
     else:
-        users = "nusers AS (SELECT DISTINCT user_id, 0 AS n_pos FROM srows),"
+        users = ("nusers AS (SELECT DISTINCT user_id, 0 AS n_pos FROM srows),\n"
+                 "gone AS (SELECT user_id, 0 AS gone FROM nusers),")
         m_expr = f"{4 * k}"
         anti = ""
-        span = f"least({k}, c.n_items)"
-    return SEQ_BASE + f""",
+    sql = (base or SEQ_BASE) + f""",
 {users}
 draws AS ({_draws_sql("nusers", m_expr)}),
 firsts AS (SELECT user_id, book_id, min(draw) AS draw FROM draws x WHERE TRUE {anti}
            GROUP BY user_id, book_id),
-chosen AS (SELECT user_id, book_id, CAST(neg_rank AS INT) AS neg_rank FROM (
+chosen0 AS (SELECT user_id, book_id, CAST(neg_rank AS INT) AS neg_rank FROM (
              SELECT user_id, book_id, row_number() OVER (PARTITION BY user_id ORDER BY draw) AS neg_rank
-             FROM firsts) t WHERE neg_rank <= {k}),
-short AS (SELECT u.user_id, u.n_pos, coalesce(h.have, 0) AS have FROM nusers u
-          LEFT JOIN (SELECT user_id, count(*) AS have FROM chosen GROUP BY user_id) h
-          ON u.user_id = h.user_id WHERE coalesce(h.have, 0) < {k}),
-cand AS (SELECT h.user_id, h.have, p.book_id, p.pop_rank FROM short h, consts c, prank p
-         WHERE p.pop_rank <= {span}),
-fill AS (SELECT user_id, book_id, CAST(have + rn AS INT) AS neg_rank FROM (
-           SELECT x.*, row_number() OVER (PARTITION BY user_id ORDER BY pop_rank) AS rn FROM cand x
-           WHERE NOT EXISTS (SELECT 1 FROM chosen q WHERE q.user_id = x.user_id AND q.book_id = x.book_id)
-           {anti}) t WHERE rn <= {k} - have),
-negs AS (SELECT * FROM chosen UNION ALL SELECT * FROM fill)"""
+             FROM firsts) t WHERE neg_rank <= {k})"""
+    for r in range(1, rounds + 1):
+        n, before = 4 * k * 2 ** r, f"chosen{r - 1}"
+        u = uniform_sql(42, r, "s.user_id", "p.book_id")
+        sql += f""",
+short{r} AS (SELECT u.user_id, u.n_pos, coalesce(h.have, 0) AS have,
+                    least({k}, c.n_items - coalesce(g.gone, 0)) - coalesce(h.have, 0) AS need
+             FROM nusers u CROSS JOIN consts c
+             LEFT JOIN (SELECT user_id, count(*) AS have FROM {before} GROUP BY user_id) h ON u.user_id = h.user_id
+             LEFT JOIN gone g ON u.user_id = g.user_id
+             WHERE coalesce(h.have, 0) < least({k}, c.n_items - coalesce(g.gone, 0))),
+more{r} AS (SELECT s.* FROM short{r} s, consts c WHERE {n} < c.n_items),
+again{r} AS ({_draws_sql(f"more{r}", f"({m_expr}) * {2 ** r}", round_no=r)}),
+cand{r} AS (SELECT user_id, book_id, CAST(min(draw) AS DOUBLE) AS t FROM again{r} GROUP BY user_id, book_id
+            UNION ALL
+            SELECT s.user_id, p.book_id, -ln(1 - {u}) / p.cnt AS t FROM short{r} s, pop p, consts c
+            WHERE {n} >= c.n_items),
+chosen{r} AS (SELECT * FROM {before} UNION ALL
+  SELECT t.user_id, t.book_id, CAST(s.have + rn AS INT) FROM (
+    SELECT x.user_id, x.book_id, row_number() OVER (PARTITION BY x.user_id ORDER BY x.t, x.book_id) AS rn
+    FROM cand{r} x WHERE NOT EXISTS (SELECT 1 FROM {before} q WHERE q.user_id = x.user_id
+                                     AND q.book_id = x.book_id) {anti}) t
+  JOIN short{r} s ON t.user_id = s.user_id WHERE rn <= s.need)"""
+    return sql + f""",
+negs AS (SELECT * FROM chosen{rounds})"""
 
 
 E4_SQL = "WITH " + FIX_INTERACTIONS + """,
@@ -1321,6 +1395,22 @@ SELECT round(avg(CASE WHEN m.train_interactions = c.mask_id THEN 1.0 ELSE 0.0 EN
 SELECT user_id, eval_interactions, array_to_string(eval_seqs, ',') AS eval_seqs FROM eseq""",
         "j8_popularity_draws": SEQ_BASE + ",\nnusers AS (SELECT DISTINCT user_id FROM srows)" + _draws_sql("nusers", "30"),
         "j4_sample_negatives": _negatives_sql(False) + " SELECT user_id, book_id, neg_rank FROM negs",
+        "j5_negatives_skewed": _negatives_sql(True, base=SEQ_BASE.replace(FIX_INTERACTIONS, FIX_SKEWED))
+            + " SELECT user_id, book_id, neg_rank FROM negs",
+        "e3_split_global": "WITH " + FIX_INTERACTIONS + """,
+x AS (SELECT user_id AS was, CASE WHEN user_id % 17 <> 0 THEN user_id END AS user_id, book_id FROM interactions),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY book_id, was) - 1 AS p,
+             count(*) OVER (PARTITION BY user_id) AS n FROM x)
+SELECT was, user_id, book_id, CASE WHEN p < ceil(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'eval' END AS split FROM r""",
+        "b1_null_key": "WITH " + FIX_INTERACTIONS + """,
+x AS (SELECT CASE WHEN user_id % 400 <> 0 THEN user_id END AS user_id, book_id FROM interactions),
+r AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM x)
+SELECT user_id, book_id FROM r WHERE n BETWEEN 20 AND 200""",
+        "i3_reindex_mixed_types": "WITH " + FIX_INTERACTIONS + """
+SELECT CAST(dense_rank() OVER (ORDER BY user_id) AS INT) AS user_id,
+       CAST(dense_rank() OVER (ORDER BY 'B' || CAST(book_id AS VARCHAR)) AS INT) AS book_id FROM interactions""",
+        "l2_one_class": """SELECT CAST(CASE WHEN count(*) < 0 THEN 0 END AS DOUBLE) AS "exact",
+CAST(CASE WHEN count(*) < 0 THEN 0 END AS DOUBLE) AS bucketed FROM lineitem""",
         "j5_sample_negatives_excluding": _negatives_sql(True) + " SELECT user_id, book_id, neg_rank FROM negs",
         "k1_shuffle_rows": PAIRS + """
 SELECT user_id, book_id, row_number() OVER (ORDER BY """ + uniform_sql(42, 1, "user_id", "book_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,14 @@ def fit_indexes(df: DataFrame, cols, start: int = 0) -> DataFrame:
     column's ids are its global index minus the column's first index (a
     per-column minimum: as many rows as columns, so broadcast)."""
     cols = list(cols)
-    types = {dict(df.dtypes)[c] for c in cols}
-    vtype = types.pop() if len(types) == 1 else "string"   # keep numeric order
+    kinds = dict(df.dtypes)
+    if len({kinds[c] for c in cols}) > 1:
+        # each type in its own order; the values meet as strings afterwards
+        parts = [fit_indexes(df, [c for c in cols if kinds[c] == t], start)
+                 for t in dict.fromkeys(kinds[c] for c in cols)]
+        parts = [p.select("column", F.col("value").cast("string").alias("value"), "id") for p in parts]
+        return reduce(DataFrame.unionByName, parts)
+    vtype = kinds[cols[0]]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                          F.col(c).cast(vtype).alias("value"))
                                 for c in cols])).alias("_kv")

@@ -27,7 +27,7 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
     read twice: once to count, once to filter. When their number is under the broadcast bound
     (counted, not assumed) the semi join is a map-side broadcast filter: a
     hot key above ``hi`` is dropped where it is read and never reaches a
-    shuffle, and every later per-key shuffle sees groups of at most ``hi``
+    shuffle, rows with a null key count as one group, and every later per-key shuffle sees groups of at most ``hi``
     rows. Above the bound it is a shuffle semi join (AQE splits skewed
     partitions where the plan allows).
     """
@@ -40,7 +40,9 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
     # the kept keys (one row per key) are checkpointed once: the size check
     # and the join then read that small table instead of re-counting the input
     keep = materialize(counts.where(cond).select(key))
-    return df.join(maybe_broadcast(keep, max_rows=broadcast_rows), key, "left_semi")
+    kept = keep.select(F.col(key).alias("_act_key"))
+    return df.join(maybe_broadcast(kept, max_rows=broadcast_rows),
+                   F.col(key).eqNullSafe(F.col("_act_key")), "left_semi")
 
 
 def binarize(df: DataFrame, col: str = "rating", threshold: int = POSITIVE_RATING,

@@ -11,6 +11,8 @@ Cost: one range shuffle, one checkpoint write, no further shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,6 +132,7 @@ def rank_within(df: DataFrame, keys, order, pos: str = "pos", size: str = "n",
     ``method="global"``: a global range sort on (keys, order) splits a hot key
     over many tasks; the position is the global index minus the group's first
     index (a partial aggregate). Safe for a key holding a third of all rows.
+    Both put rows with a null key into one group of their own.
     ``method="auto"`` measures the largest group and uses the window path
     only under ``recprep.window.maxGroupRows`` (default 5M rows).
     """
@@ -147,10 +150,13 @@ def rank_within(df: DataFrame, keys, order, pos: str = "pos", size: str = "n",
     from recprep.operators.joins import maybe_broadcast
 
     idx = with_row_index(df, keys + order, name="_rx_idx")
-    stats = idx.groupBy(*keys).agg(F.min("_rx_idx").alias("_rx_first"),
+    names = list(keys)
+    stats = idx.groupBy(*names).agg(F.min("_rx_idx").alias("_rx_first"),
                                    F.count(F.lit(1)).alias(size))
     # one row per key: broadcast under the bound, so hot keys' rows stay put
-    return (idx.join(maybe_broadcast(stats), keys)
+    stats = stats.select(*[F.col(c).alias(f"_rx_k{i}") for i, c in enumerate(names)], "_rx_first", size)
+    same = [F.col(c).eqNullSafe(F.col(f"_rx_k{i}")) for i, c in enumerate(names)]
+    return (idx.join(maybe_broadcast(stats), reduce(and_, same))
                .withColumn(pos, (F.col("_rx_idx") - F.col("_rx_first")).cast("int"))
                .withColumn(size, F.col(size).cast("bigint"))
-               .drop("_rx_idx", "_rx_first"))
+               .drop("_rx_idx", "_rx_first", *[f"_rx_k{i}" for i in range(len(names))]))

@@ -28,6 +28,7 @@ from recprep.functions.random import uniform
 from recprep.operators.aggregates import popularity_rank
 from recprep.operators.indexing import running_sum, spread
 from recprep.operators.joins import maybe_broadcast
+from recprep.session import materialize
 
 
 @dataclass
@@ -81,40 +82,58 @@ def _first_k(draws: DataFrame, k_col, key: str, item: str, draw: str, out: str)
     return first.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k_col).drop(draw)
 
 
-def _fill_popular(users: DataFrame, chosen: DataFrame, excluded: DataFrame | None,
-                  table: PopularityTable, k: int, key: str, out: str,
-                  npos_col: str | None, excluded_lists: DataFrame | None = None) -> DataFrame:
-    """Top up short users from the most popular items not excluded and not
-    already chosen. Taking ranks 1..(k + excluded count) is exact: that
-    prefix always holds ``need`` admissible items when the catalogue does.
+def _complete(users: DataFrame, chosen: DataFrame, excluded: DataFrame | None,
+              table: PopularityTable, k: int, key: str, out: str, seed: int,
+              draws: int) -> DataFrame:
+    """Go on drawing for users that have fewer than ``k`` items, until each has
+    k or its whole admissible catalogue.
 
-    Already-chosen items (at most k per user) are checked as an array.
-    Excluded items are checked as an array too when ``excluded_lists``
-    (key, ``_pos``) is given, else with an anti join on ``excluded``.
+    Every round doubles the draws (``m`` of each user, ``draws`` for the
+    comparison below) under a new round number. When a round would draw as
+    often as there are items, the rest is decided at once over the items left:
+    the smallest exponential waiting times -ln(1 - u) / count, which is the
+    same sequential law without replacement. Only short users take part.
     """
     item = table.item
-    have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"),
-                                   F.collect_set(item).alias("_chosen"))
-    short = users.join(have, key, "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
-    short = short.where(F.col("_have") < k)
-    if excluded_lists is not None:
-        short = short.join(excluded_lists, key, "left")
-    npos = F.col(npos_col) if npos_col else F.lit(0)
-    span = F.least(F.lit(k) + npos, F.lit(table.n_items))
-    carry = ["_have", "_chosen"] + (["_pos"] if excluded_lists is not None else [])
-    cand = spread(short).select(key, *carry,
-                                F.explode(F.sequence(F.lit(1), span)).alias("pop_rank"))
-    ranked = maybe_broadcast(table.ranked.select(item, "pop_rank"), known_rows=table.n_items)
-    cand = cand.join(ranked, "pop_rank")
-    cand = cand.where(~F.coalesce(F.array_contains("_chosen", F.col(item)), F.lit(False)))
-    if excluded_lists is not None:
-        cand = cand.where(~F.coalesce(F.array_contains("_pos", F.col(item)), F.lit(False)))
-    elif excluded is not None:
-        cand = cand.join(excluded.select(key, item), [key, item], "left_anti")
-    w = Window.partitionBy(key).orderBy("pop_rank")
-    cand = cand.withColumn("_rn", F.row_number().over(w))
-    return (cand.where(F.col("_rn") <= F.lit(k) - F.col("_have"))
-                .select(key, item, (F.col("_have") + F.col("_rn")).cast("int").alias(out)))
+    chosen = materialize(chosen.select(key, item, F.col(out).cast("int").alias(out)))
+    round_no = 0
+    while True:
+        have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"))
+        short = (users.select(key, "m").join(have, key, "left")
+                      .withColumn("_have", F.coalesce("_have", F.lit(0))).where(F.col("_have") < k))
+        if excluded is not None:
+            gone = (excluded.select(key, item).join(table.ranked.select(item), item, "left_semi")
+                            .groupBy(key).agg(F.countDistinct(item).alias("_gone")))
+            short = short.join(gone, key, "left")
+            left = F.lit(table.n_items) - F.coalesce("_gone", F.lit(0))
+        else:
+            left = F.lit(table.n_items)
+        short = materialize(short.withColumn("_need", F.least(F.lit(k), left) - F.col("_have"))
+                                 .where(F.col("_need") > 0).select(key, "m", "_have", "_need"))
+        if short.isEmpty():
+            return chosen
+        round_no += 1
+        draws *= 2
+        if draws < table.n_items:
+            again = short.withColumn("m", F.col("m") * (1 << round_no))
+            cand = (popularity_draws(again, table, seed, key, round_no=round_no)
+                    .groupBy(key, item).agg(F.min("draw").cast("double").alias("_when")))
+        else:
+            ranked = maybe_broadcast(table.ranked.select(item, "count", "pop_rank"),
+                                     known_rows=table.n_items)
+            cand = (spread(short).select(key, F.explode(F.sequence(F.lit(1), F.lit(table.n_items)))
+                                         .alias("pop_rank"))
+                    .join(ranked, "pop_rank")
+                    .withColumn("_when", -F.log(1 - uniform(seed, round_no, key, item)) / F.col("count"))
+                    .select(key, item, "_when"))
+        cand = cand.join(chosen.select(key, item), [key, item], "left_anti")
+        if excluded is not None:
+            cand = cand.join(excluded.select(key, item), [key, item], "left_anti")
+        w = Window.partitionBy(key).orderBy("_when", item)
+        new = (cand.withColumn("_rn", F.row_number().over(w)).join(short, key)
+                   .where(F.col("_rn") <= F.col("_need"))
+                   .select(key, item, (F.col("_have") + F.col("_rn")).cast("int").alias(out)))
+        chosen = materialize(chosen.unionByName(new))
 
 
 def sample_negatives(users: DataFrame, table: PopularityTable, k: int = 100, seed: int = 42,
@@ -124,20 +143,21 @@ def sample_negatives(users: DataFrame, table: PopularityTable, k: int = 100, see
     u = users.select(key).withColumn("m", F.lit(oversample * k))
     d = popularity_draws(u, table, seed, key)
     chosen = _first_k(d, F.lit(k), key, table.item, "draw", out)
-    fill = _fill_popular(users.select(key), chosen, None, table, k, key, out, None)
-    return chosen.select(key, table.item, F.col(out).cast("int")).unionByName(fill)
+    return _complete(u, chosen, None, table, k, key, out, seed, oversample * k)
 
 
-def _first_k_arrays(draws: DataFrame, k: int, key: str, item: str, draw: str,
-                    out: str) -> DataFrame:
-    """First ``k`` distinct items per user in draw order with one shuffle:
-    the user's (draw, item) pairs are gathered, sorted by draw, and
-    ``array_distinct`` keeps first occurrences. Draw lists are bounded by
-    the user's draw count."""
+def _first_k_arrays(draws: DataFrame, excluded_lists: DataFrame, k: int, key: str, item: str,
+                    draw: str, out: str) -> DataFrame:
+    """First ``k`` distinct admissible items per user in draw order with one
+    shuffle of (user, draw, item): a user's pairs are gathered and sorted by
+    draw, then the user's excluded items (one row per user) are taken out.
+    Draw lists are bounded by the user's draw count."""
     g = draws.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(draw, item))).alias("_d"))
-    firsts = F.slice(F.array_distinct(F.transform("_d", lambda x: x[item])), 1, k)
-    return (g.select(key, F.posexplode(firsts).alias("_p", item))
+        F.array_sort(F.collect_list(F.struct(draw, item))).alias("_d")).join(excluded_lists, key, "left")
+    items = F.transform("_d", lambda x: x[item])
+    admissible = F.when(F.col("_pos").isNull(), F.array_distinct(items)).otherwise(
+        F.array_except(items, F.col("_pos")))
+    return (g.select(key, F.posexplode(F.slice(admissible, 1, k)).alias("_p", item))
              .select(key, item, (F.col("_p") + 1).cast("int").alias(out)))
 
 
@@ -150,29 +170,22 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
 
     ``users`` has the key and ``n_pos`` (number of excluded items of that
     user); each user draws ``oversample * k + 2 * n_pos`` times. Users still
-    short after de-duplication are topped up from the most popular admissible
-    items, so every user gets exactly ``k`` when the catalogue allows.
+    short after de-duplication draw again (``_complete``), so every user gets
+    exactly ``k`` when the catalogue allows.
 
     With ``max_positives`` (a proven bound on positives per user, such as
-    the activity filter's ``hi``) each user's positives travel as a bounded
-    array on the small user table: draws are filtered with ``array_contains``
-    where they are made and reach a single shuffle (the per-user gather).
+    the activity filter's ``hi``) each user's positives become one array, which
+    meets the user's gathered draws; only (user, draw, item) is shuffled.
     Without a bound, positives are removed with an anti join and the first
     ``k`` come from a per-user window.
     """
     item = table.item
     u = users.select(key, npos_col).withColumn("m", F.lit(oversample * k) + 2 * F.col(npos_col))
-    plist = None
+    d = popularity_draws(u, table, seed, key)
     if max_positives is not None:
-        plist = positives.groupBy(key).agg(F.collect_set(item).alias("_pos"))
-        u = u.join(plist, key, "left")
-        d = popularity_draws(u, table, seed, key, keep=["_pos"])
-        d = d.where(~F.coalesce(F.array_contains("_pos", F.col(item)), F.lit(False))).drop("_pos")
-        chosen = _first_k_arrays(d, k, key, item, "draw", out)
+        lists = positives.groupBy(key).agg(F.collect_set(item).alias("_pos"))
+        chosen = _first_k_arrays(d, lists, k, key, item, "draw", out)
     else:
-        d = popularity_draws(u, table, seed, key)
         d = d.join(positives.select(key, item), [key, item], "left_anti")
         chosen = _first_k(d, F.lit(k), key, item, "draw", out)
-    fill = _fill_popular(users.select(key, npos_col), chosen, positives, table, k, key, out,
-                         npos_col, excluded_lists=plist)
-    return chosen.select(key, item, F.col(out).cast("int")).unionByName(fill)
+    return _complete(u, chosen, positives, table, k, key, out, seed, oversample * k)

@@ -18,7 +18,7 @@ from recprep.operators.encoding import CATEGORY_COLUMNS, encode_categoricals
 from recprep.operators.filters import RANKING_COLUMNS, binarize, filter_by_activity
 from recprep.operators.joins import attach_features, attach_internal_id
 from recprep.operators.windows import split_by_ratio
-from recprep.session import materialize
+from recprep.session import materialize, staged
 
 CONTINUOUS_COLUMNS = ["avg_rating", "num_pages"]
 
@@ -122,29 +122,32 @@ def prepare_ranking_dataset(spark, data_dir: str, out_dir: str, write_format: st
     books = files.read_item_metadata(spark, f"{base}/{BOOKS_FILE}")
     feats, sizes = build_item_features(book_map, books, user_map)
     files.write_size_map(sizes, f"{out_dir}/size_map")
-    ex = ranking_examples(inter, feats)
+    # the tagged rows are made once; both splits and their counts read them back
+    ex = staged(ranking_examples(inter, feats), "ranking-examples")
     cols = [c for c in ex.columns if c != "split"]
+    rows = {r["split"]: r["count"] for r in ex.groupBy("split").count().collect()}
     out = {"size_map": f"{out_dir}/size_map"}
     for split, shuffle in (("train", True), ("eval", False)):
         part = ex.where(F.col("split") == split).select(*cols)
         if write_format == "parquet":
             out[split] = files.write_parts(part, f"{out_dir}/parquet", split, n_parts,
                                            shuffle=shuffle, seed=seed, keys=["user_id", "item_id"],
-                                           order=["user_id", "item_id"])
+                                           order=["user_id", "item_id"], rows=rows.get(split, 0))
         else:
             tfrecord.register(spark)
             from recprep.operators.batching import shuffle_key
             typed = part.select(*[F.col(c).cast("bigint") for c in RANKING_COLUMNS[:7]],
                                 *[F.col(c).cast("float") for c in ("avg_rating", "num_pages", "label")])
+            tasks = n_parts * files.files_per_part(rows.get(split, 0), n_parts)
             if shuffle:
                 typed = (typed.withColumn("_k", shuffle_key(seed, 0, "user_id", "item_id"))
-                              .repartitionByRange(n_parts, "_k").sortWithinPartitions("_k").drop("_k"))
+                              .repartitionByRange(tasks, "_k").sortWithinPartitions("_k").drop("_k"))
             else:
-                typed = typed.repartitionByRange(n_parts, "user_id", "item_id")
+                typed = typed.repartitionByRange(tasks, "user_id", "item_id")
             path = f"{out_dir}/tfrecord/{split}"
             typed.write.format("tfrecord").mode("overwrite").save(path)
             out[split] = path
-        n = spark.read.parquet(out[split]).count() if write_format == "parquet" else part.count()
+        n = rows.get(split, 0)
         files.write_data_size(spark, n, f"{out_dir}/{write_format}/{split}_data_size", split)
         out[f"{split}_rows"] = n
     return out

@@ -104,3 +104,12 @@ def staging_path(spark: SparkSession, name: str) -> str:
     (for example files written to exercise a reader)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Write ``df`` as compressed Parquet in the shared folder and read it
+    back: cuts the lineage like a checkpoint, but later scans read only the
+    columns they need."""
+    path = staging_path(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

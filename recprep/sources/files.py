@@ -63,26 +63,46 @@ def read_examples(spark: SparkSession, path: str, feature_cols, label_col: str |
     return spark.read.parquet(path).select(*cols)
 
 
+#: rows that one written file holds (about)
+ROWS_PER_FILE = 5_000_000
+
+
+def files_per_part(rows: int, n_parts: int) -> int:
+    """How many files (and tasks) each part gets for this many rows."""
+    return max(1, -(-rows // (n_parts * ROWS_PER_FILE)))
+
+
 def write_parts(df: DataFrame, out_dir: str, prefix: str, n_parts: int, shuffle: bool = False,
-                seed: int = 42, keys=None, order=None, mode: str = "overwrite") -> str:
+                seed: int = 42, keys=None, order=None, mode: str = "overwrite",
+                rows: int | None = None, files: int | None = None) -> str:
     """Write ``n_parts`` near-equal Parquet parts under ``out_dir/prefix``.
 
     ``shuffle=True`` orders rows by a seeded J9 key over ``keys`` (the train
     prefix); otherwise by ``order``. Range partitioning on that key gives the
     equal parts; file names are Spark's.
+
+    A part is one file while that is enough. With ``files`` per part, or
+    ``rows`` (the row count) asking for more than one, the parts are folders
+    ``part=0 ...`` of so many files, each written by a task of its own, and
+    readers see a ``part`` column besides the others.
     """
     path = os.path.join(out_dir, prefix)
+    each = files or files_per_part(rows or 0, n_parts)
+    tasks = n_parts * each
     if shuffle:
         keys = [keys] if isinstance(keys, str) else list(keys or df.columns)
-        k = shuffle_key(seed, 0, *keys)
-        data = df.withColumn("_part_key", k).repartitionByRange(n_parts, "_part_key", *keys) \
-                 .sortWithinPartitions("_part_key", *keys).drop("_part_key")
+        df = df.withColumn("_part_key", shuffle_key(seed, 0, *keys))
+        order = ["_part_key", *keys]
     elif order is not None:
         order = [order] if isinstance(order, str) else list(order)
-        data = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-    else:
-        data = df.repartition(n_parts)
-    data.write.mode(mode).parquet(path)
+    data = df.repartitionByRange(tasks, *order) if order else df.repartition(tasks)
+    if each > 1:
+        data = data.withColumn("part", F.floor(F.spark_partition_id() / each).cast("int"))
+        order = ["part", *(order or [])]
+    if order:
+        data = data.sortWithinPartitions(*order)
+    writer = data.drop("_part_key").write.mode(mode)
+    (writer.partitionBy("part") if each > 1 else writer).parquet(path)
     return path
 
 

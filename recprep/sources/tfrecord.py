@@ -6,17 +6,21 @@ task, one ``tf.train.Example`` per row; ``spark.read.format("tfrecord")
 boolean columns become ``int64_list`` features, float/double ``float_list``,
 string/binary ``bytes_list``; arrays of those become multi-value features.
 Records carry masked CRC-32C checksums of the length and of the payload.
+Files are opened through Arrow's file systems, so any store that they know
+(local, HDFS, S3, GCS) can be written and read.
 """
 
 from __future__ import annotations
 
-import glob
 import gzip
+import io
+import math
 import os
 import struct
 import uuid
 from collections import defaultdict
 from typing import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 
@@ -149,6 +153,43 @@ def encode_example(features: dict) -> bytes:
     return _len_field(1, entries)
 
 
+class ColumnEncoder:
+    """The serialized map entries of one column, a batch at a time; entries of
+    scalar values are remembered, up to ``most`` of them."""
+
+    def __init__(self, name: str, kind: str, is_list: bool, most: int = 50_000):
+        self.name, self.kind, self.is_list, self.most = name, kind, is_list, most
+        self.known: dict = {None: b""}
+
+    def _entry(self, values) -> bytes:
+        return _len_field(1, _name_field(self.name) + _len_field(2, _feature(self.kind, values)))
+
+    def __call__(self, column) -> list[bytes]:
+        values = column.to_pylist()
+        if self.is_list:
+            return [b"" if v is None else self._entry(v) for v in values]
+        known = self.known
+        if self.kind == "float":                      # 0.0 and -0.0 are equal keys
+            values = [v if v != 0 or v is None else (math.copysign(1.0, v), 0.0) for v in values]
+        if len(known) > self.most:
+            known = self.known = {None: b""}
+        for v in set(values) - known.keys():
+            known[v] = self._entry([math.copysign(0.0, v[0]) if isinstance(v, tuple) else v])
+        return list(map(known.__getitem__, values))
+
+
+def encode_batch(columns: list, encoders: list[ColumnEncoder]) -> list[bytes]:
+    """Serialized Examples of the rows of one batch, encoded column by column."""
+    heads: dict[int, bytes] = {}
+    out = []
+    for body in map(b"".join, zip(*[e(c) for e, c in zip(encoders, columns)])):
+        head = heads.get(len(body))
+        if head is None:
+            head = heads[len(body)] = _TAGS[1] + _varint(len(body))
+        out.append(head + body)
+    return out
+
+
 def _fields(buf: bytes):
     i, n = 0, len(buf)
     while i < n:
@@ -303,12 +344,6 @@ def _decode_general(buf: bytes) -> dict:
     return out
 
 
-def write_record(fh, payload: bytes) -> None:
-    length = struct.pack("<Q", len(payload))
-    fh.write(length + struct.pack("<I", masked_crc(length)) + payload
-             + struct.pack("<I", masked_crc(payload)))
-
-
 def write_records(fh, payloads: list) -> None:
     """Frame and write a chunk of records with vectorised checksums."""
     heads = [struct.pack("<Q", len(p)) for p in payloads]
@@ -344,33 +379,31 @@ def read_record_chunks(fh, chunk: int = 4096, verify: bool = True) -> Iterator[l
             return
 
 
-def read_records(fh, verify: bool = True) -> Iterator[bytes]:
-    while True:
-        head = fh.read(12)
-        if not head:
-            return
-        if len(head) < 12:
-            raise ValueError("truncated TFRecord header")
-        length = struct.unpack("<Q", head[:8])[0]
-        if verify and struct.unpack("<I", head[8:])[0] != masked_crc(head[:8]):
-            raise ValueError("TFRecord length checksum mismatch")
-        payload = fh.read(length)
-        tail = fh.read(4)
-        if verify and struct.unpack("<I", tail)[0] != masked_crc(payload):
-            raise ValueError("TFRecord payload checksum mismatch")
-        yield payload
+# ---------------------------------------------------------------- Spark glue
+CHUNK_RECORDS = 4096
 
 
-# ---------------------------------------------------------------- Spark glue
-def local_path(path: str) -> str:
-    """``file:`` URIs -> POSIX paths. The Python writer and reader open files
-    with the OS, so other schemes need the store mounted on every node."""
-    from urllib.parse import urlparse
+def store(path: str, default_fs: str | None = None):
+    """(file system, path inside it) of a path or URI, as Spark resolves it: a
+    path without a scheme lies on the default file system."""
+    from pyarrow import fs
+
+    scheme = urlparse(path).scheme
+    if not scheme and default_fs and urlparse(default_fs).scheme not in ("", "file"):
+        path = default_fs.rstrip("/") + "/" + path.lstrip("/")
+    elif not scheme:
+        return fs.LocalFileSystem(), os.path.abspath(path)
+    elif scheme == "file":
+        return fs.LocalFileSystem(), urlparse(path).path
+    return fs.FileSystem.from_uri(path)
+
 
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return u.path if u.scheme else path
-    raise ValueError(f"tfrecord needs a path on a shared POSIX mount, got {path!r}")
+def _listed(files, where: str) -> list[str]:
+    """Paths of the plain files right under ``where`` (none if it's missing)."""
+    from pyarrow import fs
+
+    found = files.get_file_info(fs.FileSelector(where, allow_not_found=True))
+    return sorted(f.path for f in found if f.type == fs.FileType.File)
 
 
 _INTS = (ByteType, ShortType, IntegerType, LongType, BooleanType)
@@ -400,12 +433,13 @@ class TFRecordWriter(DataSourceArrowWriter):
     the driver keeps exactly the files named in the task commit messages, so
     retried or speculative task attempts leave no duplicate rows."""
 
-    def __init__(self, schema: StructType, options: dict, overwrite: bool):
+    def __init__(self, schema: StructType, options: dict, overwrite: bool,
+                 default_fs: str | None = None):
         self.job = uuid.uuid4().hex[:12]
         self.schema = schema
         if not options.get("path"):
             raise ValueError("tfrecord writer needs a path")
-        self.path = local_path(options.get("path"))
+        self.path, self.default_fs = options.get("path"), default_fs
         self.level = int(options.get("compressionLevel", "6"))
         self.overwrite = overwrite
 
@@ -414,64 +448,55 @@ class TFRecordWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        os.makedirs(self.path, exist_ok=True)
-        target = os.path.join(
-            self.path, f"part-{pid:05d}-{self.job}-{uuid.uuid4().hex[:8]}.tfrecord.gz")
-        tmp = target + ".inprogress"
-        kinds = [(i, f.name, _kind(f.dataType), isinstance(f.dataType, ArrayType))
-                 for i, f in enumerate(self.schema.fields)]
+        files, where = store(self.path, self.default_fs)
+        files.create_dir(where, recursive=True)
+        target = f"{where.rstrip('/')}/part-{pid:05d}-{self.job}-{uuid.uuid4().hex[:8]}.tfrecord.gz"
+        encoders = [ColumnEncoder(f.name, _kind(f.dataType), isinstance(f.dataType, ArrayType))
+                    for f in self.schema.fields]
         n = 0
-        buf = []
-        with gzip.open(tmp, "wb", compresslevel=self.level) as fh:
+        with files.open_output_stream(target + ".inprogress", compression=None) as raw, \
+                gzip.GzipFile(fileobj=raw, mode="wb", compresslevel=self.level) as fh:
             for batch in iterator:
-                cols = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-                for row in zip(*cols):
-                    feats = {}
-                    for i, name, kind, is_list in kinds:
-                        v = row[i]
-                        if v is None:
-                            continue
-                        feats[name] = (kind, list(v) if is_list else [v])
-                    buf.append(encode_example(feats))
-                    if len(buf) >= 4096:
-                        write_records(fh, buf)
-                        n += len(buf)
-                        buf = []
-            if buf:
-                write_records(fh, buf)
-                n += len(buf)
-        os.replace(tmp, target)
+                for at in range(0, batch.num_rows, CHUNK_RECORDS):
+                    part = batch.slice(at, CHUNK_RECORDS)
+                    write_records(fh, encode_batch(part.columns, encoders))
+                    n += part.num_rows
+        files.move(target + ".inprogress", target)
         return _Commit(target, n)
 
     def commit(self, messages) -> None:
         """Keep the committed files; drop this job's other attempts and, in
         overwrite mode, the record files of earlier writes."""
         keep = {m.path for m in messages if m is not None}
-        for f in glob.glob(os.path.join(self.path, "part-*.tfrecord.gz*")):
-            mine = f"-{self.job}-" in os.path.basename(f)
-            if f not in keep and (mine or self.overwrite):
-                os.remove(f)
+        files, where = store(self.path, self.default_fs)
+        for f in _listed(files, where):
+            name = os.path.basename(f)
+            if name.startswith("part-") and ".tfrecord.gz" in name and f not in keep and (
+                    f"-{self.job}-" in name or self.overwrite):
+                files.delete_file(f)
         return None
 
     def abort(self, messages) -> None:
-        for f in glob.glob(os.path.join(self.path, f"part-*-{self.job}-*")):
-            os.remove(f)
+        files, where = store(self.path, self.default_fs)
+        for f in _listed(files, where):
+            if os.path.basename(f).startswith("part-") and f"-{self.job}-" in f:
+                files.delete_file(f)
 
 
 class TFRecordReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict):
+    def __init__(self, schema: StructType, options: dict, default_fs: str | None = None):
         self.schema = schema
-        self.path = local_path(options.get("path"))
+        self.path, self.default_fs = options.get("path"), default_fs
         self.verify = options.get("verifyChecksums", "true").lower() == "true"
 
     def partitions(self):
-        p = self.path
-        if os.path.isdir(p):
-            files = glob.glob(os.path.join(p, "*.tfrecord.gz")) + glob.glob(os.path.join(p, "*.tfrecord"))
-        else:
-            files = glob.glob(p)
-        files = sorted(f for f in files if not f.endswith(".inprogress"))
-        return [InputPartition(f) for f in files]
+        from pyarrow import fs
+
+        files, where = store(self.path, self.default_fs)
+        whole = files.get_file_info(where).type == fs.FileType.File
+        found = [where] if whole else [f for f in _listed(files, where)
+                                       if f.endswith((".tfrecord.gz", ".tfrecord"))]
+        return [InputPartition(f) for f in found]
 
     def read(self, partition):
         """Yields Arrow record batches (one per chunk of records)."""
@@ -480,8 +505,10 @@ class TFRecordReader(DataSourceReader):
 
         fields = [(f.name, f.dataType) for f in self.schema.fields]
         arrow_schema = to_arrow_schema(self.schema)
-        opener = gzip.open if partition.value.endswith(".gz") else open
-        with opener(partition.value, "rb") as fh:
+        files, _ = store(self.path, self.default_fs)
+        zipped = partition.value.endswith(".gz")
+        with files.open_input_stream(partition.value, compression=None) as raw, \
+                (gzip.GzipFile(fileobj=raw) if zipped else io.BufferedReader(raw, 1 << 20)) as fh:
             for payloads in read_record_chunks(fh, verify=self.verify):
                 cols = {name: [] for name, _ in fields}
                 for payload in payloads:
@@ -512,6 +539,8 @@ def _convert(v, dt):
 class TFRecordDataSource(DataSource):
     """``format("tfrecord")``: a schema is required for reading."""
 
+    default_fs: str | None = None                     # set by ``register``
+
     @classmethod
     def name(cls):
         return "tfrecord"
@@ -520,10 +549,10 @@ class TFRecordDataSource(DataSource):
         raise ValueError("tfrecord reads need an explicit schema: .schema('a bigint, ...')")
 
     def reader(self, schema: StructType):
-        return TFRecordReader(schema, self.options)
+        return TFRecordReader(schema, self.options, self.default_fs)
 
     def writer(self, schema: StructType, overwrite: bool):
-        return TFRecordWriter(schema, self.options, overwrite)
+        return TFRecordWriter(schema, self.options, overwrite, self.default_fs)
 
 
 def register(spark) -> None:
@@ -532,7 +561,9 @@ def register(spark) -> None:
     from recprep.session import ship_package
 
     ship_package(spark)
-    spark.dataSource.register(TFRecordDataSource)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    bound = type("TFRecordDataSource", (TFRecordDataSource,), {"default_fs": conf.get("fs.defaultFS")})
+    spark.dataSource.register(bound)
 
 
 # The ranking examples as the reference serialises them

@@ -1,7 +1,7 @@
 import pytest
 
 from recprep.session import ensure_checkpoint_dir
-from recprep.sources.tfrecord import local_path
+from recprep.sources.tfrecord import store
 
 
 class _Conf(dict):
@@ -44,8 +44,9 @@ def test_local_master_gets_a_private_folder():
     assert ensure_checkpoint_dir(s).startswith("/")
 
 
-def test_tfrecord_paths_need_a_posix_mount():
-    assert local_path("file:/tmp/x") == "/tmp/x"
-    assert local_path("/tmp/x") == "/tmp/x"
-    with pytest.raises(ValueError):
-        local_path("hdfs://nn/x")
+def test_tfrecord_paths_resolve_as_spark_does():
+    assert store("file:/tmp/x")[1] == "/tmp/x"
+    assert store("file:///tmp/x")[1] == "/tmp/x"
+    assert store("/tmp/x", "file:///")[1] == "/tmp/x"
+    with pytest.raises(Exception):               # no such scheme here, and no silent local file
+        store("/tmp/x", "nostore://nn")

@@ -103,7 +103,46 @@ def test_tfrecord_commit_drops_uncommitted_attempts(spark):
     tfrecord.register(spark)
     back = spark.read.format("tfrecord").schema("id bigint").load(path)
     assert sorted(r[0] for r in back.collect()) == [1, 2]
-    assert not os.path.exists(tfrecord.local_path(stray.path))
+    assert not os.path.exists(stray.path)
+
+
+def test_tfrecord_through_a_file_uri_and_column_encoder(spark):
+    import math
+    import pyarrow as pa
+    tfrecord.register(spark)
+    df = spark.createDataFrame([(1, 0.0, "x", [1, 2], True), (2, -0.0, None, None, None), (-3, 1e30, "", [], False),
+                                (2, float("inf"), "x", [7], True)],
+                               "id bigint, v float, s string, l array<bigint>, b boolean")
+    path = staging_path(spark, "tfr-uri")
+    uri = path if path.startswith("file:") else "file://" + path
+    df.write.format("tfrecord").mode("overwrite").save(uri)
+    schema = "id bigint, v float, s string, l array<bigint>, b boolean"
+    for where in (uri, uri.removeprefix("file://").removeprefix("file:")):
+        back = spark.read.format("tfrecord").schema(schema).load(where).collect()
+        assert sorted(map(str, back)) == sorted(map(str, df.collect()))
+    enc = [tfrecord.ColumnEncoder("a", "int", False, most=2), tfrecord.ColumnEncoder("f", "float", False)]
+    a, f = [5, -1, None, 5, 9], [0.0, -0.0, 2.5, None, 0.0]
+    for _ in range(3):
+        got = tfrecord.encode_batch([pa.array(a), pa.array(f, pa.float32())], enc)
+        for x, y, e in zip(a, f, got):
+            want = {k: (t, [v]) for k, t, v in (("a", "int", x), ("f", "float", y)) if v is not None}
+            assert e == tfrecord.encode_example(want)
+            back = tfrecord.decode_example(e).get("f")
+            assert back is None or math.copysign(1, back[0]) == math.copysign(1, y)
+
+
+def test_parts_of_several_files_stay_equal(spark):
+    from recprep.sources import files
+    df = spark.range(0, 4000).selectExpr("id", "id % 7 AS k")
+    out = staging_path(spark, "parts")
+    for prefix, extra in (("train", {"shuffle": True, "keys": ["id"]}), ("eval", {"order": ["id"]})):
+        path = files.write_parts(df, out, prefix, 4, files=3, **extra)
+        back = spark.read.parquet(path)
+        sizes = [r["count"] for r in back.groupBy("part").count().collect()]
+        assert len(sizes) == 4 and min(sizes) > 700 and sum(sizes) == 4000
+        assert len(back.inputFiles()) == 12
+        assert back.select("id").distinct().count() == 4000
+    assert files.files_per_part(5_000_000 * 8 + 1, 8) == 2 and files.files_per_part(10, 8) == 1
 
 
 def test_fast_and_general_decoders_agree():
