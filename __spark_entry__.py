@@ -40,7 +40,9 @@ from recprep.operators.metrics import (
     candidate_labels, log_loss, masked_cross_entropy, metrics_by_batch, ranking_metrics,
     ranking_metrics_arrays, roc_auc, roc_auc_thresholded,
 )
-from recprep.operators.models import fit_ranker, predict_logits
+from recprep.operators.models import (
+    fit_ranker, load_model, objective_history, predict_logits, save_model,
+)
 from recprep.operators.ordering import topk_candidates
 from recprep.operators.scoring import (
     assemble_item_vector, dot_score, embedding_lookup, score_candidates, tower_transform,
@@ -65,7 +67,7 @@ from recprep.operators.windows import (
 )
 from recprep.plans import evaluation, ranking
 from recprep.plans import sequences as seqplan
-from recprep.session import staging_path
+from recprep.session import staged, staging_path
 from recprep.sources import files, tfrecord
 from recprep.streaming import streams
 
@@ -422,9 +424,24 @@ def q_m5_score_candidates(spark, sf):
 
 def q_m6_fit_ranker(spark, sf):
     ex = ranking.ranking_examples(fx.interactions(spark, sf), _features(spark, sf))
-    model = fit_ranker(ex.where(F.col("split") == "train"), max_iter=3, num_features=1 << 14)
-    scored = predict_logits(model, ex.where(F.col("split") == "eval"))
-    return roc_auc(scored.select("logit", F.col("label").cast("int").alias("label")))
+    """M6 and M7: fit with the defaults, score the eval rows, save, load and
+    score again; what must hold of any right fit."""
+    ex = staged(ex, "ranker-examples")
+    model = fit_ranker(ex.where(F.col("split") == "train"))
+    objective = objective_history(model)
+    path = staging_path(spark, "ranker")
+    save_model(model, path)
+    held = ex.where(F.col("split") == "eval")
+    keys = ["user_id", "item_id"]
+    scored = staged(predict_logits(model, held).select(*keys, "logit", "label"), "ranker-scores")
+    again = predict_logits(load_model(path), held).select(*keys, F.col("logit").alias("again"))
+    auc = roc_auc(scored.select("logit", F.col("label").cast("int").alias("label")))
+    return scored.join(again, keys).agg(
+        F.count("*").alias("eval_rows"),
+        F.sum((~F.isnan("logit") & (F.abs("logit") < 1e300)).cast("long")).alias("finite_logits"),
+        F.sum((F.abs(F.col("logit") - F.col("again")) > 1e-9).cast("long")).alias("reload_mismatches"),
+    ).crossJoin(auc.select((F.col("roc_auc") >= 0.4).alias("auc_above_floor"))).withColumn(
+        "objective_fell", F.lit(bool(objective[-1] <= objective[0])))
 
 
 # ---- sources, sinks, streams ----------------------------------------------
@@ -587,14 +604,10 @@ def q_b10_take_rows(spark, sf):
 
 def q_b11_slice_rows(spark, sf):
     pairs = with_row_index(_pairs(spark, sf), ["user_id", "book_id"])
-    n = pairs.count()
-    unit = -(-n // 8)
-    parts = [slice_rows(pairs, i * unit, unit).withColumn("part", F.lit(i + 1))
-             for i in range(8)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("user_id", "book_id", "part")
+    unit = -(-pairs.count() // 8)
+    # eight contiguous slices are one division of the index
+    return slice_rows(pairs, 0, 8 * unit).select(
+        "user_id", "book_id", (F.floor(F.col("row_idx") / unit) + 1).cast("int").alias("part"))
 
 
 def q_b13_with_constants(spark, sf):
@@ -1409,6 +1422,9 @@ SELECT user_id, book_id FROM r WHERE n BETWEEN 20 AND 200""",
         "i3_reindex_mixed_types": "WITH " + FIX_INTERACTIONS + """
 SELECT CAST(dense_rank() OVER (ORDER BY user_id) AS INT) AS user_id,
        CAST(dense_rank() OVER (ORDER BY 'B' || CAST(book_id AS VARCHAR)) AS INT) AS book_id FROM interactions""",
+        "m6_fit_ranker": RANK_ROWS + """
+SELECT count(*) AS eval_rows, count(*) AS finite_logits, CAST(0 AS BIGINT) AS reload_mismatches,
+       TRUE AS auc_above_floor, TRUE AS objective_fell FROM ex WHERE split = 'eval'""",
         "l2_one_class": """SELECT CAST(CASE WHEN count(*) < 0 THEN 0 END AS DOUBLE) AS "exact",
 CAST(CASE WHEN count(*) < 0 THEN 0 END AS DOUBLE) AS bucketed FROM lineitem""",
         "j5_sample_negatives_excluding": _negatives_sql(True) + " SELECT user_id, book_id, neg_rank FROM negs",

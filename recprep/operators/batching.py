@@ -113,8 +113,10 @@ def to_jagged(df: DataFrame, batch: str, order: str, values: str, pad: int | Non
     rows = df.select(batch, order, vals.alias("_v"))
     g = rows.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct(order, "_v"))).alias("_r"))
     lengths = F.transform("_r", lambda x: F.size(x["_v"]))
-    # exclusive prefix sums; a batch has a bounded number of rows
-    offsets = F.transform(lengths, lambda n, i: F.aggregate(
-        F.slice(lengths, 1, i), F.lit(0), lambda a, x: a + x))
+    # exclusive prefix sums in one fold: the running sum and what it was before each row
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("seen"))
+    offsets = F.aggregate(lengths, start, lambda a, n: F.struct(
+        (a["sum"] + n).alias("sum"), F.array_append(a["seen"], a["sum"]).alias("seen")),
+        lambda a: a["seen"])
     return g.select(batch, F.flatten(F.transform("_r", lambda x: x["_v"])).alias("values"),
                     lengths.alias("lengths"), offsets.alias("offsets"))

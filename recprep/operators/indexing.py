@@ -3,8 +3,8 @@
 
 A ``row_number()`` over a window with no ``partitionBy`` moves every row to
 one task. Instead rows are range-partitioned on the order key and sorted
-inside each partition; the layout is checkpointed (range bounds come from a
-sample, so it must be frozen); then each partition's row count (one row per
+inside each partition; the layout is written as Parquet (range bounds come from
+a sample, so it must be frozen; counting reads one column of it); then each partition's row count (one row per
 partition, a proven-small table) gives its start offset, broadcast back.
 Cost: one range shuffle, one checkpoint write, no further shuffle.
 """
@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.session import materialize
+from recprep.session import staged
 
 _PID, _LOCAL, _OFF = "_rx_pid", "_rx_local", "_rx_off"
 _LOW33 = (1 << 33) - 1
@@ -48,7 +48,7 @@ def _sorted_layout(df: DataFrame, order: Sequence, num_partitions: int | None) -
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
            .withColumn(_PID, F.spark_partition_id())
            .withColumn(_LOCAL, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))))
-    return materialize(s)
+    return staged(s, "sorted-layout")
 
 
 ROWS_PER_SPREAD_TASK = 1_000_000

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from recprep.operators.indexing import spread
 from recprep.operators.joins import maybe_broadcast
 
 
@@ -136,7 +135,8 @@ def score_candidates(df: DataFrame, key: str = "user_id", seq: str = "eval_seqs"
     hist = embedding_lookup_seq(df.select(key, seq), key, seq, item_vectors, vec_key, vec,
                                 out="_hv", skip=skip)
     hist = mean_vector(hist, key, "_hv", out="_user_vec").select(key, "_user_vec")
-    c = spread(df).select(key, F.posexplode(cands).alias("position", "item"))
+    # the user vector joins one row per user, before the explode
+    c = df.select(key, cands).join(hist, key, "left").select(
+        key, "_user_vec", F.posexplode(cands).alias("position", "item"))
     c = embedding_lookup(c, "item", item_vectors, vec_key, vec, out="_iv")
-    c = c.join(hist, key, "left")
     return c.select(key, "position", "item", dot("_user_vec", "_iv").alias("score"))

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from recprep.operators.filters import FEATURE_COLUMNS
 from recprep.operators.metrics import (
-    candidate_labels, log_loss, ranking_metrics, ranking_metrics_arrays, roc_auc,
-    roc_auc_thresholded,
+    log_loss, ranking_metrics, ranking_metrics_arrays, roc_auc, roc_auc_thresholded,
 )
 from recprep.operators.models import predict_logits
 from recprep.operators.scoring import candidate_score_arrays, score_candidates
+from recprep.session import staged
 from recprep.sources.files import read_examples
 
 
@@ -25,13 +25,12 @@ def evaluate_ranker(spark, model, examples_path: str) -> DataFrame:
     """One row: log_loss, roc_auc (exact), roc_auc_200 (thresholded)."""
     ex = read_examples(spark, examples_path, FEATURE_COLUMNS, "label")
     scored = predict_logits(model, ex).select("logit", F.col("label").cast("int").alias("label"))
-    scored = scored.cache()
+    scored = staged(scored, "ranker-scores")
     row = {
         "log_loss": log_loss(scored).first()[0],
         "roc_auc": roc_auc(scored).first()[0],
         "roc_auc_200": roc_auc_thresholded(scored).first()[0],
     }
-    scored.unpersist()
     return spark.createDataFrame([row], "log_loss double, roc_auc double, roc_auc_200 double")
 
 
@@ -49,5 +48,5 @@ def evaluate_sequences(spark, eval_path: str, item_vectors: DataFrame | None = N
         return ranking_metrics_arrays(scored, "scores", ks=ks)
     scores = score_candidates(ev, item_vectors=item_vectors, model_fn=model_fn,
                               mask_id=mask_id, seq_len=seq_len, n_cands=n_cands)
-    labels = candidate_labels(ev).select("user_id", "position", "label")
-    return ranking_metrics(scores.join(labels, ["user_id", "position"]), ks=ks)
+    # the answer is the candidate at position 0: no join is needed for labels
+    return ranking_metrics(scores.withColumn("label", (F.col("position") == 0).cast("int")), ks=ks)

@@ -21,10 +21,13 @@ from recprep.session import staging_path
 
 
 def stream_examples(spark: SparkSession, path: str, schema: StructType | str,
-                    max_files_per_trigger: int = 1) -> DataFrame:
-    """A streaming DataFrame over Parquet parts, a few files per batch."""
-    return (spark.readStream.schema(schema)
-                 .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame over Parquet parts; all new files in one
+    micro-batch unless ``max_files_per_trigger`` bounds them."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def stream_to_table(stream: DataFrame, out_path: str, checkpoint: str | None = None) -> str:
@@ -84,5 +87,5 @@ def metrics_from_state(spark: SparkSession, state_path: str, num_thresholds: int
     """AUC and mean log-loss from the saved state."""
     st = spark.read.parquet(state_path)
     auc = auc_from_buckets(st.select("bucket", "pos", "neg"), num_thresholds)
-    loss = st.agg((F.sum("loss_sum") / (F.sum("pos") + F.sum("neg"))).alias("log_loss")).first()
+    loss = st.agg(F.try_divide(F.sum("loss_sum"), F.sum("pos") + F.sum("neg")).alias("log_loss")).first()
     return auc.withColumn("log_loss", F.lit(loss["log_loss"]).cast("double"))

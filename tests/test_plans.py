@@ -26,7 +26,7 @@ def test_registered_queries_have_oracles_mostly():
     assert set(o) <= set(q)
     # the optional training-data queries bring brute-force tests of their own
     missing = {n for n in set(q) - set(o) if n != "pipeline" and not re.match(r"op\d+_", n)}
-    assert missing <= {"m6_fit_ranker"}
+    assert not missing
 
 
 def test_ranking_examples_has_no_python_eval(spark):
