@@ -109,6 +109,10 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(first, docs["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
 
 
+#: ways that the revisits of one page are dealt
+SALTS = 64
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to web archives and read back."""
     path = staging_path(spark, "archives")
@@ -117,12 +121,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record", "type", "row_id", "refers_to", "refers_to_row", "error",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest")), "archive-rows")
-    origin = (back.where("type = 'response'").groupBy(F.col("record").alias("o"))
-                  .agg(F.first("payload_bytes").alias("ob"), F.first("payload_digest").alias("od")))
-    rows = back.join(origin, back["refers_to"] == origin["o"], "left")
-    return rows.select(F.col("row_id").cast("long").alias("page_id"),
-                       F.coalesce("payload_bytes", "ob").alias("payload_bytes"),
-                       F.coalesce("payload_digest", "od").alias("payload_digest"),
+    # a revisit has the size and digest of its origin; very many may share one,
+    # so both sides are dealt out by a salt as well
+    revisits = back.where("type = 'revisit'").drop("payload_bytes", "payload_digest").withColumn(
+        "salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)))
+    origins = (back.where("type = 'response'")
+                   .join(revisits.select(F.col("refers_to").alias("o")).distinct(), F.col("record") == F.col("o"),
+                         "left_semi")
+                   .select(F.col("record").alias("o"), "payload_bytes", "payload_digest").distinct()
+                   .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    found = revisits.join(origins, (F.col("refers_to") == F.col("o")) & (F.col("salt") == F.col("s")), "left")
+    rows = back.where("type = 'response'").unionByName(found.select(*back.columns))
+    return rows.select(F.col("row_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
                        F.col("type").alias("record_type"),
                        F.col("refers_to_row").cast("long").alias("refers_to"))
 

@@ -233,12 +233,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ``payload`` (null for revisits), ``error`` (null, or why no payload could be
     put together)."""
     records = read_records(spark, path)
-    whole = records.where(F.col("type").isin("response", "revisit"))
+    kinds = ["record", "type", "row_id", "url", "digest", "refers_to", "refers_to_row", "segment", "block"]
+    whole = records.where(F.col("type").isin("response", "revisit")).select(*kinds)
     rest = (records.where(F.col("type") == "continuation").groupBy(F.col("origin").alias("of"))
                    .agg(F.sort_array(F.collect_set(F.struct("segment", "block"))).alias("rest"),
                         F.max("total").alias("whole_length")))
-    rows = whole.drop("origin", "total").join(rest, F.when(F.col("segment").isNotNull(), F.col("record"))
-                                              == F.col("of"), "left").drop("of")
+    # only cut records meet their continuations; whole ones stay where they are read
+    cut = whole.where("segment is not null")
+    cut = cut.join(rest, cut["record"] == rest["of"], "left").drop("of")
+    parts = dict(rest.dtypes)
+    plain = whole.where("segment is null").select(
+        "*", *[F.lit(None).cast(parts[c]).alias(c) for c in ("rest", "whole_length")])
+    rows = plain.unionByName(cut)
 
     def make():
         def decode(kinds, blocks, rests, segments, totals, digests):
