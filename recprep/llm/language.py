@@ -58,7 +58,7 @@ def _counts(text: str | None) -> np.ndarray | None:
 
 
 def _vectors(counts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(np.array(counts, dtype=np.float32)) * idf
+    x = np.array(counts, dtype=np.float32) * idf
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
