@@ -163,9 +163,11 @@ def fit(learn: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1).astype(np.float32)
     langs, parts, owner = [], [], []
     for (lang,) in found.where("lang is not null").select("lang").distinct().orderBy("lang").collect():
-        rows = found.where(F.col("lang") == lang).select("at", "n").collect()   # about ``sample`` rows
+        # about ``sample`` rows; never more than four times as many reach the driver
+        rows = (found.where(F.col("lang") == lang).select("at", "n").distinct()
+                     .orderBy("at", "n").limit(4 * sample).collect())
         counts = []
-        for r in sorted((bytes(r["at"]), bytes(r["n"])) for r in rows):
+        for r in rows:
             c = np.zeros(DIMS, dtype=np.int64)
             c[np.frombuffer(r[0], "<u2")] = np.frombuffer(r[1], "<u4")
             counts.append(c)

@@ -98,15 +98,23 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "fingerprint", "component_id")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each near-duplicate group the document with the
-    smallest id."""
+    smallest id (one of its rows, if that row is repeated). Of a group whose
+    documents have no id one stays."""
     groups = simhash.near_duplicates(docs, words=3, max_bits=2)
     first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("first")).distinct()
-    return docs.join(first, docs["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(first, docs["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id", "text"])
+    nameless = groups.where("component_id is null").select(
+        F.col("fingerprint").alias("fp"), "component_key").distinct()
+    marked = simhash.fingerprints(docs.where("doc_id is null"), "text", 3, "__fp")
+    alone = marked.join(nameless, simhash.as_hex(F.col("__fp")) == F.col("fp")).dropDuplicates(
+        ["component_key"]).select(*docs.columns)
+    return named.unionByName(alone)
 
 
 #: ways that the revisits of one page are dealt

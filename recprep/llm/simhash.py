@@ -16,7 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,11 +97,17 @@ def near_fingerprints(fps: DataFrame, col: str, max_bits: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def as_hex(fingerprint: Column) -> Column:
+    """A bigint fingerprint as 16 lower-case hex digits."""
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                     max_bits: int = 2) -> DataFrame:
     """One row per row of ``df``: its id, ``fingerprint`` (16 lower-case hex
-    digits) and ``component_id``, the smallest id reachable over links of at
-    most ``max_bits`` differing bits, its own included.
+    digits), ``component_id``, the smallest id reachable over links of at most
+    ``max_bits`` differing bits, its own included, and ``component_key``, a
+    fingerprint that names the component.
 
     Equal fingerprints link, those of empty and null texts (zero) too. Repeated
     rows are kept. Null ids take no part in the smallest id; a component of
@@ -115,7 +121,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("fp").alias("k"), "component_id")
+    named = rooted.join(least, "root").select(F.col("fp").alias("k"), "component_id", "root")
     out = marked.join(named, marked["fp"] == named["k"])
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      "component_id")
+    return out.select(F.col("id").alias(id_col), as_hex(F.col("fp")).alias("fingerprint"),
+                      "component_id", as_hex(F.col("root")).alias("component_key"))

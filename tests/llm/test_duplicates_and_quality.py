@@ -80,7 +80,7 @@ def test_simhash_components(spark):
     rows = [(i * 3 + 5, t, "clash", "x") for i, t in enumerate(texts)] + [(None, "a b c", "", "x"), (8, "", "", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string, component_id string")
     got = simhash.near_duplicates(df)
-    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert got.columns == ["doc_id", "fingerprint", "component_id", "component_key"]
     fps = [brute_fingerprint(r[1]) for r in rows]
     root = classes(len(rows), [(i, j) for i in range(len(rows)) for j in range(i)
                                if bin(fps[i] ^ fps[j]).count("1") <= 2])
@@ -144,17 +144,18 @@ def _x64(*values):
 
 def brute_signature(text):
     """The same signature, step by step."""
-    units = [w for w in re.split(r"[ \t\n\x0b\f\r]+", re.sub(r"([^ \t\n\x0b\f\r]{%d})(?=[^ \t\n\x0b\f\r])" % fingerprints.UNIT, r"\1 ", text)) if w]
+    units = re.findall(r"[^ \t\n\x0b\f\r]{1,%d}" % fingerprints.UNIT, text)
     if not units:
         return []
     h = [_x64(("s", u.encode())) for u in units]
-    k = fingerprints.K
-    grams = [_x64(*[("q", x) for x in h[i:i + k]]) for i in range(max(1, len(h) - k + 1))]
+    grams = [_x64(*[("q", x) for x in h[i:i + fingerprints.K]]) for i in range(len(h))]
     seen, heads = {}, []
-    for place, g in enumerate(grams):
-        occ = seen[g] = seen.get(g, -1) + 1
-        x = _x64(("q", g), ("i", occ)) & (1 << 64) - 1
-        heads.append(((x >> 25) << 24) | place)
+    for place, g in enumerate(grams):                 # number repeats in text order
+        head = (g & (1 << 64) - 1) >> 25
+        o = seen[head] = seen.get(head, -1) + 1
+        if o:
+            head = (_x64(("q", head), ("i", o)) & (1 << 64) - 1) >> 25
+        heads.append(head << 24 | place)
     bins = {}
     for x in sorted(heads):
         bins.setdefault(x >> 57, []).append(x)
@@ -308,6 +309,19 @@ def test_perplexity_equals_brute_force(spark, monkeypatch):
     assert quality.classify(df.where(F.lit(False)), trusted).count() == 0
 
 
+def test_simhash_stage_keeps_one_of_each_group(spark):
+    from recprep.llm.queries import simhash_stage
+    rows = [(5, "a b c d", "en", "s", 7), (3, "A B C D", "en", "s", 7), (3, "A B C D", "en", "s", 7), (9, "x y z", "en", "s", 5),
+            (None, "a b c d", "en", "s", 7), (None, "only here at all", "en", "s", 16),
+            (None, "ONLY here at all", "en", "s", 16), (None, "another text without id", "en", "s", 3), (9, "q r s t u", "en", "s", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = simhash_stage(spark, df, "")
+    assert got.columns == df.columns
+    kept = [(r.doc_id, r.text.lower()) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(3, "a b c d"), (9, "x y z"), (9, "q r s t u"), (None, "only here at all"),
+                                            (None, "another text without id")], key=str)
+
+
 def test_pipeline_on_planted_rows(spark, tmp_path):
     import corpus_pipeline
 
