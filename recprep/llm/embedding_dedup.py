@@ -206,13 +206,14 @@ def _link(nodes: DataFrame, dim: int, threshold: float, miss: float) -> DataFram
     coded = staged(encode(nodes.select("id", "label", "copies", "vector"), "vector", dim, bits, tables),
                    "vector-codes")
     spots = coded.select("*", F.posexplode("segments").alias("table", "segment"))
-    # how many cells each bucket needs; most buckets hold one row and drop out here
+    # how many cells each large bucket needs; the others are one cell
     buckets = (coded.select("label", F.posexplode("segments").alias("table", "segment"))
                     .groupBy(F.col("label").alias("bl"), F.col("table").alias("bt"), F.col("segment").alias("bs"))
-                    .agg(F.count("*").alias("n")).where("n > 1")
-                    .withColumn("cells", F.ceil(F.col("n") / CELL).cast("int")))
+                    .agg(F.count("*").alias("n")).where(F.col("n") > CELL)
+                    .withColumn("n_cells", F.ceil(F.col("n") / CELL).cast("int")))
     placed = spots.join(buckets, (F.col("label") == F.col("bl")) & (F.col("table") == F.col("bt"))
-                        & (F.col("segment") == F.col("bs"))).withColumn(
+                        & (F.col("segment") == F.col("bs")), "left").withColumn(
+        "cells", F.coalesce("n_cells", F.lit(1))).withColumn(
         "cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
     # a row joins one group per pair of cells that its own cell is part of
     groups = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda o: F.struct(
@@ -220,6 +221,8 @@ def _link(nodes: DataFrame, dim: int, threshold: float, miss: float) -> DataFram
     met = placed.withColumn("g", F.explode(groups)).select(
         "label", "table", "segment", F.col("g.low").alias("low"), F.col("g.high").alias("high"), "cell",
         "id", "copies", "vector", "code", "factor", "segments")
+    # dealt by the whole group key: the cells of a large bucket go to many tasks
+    met = met.repartition("label", "table", "segment", "low", "high")
     schema = "a long, b long, links long"
 
     def run(t: pa.Table) -> pa.Table:
