@@ -1,8 +1,8 @@
 """Operator 3: document fingerprints by Order MinHash, in DataFrame functions.
 
-A text's units are its words, long ones cut every UNIT characters, so that
-text without spaces has units too. Its k-mers are runs of K units; a k-mer's
-occurrence number tells repeats apart. One hash orders all numbered k-mers and
+A text's units are its words, cut every UNIT characters, so that text without
+spaces has units too. Its k-mers are runs of K units, shorter at the text's
+end; a k-mer's occurrence number tells repeats apart. One hash orders all numbered k-mers and
 its top bits deal them to BINS bins (one permutation in place of BINS). In
 each bin the L smallest are taken, put back into text order, and hashed as a
 tuple together with the bin. The list of these hashes is the signature: it
@@ -26,6 +26,7 @@ UNIT = 4
 K = 2
 L = 2
 BINS = 64
+RANGES_PER_TASK = 4
 
 #: layout of a numbered k-mer: 6 bits bin, 33 bits hash, 24 bits place
 _PLACE_BITS, _BIN_BITS = 24, 6
@@ -45,39 +46,45 @@ def _head(h: Column, place: Column) -> Column:
         place.cast("long").bitwiseAND(F.lit(_PLACE)))
 
 
-def _first_seen(kmers: Column) -> Column:
-    """Distinct k-mer hashes: all have occurrence number 0."""
-    return F.transform(kmers, lambda h, i: _head(F.xxhash64(h, F.lit(0)), i))
+def _numbered(sorted_heads: Column) -> Column:
+    """Sorted heads with repeats numbered: the first of equal hashes stays, the
+    o-th after it gets the hash of (hash, o). Repeats have neighbouring places
+    in the sorted list, so a gap between repeats begins a new run; the work is
+    linear in their number."""
+    def same(s: Column, i: Column) -> Column:
+        return F.shiftrightunsigned(F.get(s, i).bitwiseXOR(F.get(s, i - 1)), _PLACE_BITS) == 0
 
-
-def _numbered(kmers: Column) -> Column:
-    """With repeats: sort by (hash, place), cut into runs of equal hashes and
-    number within each run; linear but for the sort."""
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        starts = F.filter(F.sequence(F.lit(0), n - 1),
-                          lambda i: (i == 0) | (s[i]["h"] != s[F.greatest(i - 1, F.lit(0))]["h"]))
-
-        def numbered(b: Column) -> Column:
-            return F.flatten(F.transform(b, lambda a, r: F.transform(
-                F.sequence(F.lit(0), F.coalesce(F.try_element_at(b, (r + 2).cast("int")), n) - a - 1),
-                lambda o: _head(F.xxhash64(s[a + o]["h"], o), s[a + o]["i"]))))
-        return let(starts, numbered)
-    return let(F.sort_array(F.transform(kmers, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), runs)
+    def of(s: Column) -> Column:
+        def repeats(d: Column) -> Column:
+            begins = F.filter(F.sequence(F.lit(0), F.size(d) - 1),
+                              lambda j: F.coalesce(F.get(d, j) - F.get(d, j - 1) > 1, F.lit(True)))
+
+            def numbered(b: Column) -> Column:
+                return F.flatten(F.transform(b, lambda at, r: F.transform(
+                    F.sequence(at, F.coalesce(F.get(b, r + 1), F.size(d)) - 1),
+                    lambda j: let(F.get(s, F.get(d, j)), lambda x: _head(
+                        F.xxhash64(F.shiftrightunsigned(x, _PLACE_BITS), j - at + 1),
+                        x.bitwiseAND(F.lit(_PLACE)))))))
+            return let(begins, numbered)
+
+        firsts = F.filter(s, lambda x, i: F.coalesce(~same(s, i), F.lit(True)))
+        again = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(same(s, i), F.lit(False)))
+        return F.concat(firsts, let(again, lambda d: F.when(F.size(d) == 0, F.array().cast("array<bigint>"))
+                                    .otherwise(repeats(d))))
+    return let(sorted_heads, of)
 
 
 def _entries(sorted_heads: Column) -> Column:
     """The L smallest of every bin, in text order, hashed as a tuple."""
     def of(s: Column) -> Column:
-        n = F.size(s)
-        starts = F.filter(F.sequence(F.lit(0), n - 1),
-                          lambda i: (i == 0) | (_bin(s[i]) != _bin(s[F.greatest(i - 1, F.lit(0))])))
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(
+            _bin(F.get(s, i).bitwiseXOR(F.get(s, i - 1))) != 0, F.lit(True)))
 
         def entry(i: Column) -> Column:
-            some = F.filter(F.slice(s, i + 1, L), lambda x: _bin(x) == _bin(s[i]))
+            some = F.filter(F.slice(s, i + 1, L), lambda x: _bin(x) == _bin(F.get(s, i)))
             placed = F.sort_array(F.transform(some, lambda x: F.struct(
                 x.bitwiseAND(F.lit(_PLACE)).alias("p"), F.shiftrightunsigned(x, _PLACE_BITS).alias("h"))))
-            return F.shiftleft(_bin(s[i]), 63 - _BIN_BITS).bitwiseOR(
+            return F.shiftleft(_bin(F.get(s, i)), 63 - _BIN_BITS).bitwiseOR(
                 F.xxhash64(F.transform(placed, lambda x: x["h"])).bitwiseAND(F.lit(_ENTRY)))
         return F.transform(starts, entry)
     return let(sorted_heads, of)
@@ -85,21 +92,14 @@ def _entries(sorted_heads: Column) -> Column:
 
 def signature(text: Column) -> Column:
     """The signature of a text as array<long>; empty for a text without units."""
-    # a unit boundary: white space, or UNIT characters into a long word
-    units = F.filter(F.split(F.regexp_replace(text, rf"(\S{{{UNIT}}})(?=\S)", "$1 "), r"\s+"),
-                     lambda w: w != "")
-
-    def kmers(h: Column) -> Column:
-        n = F.greatest(F.size(h) - (K - 1), F.lit(1))
-        return F.transform(F.sequence(F.lit(0), n - 1),
-                           lambda i: F.xxhash64(*[F.try_element_at(h, (i + 1 + k).cast("int"))
-                                                  for k in range(K)]))
+    units = F.regexp_extract_all(text, F.lit(rf"\S{{1,{UNIT}}}"), F.lit(0))
 
     def whole(h: Column) -> Column:
-        heads = let(kmers(h), lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), _first_seen(k))
-                    .otherwise(_numbered(k)))
-        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(
-            _entries(F.sort_array(heads)))
+        # the last K - 1 k-mers end with the text
+        kmers = F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, K)]))
+        heads = let(kmers, lambda k: let(F.sort_array(F.transform(k, _head)), lambda s: F.when(
+            F.size(F.array_distinct(k)) == F.size(k), s).otherwise(F.sort_array(_numbered(s)))))
+        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(_entries(heads))
 
     return let(F.transform(units, lambda w: F.xxhash64(w)), whole)
 
@@ -132,7 +132,8 @@ def with_next(df: DataFrame, id_col: str, text_col: str, make_columns) -> DataFr
     spark = df.sparkSession
     src = df.select(F.col(f"`{id_col}`").alias("id"),
                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
+    ranges = RANGES_PER_TASK * tasks                  # so that hashing them to tasks comes out even
     bounds = src.agg(F.percentile_approx("id", [(i + 1) / ranges for i in range(ranges)], 10000)
                      .alias("b"), F.max("id").alias("top")).first()
     upper = sorted(set(bounds["b"] or []) | ({bounds["top"]} if bounds["top"] is not None else set()))
@@ -153,7 +154,7 @@ def with_next(df: DataFrame, id_col: str, text_col: str, make_columns) -> DataFr
         F.array(F.struct(own.alias("range"), F.lit(False).alias("copy"))))
     # without an id all rows form the one range, whose first row follows the last
     dealt = (src.withColumn("place", F.explode(places)).select("id", "text", "place.range", "place.copy")
-                .repartition(len(upper), "range"))
+                .repartition(tasks, "range"))
     dealt = make_columns(dealt)
     order = Window.partitionBy("range").orderBy("copy", F.col("id").desc_nulls_last(), "text")
     return dealt.withColumn("next_text", F.lead("text").over(order)).withColumn(
