@@ -34,10 +34,10 @@ from recprep.llm.common import append_columns
 SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 #: answers about arcs remembered per Python worker: two to this power
-ARC_BITS = 19
+ARC_BITS = 21
 
 #: chunks of text remembered per Python worker
-MEMO_ENTRIES = 120_000
+MEMO_ENTRIES = 500_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -286,21 +286,23 @@ class Encoder:
 
     def _learn(self, chunks: set[str], words: set[str]) -> dict[str, bytes]:
         """Encode new chunks into the memory; return the other words' ids."""
-        alone: dict[str, bytes] = dict.fromkeys(words, b"")
-        parts: dict[str, list[str]] = {}
+        letters, ended, odd = [], [], {}
         for c in chunks:
             if c.isalpha():
-                parts[c] = [" " + c]
+                letters.append(c)
             elif c[-1] in ".,;:!?" and c[:-1].isalpha():
-                parts[c] = [" " + c[:-1], c[-1]]
+                ended.append(c)
             else:
-                parts[c] = self.split(" " + c)
-        for p in parts.values():
-            alone.update(dict.fromkeys(p, b""))
-        names = list(alone)
-        alone = dict(zip(names, self.words([w.encode("utf-8") for w in names])))
-        ids = alone.__getitem__
-        self.chunks.update((c, b"".join(map(ids, p))) for c, p in parts.items())
+                odd[c] = self.split(" " + c)
+        known = self.chunks
+        stems = {c[:-1] for c in ended}.difference(letters, known)
+        letters += stems
+        others = list(words.union(".,;:!?", *odd.values()))
+        ids = self.words([(" " + c).encode("utf-8") for c in letters] + [w.encode("utf-8") for w in others])
+        known.update(zip(letters, ids))
+        alone = dict(zip(others, ids[len(letters):]))
+        known.update([(c, known[c[:-1]] + alone[c[-1]]) for c in ended])
+        known.update([(c, b"".join([alone[w] for w in p])) for c, p in odd.items()])
         return alone
 
     def __call__(self, texts: list[str]) -> list[bytes]:
