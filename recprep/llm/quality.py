@@ -14,8 +14,8 @@ only; the questions join the model by (language, n-gram), spread over all
 tasks, and the answers meet their block again without moving its text. The
 same table gives the trusted rows for counting.
 
-A document's perplexity is judged against MARGIN times a quantile, per
-language, of the perplexities of trusted documents kept out of training.
+A document's perplexity is judged against a quantile, per language, of the
+perplexities of trusted documents kept out of training.
 """
 
 from __future__ import annotations
@@ -37,8 +37,6 @@ ORDER = 4
 BLOCK_BYTES = 12 << 20
 #: share of trusted documents, by language, that lie under the threshold
 QUANTILE = 0.99
-#: the threshold is this many times that quantile: short clean texts scatter
-MARGIN = 1.5
 #: one in so many trusted documents is kept out of training, for the threshold
 HELD_OUT = 5
 
@@ -322,7 +320,7 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
         F.col(id_col).alias("h"), F.col(lang_col).alias("tl"), "perplexity")
     limits = (held.join(trusted.select(F.col(id_col).alias("t")).distinct(), F.col("h") == F.col("t"), "left_semi")
                   .where("perplexity is not null and tl is not null").groupBy("tl")
-                  .agg((F.percentile_approx("perplexity", quantile, 10000) * MARGIN).alias("threshold")))
+                  .agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")))
     out = scored.join(F.broadcast(limits), scored[lang_col] == limits["tl"], "left").drop("tl")
     return out.select(*keep, "perplexity", "threshold",
                       (F.col("perplexity").isNull() | F.col("threshold").isNull()

@@ -309,6 +309,26 @@ def test_perplexity_equals_brute_force(spark, monkeypatch):
     assert quality.classify(df.where(F.lit(False)), trusted).count() == 0
 
 
+def test_threshold_is_the_quantile_of_held_out_trusted_texts(spark):
+    import zlib
+    rnd = random.Random(11)
+    words = {"en": ["the", "of", "and", "tion", "er"], "fr": ["le", "que", "été", "ñ"]}
+    rows = [(i, " ".join(rnd.choice(words[lang]) for _ in range(rnd.randint(5, 60))), lang)
+            for i, lang in enumerate(["en", "fr"] * 200)]
+    n = len(rows)
+    # ordinary characters of the language in another order: not far above the quantile
+    rows += [(n + i, "".join(rnd.choice("theofandtioner ") for _ in range(200)), "en") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.classify(df, spark.createDataFrame([(i,) for i in range(n)], "doc_id long")).toPandas()
+    for lang in words:
+        g = got[(got.lang == lang) & (got.doc_id < n)]
+        held = g[g.doc_id.map(lambda i: zlib.crc32(str(int(i)).encode()) % quality.HELD_OUT == 0)]
+        want = np.quantile(held.perplexity, quality.QUANTILE, method="inverted_cdf")
+        assert np.allclose(got[got.lang == lang].threshold, want)
+    assert (got.kept == (got.perplexity <= got.threshold)).all()
+    assert not got[got.doc_id >= n].kept.any()
+
+
 def test_simhash_stage_keeps_one_of_each_group(spark):
     from recprep.llm.queries import simhash_stage
     rows = [(5, "a b c d", "en", "s", 7), (3, "A B C D", "en", "s", 7), (3, "A B C D", "en", "s", 7), (9, "x y z", "en", "s", 5),
