@@ -255,7 +255,26 @@ def fast_tokenizer(tokenizer_json: str):
                              special_tokens=specials)
 
 
-_TOKENIZER: dict[int, object] = {}
+def robust_encoder(tokenizer_json: str) -> Callable[[str], np.ndarray]:
+    """Text to ids (uint32) by ``fast_tokenizer``. Its regex engine gives up on
+    white-space runs of about a million characters; such a text is encoded by
+    the tokenizers library, which has no such limit and gives the same ids."""
+    fast, slow = fast_tokenizer(tokenizer_json), []
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError as e:
+            if "Max stack size exceeded" not in str(e):
+                raise
+        if not slow:
+            import tokenizers
+            slow.append(tokenizers.Tokenizer.from_str(tokenizer_json))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    return encode
+
+
+_TOKENIZER: dict[int, Callable[[str], np.ndarray]] = {}
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, key_col: str = "doc_id",
@@ -272,10 +291,9 @@ def pack_documents(df: DataFrame, tokenizer_path: str, key_col: str = "doc_id",
     def make():
         if key not in _TOKENIZER:
             _TOKENIZER.clear()
-            _TOKENIZER[key] = fast_tokenizer(shared.value)
-        encode = _TOKENIZER[key].encode_to_numpy
+            _TOKENIZER[key] = robust_encoder(shared.value)
+        encode = _TOKENIZER[key]
         end = np.zeros(1, dtype=np.uint32)
-        return lambda texts: [(np.concatenate([encode(t or "", allowed_special="all"), end]), None)
-                              for t in texts]
+        return lambda texts: [(np.concatenate([encode(t or ""), end]), None) for t in texts]
 
     return pack(df, [key_col], [text_col], make, limits, cut=True)

@@ -123,6 +123,17 @@ def test_packing_places_every_id_once(spark, library):
     assert packing.pack_documents(frame(spark, []), vocabulary("byte_bpe_50k.json")).count() == 0
 
 
+def test_packing_of_long_white_space(spark, library):
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x" + " \t\u3000\n" * 500_000 + " y", "short  one"]
+    pieces = packing.pack_documents(frame(spark, texts), vocabulary("byte_bpe_50k.json")).toPandas()
+    for i, t in enumerate(texts):
+        ids = library.encode(t, add_special_tokens=False).ids + [0]
+        mine = pieces[pieces.doc_id == i].sort_values("start")
+        assert mine.length.sum() == len(ids)
+        for p in mine.itertuples():
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start:p.start + p.length], "<u4").tobytes())
+
+
 def test_packing_keeps_all_three_limits(spark):
     rnd = random.Random(3)
     rows = [(i, list(range(n)), [int(rnd.random() < 0.5) for _ in range(n)])
