@@ -4,7 +4,9 @@ Markup is read into a light tree (unclosed and stray tags are repaired as
 browsers do for paragraphs, list items and table cells). Parts that are never
 an article are left out: menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments, told by tag, role, or a word of
-their class or id. Every paragraph passes points for its length and its commas
+their class or id. A form and a class word only make an element doubtful: one
+that holds nearly all of the page's prose wraps the article and stays. Every
+paragraph passes points for its length and its commas
 to its ancestors, fewer the further up; a container's points are discounted by
 its link density. The best container is kept, with those of its siblings that
 score well or are plain prose.
@@ -31,10 +33,12 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 SCOPES = frozenset("ul ol dl table body html article section div main td th".split())
 
 #: What is never part of an article.
-NEVER_TAGS = frozenset("nav footer aside form button select dialog menu template svg math object "
-                       "canvas video audio input fieldset".split())
+NEVER_TAGS = frozenset("nav footer aside button select dialog menu template svg math object "
+                       "canvas video audio input".split())
 NEVER_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog "
-                        "menu menubar form note".split())
+                        "menu menubar note".split())
+#: What is doubtful: it may also wrap the article.
+DOUBTFUL_TAGS = frozenset("form fieldset".split())
 NEVER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adslot adsense sponsor sponsored sponsors promo "
     "promotion banner sidebar sidebars aside rail menu menus nav navbar navigation breadcrumb "
@@ -42,6 +46,11 @@ NEVER_WORDS = frozenset(
     "cookies consent gdpr notice notices notification notifications alert newsletter subscribe "
     "subscription signup login social share sharing related recommended recommendations popup modal "
     "overlay widget widgets pagination pager toolbar skip hidden".split())
+#: the words of these that mark what readers wrote, which may well be longer than the article
+READER_WORDS = frozenset("comment comments disqus respond replies discussion".split())
+#: a doubtful element wraps the article if it has at least so many characters of
+#: prose, so many times the prose beside it, and at most this share of link text
+WRAP_CHARS, WRAP_TIMES, WRAP_TIMES_READERS, WRAP_LINKS = 100, 3, 10, 0.5
 #: Containers that are never left out for a word of their class.
 KEPT_TAGS = frozenset("html body article main".split())
 BONUS = {"article": 10.0, "main": 8.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0,
@@ -59,6 +68,7 @@ class _Page:
 
     def __init__(self):
         self.tag, self.parent, self.out, self.linked = ["#root"], [-1], [False], [False]
+        self.doubt: dict[int, tuple] = {}            # node: (tag and class, whether readers wrote it)
         self.stack, self.open = [0], {}
         self.pieces: list[tuple[int, str]] = []      # node, text ("" is a break)
 
@@ -78,9 +88,27 @@ class _Page:
         self.parent.append(up)
         self.out.append(out)
         self.linked.append(self.linked[up] or tag == "a")
+        if not out and (doubt := self._doubt(tag, attrs)):
+            self.doubt[n] = doubt
         self.stack.append(n)
         self.open[tag] = self.open.get(tag, 0) + 1
 
+    @staticmethod
+    def _doubt(tag: str, attrs: str) -> tuple | None:
+        doubtful, readers, marks = tag in DOUBTFUL_TAGS, False, []
+        if tag not in KEPT_TAGS:
+            for name, value in _ATTR.findall(attrs):
+                name, value = name.lower(), value.strip("\"'")
+                if name == "role" and value.lower() == "form":
+                    doubtful = True
+                if name in ("class", "id"):
+                    words = {w.lower() for w in _WORD.findall(value)} & NEVER_WORDS
+                    doubtful = doubtful or bool(words)
+                    readers = readers or bool(words & READER_WORDS)
+                    if name == "class":
+                        marks.append(value)
+        return ((tag, *marks), readers) if doubtful else None
+
     def _never(self, tag: str, attrs: str) -> bool:
         if tag in NEVER_TAGS:
             return True
@@ -92,8 +120,6 @@ class _Page:
             name, value = name.lower(), value.strip("\"'")
             if name == "role" and value.lower() in NEVER_ROLES:
                 return True
-            if name in ("class", "id") and any(w.lower() in NEVER_WORDS for w in _WORD.findall(value)):
-                return True
             if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
                 return True
             if name == "style" and "display:none" in value.replace(" ", "").lower():
@@ -210,12 +236,52 @@ def parse(s: str) -> _Page:
     return page
 
 
+def _drop_doubtful(page: _Page) -> None:
+    """Leave out the doubtful elements that do not wrap the article. The one
+    with the most prose is judged first, against the prose that is under no
+    doubtful element; what stays counts as such prose for the next ones."""
+    if not page.doubt:
+        return
+    tag, parent, out, doubt = page.tag, page.parent, page.out, page.doubt
+    n = len(tag)
+    size, links = [0] * n, [0] * n
+    for node, s in page.pieces:
+        if s and not out[node] and not s.isspace():
+            size[node] += len(s.strip())
+            if page.linked[node]:
+                links[node] += len(s.strip())
+    under = [0] * n                                   # the nearest doubtful element, 0: none
+    prose = {0: 0, **dict.fromkeys(doubt, 0)}         # under it and no nearer one
+    for i in range(n):
+        under[i] = i if i in doubt else under[parent[i]] if i else 0
+        prose[under[i]] += size[i] - links[i]
+    for i in range(n - 1, 0, -1):
+        size[parent[i]] += size[i]
+        links[parent[i]] += links[i]
+    beside, stays = prose[0], {0}
+    likes: set = set()
+    for i in sorted(doubt, key=lambda i: (links[i] - size[i], i)):
+        if under[parent[i]] not in stays:
+            continue                                  # inside one that goes
+        (kind, readers), own = doubt[i], size[i] - links[i]
+        times = WRAP_TIMES_READERS if readers else WRAP_TIMES
+        if links[i] <= WRAP_LINKS * size[i] and ((parent[i], kind) in likes or (
+                own >= WRAP_CHARS and own > times * beside)):
+            stays.add(i)
+            if len(kind) > 1:
+                likes.add((parent[i], kind))          # those of its class beside it, such as the next post
+            beside += prose[i]
+    for i in range(1, n):
+        out[i] = out[i] or out[parent[i]] or (i in doubt and i not in stays)
+
+
 def main_text(source: str | None) -> str:
     """The article text of one page ("" if there is none): character
     references decoded, each run of white space one space."""
     if not source:
         return ""
     page = parse(source)
+    _drop_doubtful(page)
     tag, parent, out = page.tag, page.parent, page.out
     n = len(tag)
     block = list(range(n))                            # nearest block of each node
@@ -280,9 +346,6 @@ def main_text(source: str | None) -> str:
     inside = [False] * n
     for i in range(n):
         inside[i] = not out[i] and (i in kept or (i > 0 and inside[parent[i]]))
-        if (inside[i] and i not in kept and tag[i] in ("ul", "ol", "div", "section", "table")
-                and density(i) > 0.5):
-            inside[i] = False                         # a list of links inside the article
     return " ".join("".join(" " if s == "" else s for node, s in pieces if inside[node]).split())
 
 

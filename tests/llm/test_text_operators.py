@@ -177,6 +177,26 @@ def test_html_keeps_the_article_and_nothing_else(spark):
     assert html_text.main_text(sections) == "One, two, three, a paragraph. Four, five, six, another one."
 
 
+def test_html_wrappers_and_link_lists_stay():
+    prose = "".join(f"<p>Paragraph {i}, which is long enough, and has commas, to be prose.</p>" for i in range(6))
+    want = " ".join(f"Paragraph {i}, which is long enough, and has commas, to be prose." for i in range(6))
+    side = "<div class='sidebar'><p>Side, bar, text, which is long enough to score.</p></div>"
+    for attrs in ("class='content with-sidebar'", "class='no-sidebar'", "class='post share-enabled'",
+                  "id='content-sidebar-wrap'"):
+        for page in (f"<body><div {attrs}>{prose}</div></body>", f"<body><div {attrs}>{prose}{side}</div>{side}</body>",
+                     f"<body><div class='site no-sidebar'><div {attrs}>{prose}</div>{side}</div></body>"):
+            assert html_text.main_text(page) == want
+    assert html_text.main_text(f"<body><form action='x'><div>{prose}</div><input><button>Go</button></form></body>") == want
+    posts = f"<div class='post share-enabled'>{prose}</div>"
+    assert html_text.main_text(f"<body><div>{posts}{posts}</div></body>") == f"{want} {want}"
+    beside = f"<div id='sidebar-wrap'>{prose}</div><div id='comments'><p>I think, as a reader, that it is, well, long.</p></div>"
+    assert html_text.main_text(f"<body>{beside}</body>") == want
+    sources = "<ul><li><a href='a'>First source</a><li><a href='b'>Second source</a></ul>"
+    article = "<body><article>{}{}<ul class='related'><li><a href='c'>Other</a></ul></article>{}</body>"
+    comments = f"<div id='comments'>{prose.replace('Paragraph', 'I think') * 2}</div>"
+    assert html_text.main_text(article.format(prose, sources, comments)) == f"{want} First source Second source"
+
+
 def test_language_learns_and_rejects(spark):
     rnd = random.Random(4)
     syllables = {"aa": ["ba", "ko", "mi"], "bb": ["schu", "tzen", "ung"], "cc": ["ción", "ñan", "que"]}
