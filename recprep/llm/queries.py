@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recprep.llm import (bpe, embedding_dedup, fingerprints, html_text, language, packing, quality, simhash,
-                         token_counts, warc)
+                         spelling, token_alignment, token_counts, toxicity, warc)
 from recprep.llm.common import staged, table
 from recprep.session import staging_path
 
@@ -155,10 +155,33 @@ SELECT p.page_id, CAST(n AS BIGINT) AS payload_bytes, p.h AS payload_digest,
 FROM p LEFT JOIN f ON p.h = f.h"""
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and near words of the vocabulary of all documents, some of whose
+    runs lose a code point by the contract's rule."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(spelling.word_counts(docs, drop_every=31))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from the labels of four folds of
+    five."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.classify(docs, labels, keep=["doc_id"])
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers' tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.link_counts(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"),
+                                       keep=["doc_id"])
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_quality_classifier, op2_packing, op3_order_minhash, op4_bpe,
                                     op5_token_counts, op6_html_extraction,
-                                    op7_language_id, op8_embedding_dedup, op9_simhash, op10_warc)}
+                                    op7_language_id, op8_embedding_dedup, op9_simhash, op10_warc,
+                                    op11_spelling_variants, op12_toxicity, op13_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
