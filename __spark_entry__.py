@@ -989,9 +989,9 @@ SELECT d.user_id, d.draw, cum.book_id FROM (
 JOIN cum ON d.r >= cum.start AND d.r < cum.start + cum.cnt"""
 
 
-def _negatives_sql(excluding: bool, k: int = 100, rounds: int = 4, base: str = "") -> str:
-    """Draws, then up to ``rounds`` further rounds for short users, each with
-    twice the draws, the last one over all items left (see ``_complete``)."""
+def _negatives_sql(excluding: bool, k: int = 100, base: str = "") -> str:
+    """Draws; what a user lacks comes by exponential waiting times, of the head
+    one by one, of the tail by 8k arrivals of a Poisson process (``_top_up``)."""
     if excluding:
         users = ("nusers AS (SELECT user_id, count(*) AS n_pos FROM srows "
                  "WHERE pos < n - 1 GROUP BY user_id),\n"
@@ -1004,38 +1004,41 @@ def _negatives_sql(excluding: bool, k: int = 100, rounds: int = 4, base: str = "
                  "gone AS (SELECT user_id, 0 AS gone FROM nusers),")
         m_expr = f"{4 * k}"
         anti = ""
-    sql = (base or SEQ_BASE) + f""",
+    return (base or SEQ_BASE) + f""",
 {users}
 draws AS ({_draws_sql("nusers", m_expr)}),
 firsts AS (SELECT user_id, book_id, min(draw) AS draw FROM draws x WHERE TRUE {anti}
            GROUP BY user_id, book_id),
-chosen0 AS (SELECT user_id, book_id, CAST(neg_rank AS INT) AS neg_rank FROM (
+chosen AS (SELECT user_id, book_id, CAST(neg_rank AS INT) AS neg_rank FROM (
              SELECT user_id, book_id, row_number() OVER (PARTITION BY user_id ORDER BY draw) AS neg_rank
-             FROM firsts) t WHERE neg_rank <= {k})"""
-    for r in range(1, rounds + 1):
-        n, before = 4 * k * 2 ** r, f"chosen{r - 1}"
-        u = uniform_sql(42, r, "s.user_id", "p.book_id")
-        sql += f""",
-short{r} AS (SELECT u.user_id, u.n_pos, coalesce(h.have, 0) AS have,
-                    least({k}, c.n_items - coalesce(g.gone, 0)) - coalesce(h.have, 0) AS need
-             FROM nusers u CROSS JOIN consts c
-             LEFT JOIN (SELECT user_id, count(*) AS have FROM {before} GROUP BY user_id) h ON u.user_id = h.user_id
-             LEFT JOIN gone g ON u.user_id = g.user_id
-             WHERE coalesce(h.have, 0) < least({k}, c.n_items - coalesce(g.gone, 0))),
-more{r} AS (SELECT s.* FROM short{r} s, consts c WHERE {n} < c.n_items),
-again{r} AS ({_draws_sql(f"more{r}", f"({m_expr}) * {2 ** r}", round_no=r)}),
-cand{r} AS (SELECT user_id, book_id, CAST(min(draw) AS DOUBLE) AS t FROM again{r} GROUP BY user_id, book_id
-            UNION ALL
-            SELECT s.user_id, p.book_id, -ln(1 - {u}) / p.cnt AS t FROM short{r} s, pop p, consts c
-            WHERE {n} >= c.n_items),
-chosen{r} AS (SELECT * FROM {before} UNION ALL
-  SELECT t.user_id, t.book_id, CAST(s.have + rn AS INT) FROM (
-    SELECT x.user_id, x.book_id, row_number() OVER (PARTITION BY x.user_id ORDER BY x.t, x.book_id) AS rn
-    FROM cand{r} x WHERE NOT EXISTS (SELECT 1 FROM {before} q WHERE q.user_id = x.user_id
-                                     AND q.book_id = x.book_id) {anti}) t
-  JOIN short{r} s ON t.user_id = s.user_id WHERE rn <= s.need)"""
-    return sql + f""",
-negs AS (SELECT * FROM chosen{rounds})"""
+             FROM firsts) t WHERE neg_rank <= {k}),
+ranks AS (SELECT p.book_id, p.cnt, r.pop_rank,
+                 CAST(sum(p.cnt) OVER (ORDER BY r.pop_rank) AS BIGINT) AS upto
+          FROM pop p JOIN prank r ON p.book_id = r.book_id),
+short AS (SELECT u.user_id, coalesce(h.have, 0) AS have, least(c.n_items, {8 * k} + coalesce(g.gone, 0)) AS head,
+                 least({k}, c.n_items - coalesce(g.gone, 0)) - coalesce(h.have, 0) AS need
+          FROM nusers u CROSS JOIN consts c
+          LEFT JOIN (SELECT user_id, count(*) AS have FROM chosen GROUP BY user_id) h ON u.user_id = h.user_id
+          LEFT JOIN gone g ON u.user_id = g.user_id
+          WHERE coalesce(h.have, 0) < least({k}, c.n_items - coalesce(g.gone, 0))),
+cut AS (SELECT s.*, r.upto AS cut, c.total - r.upto AS rate FROM short s JOIN ranks r ON r.pop_rank = s.head, consts c),
+arrive AS (SELECT user_id, cut, rate, draw,
+                  sum(-ln(1 - {uniform_sql(42, "'step'", "user_id", "draw")}) / rate)
+                    OVER (PARTITION BY user_id ORDER BY draw) AS t
+           FROM (SELECT *, CAST(unnest(range({8 * k})) AS INT) AS draw FROM cut WHERE rate > 0) d),
+tail AS (SELECT a.user_id, r.book_id, a.t FROM (
+           SELECT *, cut + CAST(floor({uniform_sql(42, "'tail'", "user_id", "draw")} * rate) AS BIGINT) AS r
+           FROM arrive) a JOIN ranks r ON a.r >= r.upto - r.cnt AND a.r < r.upto),
+waits AS (SELECT user_id, book_id, min(t) AS t FROM tail GROUP BY user_id, book_id
+          UNION ALL
+          SELECT s.user_id, r.book_id, -ln(1 - {uniform_sql(42, "'head'", "s.user_id", "r.book_id")}) / r.cnt AS t
+          FROM short s JOIN ranks r ON r.pop_rank <= s.head),
+more AS (SELECT t.user_id, t.book_id, CAST(s.have + rn AS INT) AS neg_rank FROM (
+           SELECT x.user_id, x.book_id, row_number() OVER (PARTITION BY x.user_id ORDER BY x.t, x.book_id) AS rn
+           FROM waits x WHERE NOT EXISTS (SELECT 1 FROM chosen q WHERE q.user_id = x.user_id
+                                          AND q.book_id = x.book_id) {anti}) t
+         JOIN short s ON t.user_id = s.user_id WHERE rn <= s.need),
+negs AS (SELECT * FROM chosen UNION ALL SELECT * FROM more)"""
 
 
 E4_SQL = "WITH " + FIX_INTERACTIONS + """,

@@ -14,6 +14,16 @@ Draws come from J9 (seed, round, user, draw number), so results do not depend
 on partitioning and have an exact SQL oracle. De-duplicating draws in draw
 order is sequential sampling without replacement; dropping excluded items
 first gives the same law over the remaining items.
+
+Where popularity is steep, a user's draws may repeat too few items. The rest
+of its sample is then decided by exponential waiting times, which give the
+same law: an item of count c waits -ln(1 - u) / c. The most popular items
+(HEAD_FACTOR * k, and one more for each item of the catalogue that the user
+excludes) get a waiting time each. All others arrive as one Poisson process
+whose rate is their total count: an arrival is a weighted draw from the range
+of the tail, and the first arrival of an item is its waiting time. All that
+arrives before the last drawn arrival is known, so a user is done once enough
+items did. No user meets the catalogue.
 """
 
 from __future__ import annotations
@@ -28,7 +38,7 @@ from recprep.functions.random import uniform
 from recprep.operators.aggregates import popularity_rank
 from recprep.operators.indexing import running_sum, spread
 from recprep.operators.joins import maybe_broadcast
-from recprep.session import materialize
+from recprep.session import staged
 
 
 @dataclass
@@ -82,58 +92,125 @@ def _first_k(draws: DataFrame, k_col, key: str, item: str, draw: str, out: str)
     return first.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k_col).drop(draw)
 
 
-def _complete(users: DataFrame, chosen: DataFrame, excluded: DataFrame | None,
-              table: PopularityTable, k: int, key: str, out: str, seed: int,
-              draws: int) -> DataFrame:
-    """Go on drawing for users that have fewer than ``k`` items, until each has
-    k or its whole admissible catalogue.
-
-    Every round doubles the draws (``m`` of each user, ``draws`` for the
-    comparison below) under a new round number. When a round would draw as
-    often as there are items, the rest is decided at once over the items left:
-    the smallest exponential waiting times -ln(1 - u) / count, which is the
-    same sequential law without replacement. Only short users take part.
+#: items with a waiting time of their own, and arrivals of the others, both
+#: in multiples of k, for a user that is short after its draws
+HEAD_FACTOR = 8
+TAIL_FACTOR = 2
+
+
+def _tail_items(arrivals: DataFrame, by_rank: DataFrame, table: PopularityTable, widest: int) -> DataFrame:
+    """The item that each ``_r`` of the range in rank order falls on; ``widest``
+    is the longest tail, which sets the buckets."""
+    width = max(1, math.ceil(widest / max(1, table.n_items)))
+    buckets = (by_rank.where(F.col("start") + F.col("count") > table.total - widest)
+                      .withColumn("_end", F.col("start") + F.col("count"))
+                      .withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("start") / width),
+                                                                  F.floor((F.col("_end") - 1) / width))))
+                      .select(table.item, "start", "_end", "_bucket"))
+    buckets = maybe_broadcast(buckets, known_rows=table.n_items + math.ceil(table.total / width))
+    return (arrivals.withColumn("_bucket", F.floor(F.col("_r") / width)).join(buckets, "_bucket")
+                    .where((F.col("_r") >= F.col("start")) & (F.col("_r") < F.col("_end"))))
+
+
+def _top_up(short: DataFrame, chosen: DataFrame, excluded: DataFrame | None, table: PopularityTable,
+            k: int, key: str, out: str, seed: int) -> DataFrame:
+    """The missing rows (key, item, out) of ``short`` users (key, ``_have``).
+
+    Each user gets k items in all, or all admissible ones. A user takes
+    HEAD_FACTOR * k rows and one per excluded item for the head, and
+    TAIL_FACTOR * k for the arrivals; only users whose arrivals end too early,
+    which is rare as an item of the tail is no more popular than any of the
+    head, go on with twice as many (and the same first ones).
     """
     item = table.item
-    chosen = materialize(chosen.select(key, item, F.col(out).cast("int").alias(out)))
-    round_no = 0
-    while True:
-        have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"))
-        short = (users.select(key, "m").join(have, key, "left")
-                      .withColumn("_have", F.coalesce("_have", F.lit(0))).where(F.col("_have") < k))
+    if excluded is not None:
+        gone = (excluded.join(short.select(key), key, "left_semi").select(key, item).distinct()
+                        .join(table.ranked.select(item), item, "left_semi")
+                        .groupBy(key).agg(F.count(F.lit(1)).alias("_gone")))
+        short = short.join(gone, key, "left").withColumn("_gone", F.coalesce("_gone", F.lit(0)))
+    else:
+        short = short.withColumn("_gone", F.lit(0))
+    short = short.withColumn("_need", F.least(F.lit(k), F.lit(table.n_items) - F.col("_gone")) - F.col("_have"))
+    short = staged(short.where(F.col("_need") > 0).withColumn(
+        "_head", F.least(F.lit(table.n_items), HEAD_FACTOR * k + F.col("_gone"))), "sampling-short")
+    sizes = short.agg(F.count(F.lit(1)).alias("users"), F.sum("_head").alias("rows"),
+                      F.max("_head").alias("deepest")).first()
+    if not sizes["users"]:
+        return chosen.limit(0)
+    by_rank = staged(running_sum(table.ranked.select(item, "count", "pop_rank"), ["pop_rank"], "count",
+                                 name="start"), "sampling-ranks")
+    # one row for each depth of a head
+    cuts = short.select("_head").distinct().join(by_rank, F.col("_head") == F.col("pop_rank")).select(
+        "_head", (F.col("start") + F.col("count")).cast("bigint").alias("_cut"))
+    short = staged(short.join(maybe_broadcast(cuts), "_head"), "sampling-cuts")
+    widest = table.total - (short.agg(F.min("_cut")).first()[0] or 0)
+
+    def admissible(rows: DataFrame) -> DataFrame:
+        rows = rows.join(chosen.select(key, item), [key, item], "left_anti")
         if excluded is not None:
-            gone = (excluded.select(key, item).join(table.ranked.select(item), item, "left_semi")
-                            .groupBy(key).agg(F.countDistinct(item).alias("_gone")))
-            short = short.join(gone, key, "left")
-            left = F.lit(table.n_items) - F.coalesce("_gone", F.lit(0))
-        else:
-            left = F.lit(table.n_items)
-        short = materialize(short.withColumn("_need", F.least(F.lit(k), left) - F.col("_have"))
-                                 .where(F.col("_need") > 0).select(key, "m", "_have", "_need"))
+            rows = rows.join(excluded.select(key, item), [key, item], "left_anti")
+        return rows
+
+    ranks = maybe_broadcast(by_rank.where(F.col("pop_rank") <= sizes["deepest"]).select(
+        F.col("pop_rank").alias("_rank"), item, "count"), known_rows=sizes["deepest"])
+    head = (spread(short, expected_rows=int(sizes["rows"]))
+            .select(key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_head").cast("bigint"))).alias("_rank"))
+            .join(ranks, "_rank")
+            .select(key, item, (-F.log(1 - uniform(seed, F.lit("head"), key, item)) / F.col("count")).alias("_when")))
+    head = staged(admissible(head), "sampling-head")
+    done, m = None, TAIL_FACTOR * k
+    while True:
+        rate = F.lit(table.total) - F.col("_cut")
+        drawn = (spread(short.where(rate > 0), expected_rows=int(sizes["users"]) * m)
+                 .select(key, "_cut", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_draw")))
+        step = -F.log(1 - uniform(seed, F.lit("step"), key, "_draw")) / rate
+        # at most m rows of a user
+        arrivals = drawn.withColumn("_when", F.sum(step).over(Window.partitionBy(key).orderBy("_draw"))).withColumn(
+            "_r", F.col("_cut") + F.floor(uniform(seed, F.lit("tail"), key, "_draw") * rate).cast("bigint"))
+        arrivals = staged(_tail_items(arrivals, by_rank, table, widest).select(key, item, "_when"), "sampling-tail")
+        ends = arrivals.groupBy(key).agg(F.max("_when").alias("_until"))
+        firsts = admissible(arrivals.groupBy(key, item).agg(F.min("_when").alias("_when")))
+        users = short.join(ends, key, "left").select(key, "_have", "_need", "_until")
+        place = Window.partitionBy(key).orderBy("_when", item)
+        known = (head.unionByName(firsts).join(users, key)
+                     .where(F.col("_until").isNull() | (F.col("_when") <= F.col("_until")))
+                     .withColumn("_rn", F.row_number().over(place)).where(F.col("_rn") <= F.col("_need"))
+                     .withColumn("_found", F.count(F.lit(1)).over(Window.partitionBy(key))))
+        known = staged(known.where(F.col("_found") == F.col("_need")).select(
+            key, item, (F.col("_have") + F.col("_rn")).cast("int").alias(out)), "sampling-found")
+        done = known if done is None else done.unionByName(known)
+        short = staged(short.join(known.select(key).distinct(), key, "left_anti"), "sampling-short")
         if short.isEmpty():
-            return chosen
-        round_no += 1
-        draws *= 2
-        if draws < table.n_items:
-            again = short.withColumn("m", F.col("m") * (1 << round_no))
-            cand = (popularity_draws(again, table, seed, key, round_no=round_no)
-                    .groupBy(key, item).agg(F.min("draw").cast("double").alias("_when")))
-        else:
-            ranked = maybe_broadcast(table.ranked.select(item, "count", "pop_rank"),
-                                     known_rows=table.n_items)
-            cand = (spread(short).select(key, F.explode(F.sequence(F.lit(1), F.lit(table.n_items)))
-                                         .alias("pop_rank"))
-                    .join(ranked, "pop_rank")
-                    .withColumn("_when", -F.log(1 - uniform(seed, round_no, key, item)) / F.col("count"))
-                    .select(key, item, "_when"))
-        cand = cand.join(chosen.select(key, item), [key, item], "left_anti")
-        if excluded is not None:
-            cand = cand.join(excluded.select(key, item), [key, item], "left_anti")
-        w = Window.partitionBy(key).orderBy("_when", item)
-        new = (cand.withColumn("_rn", F.row_number().over(w)).join(short, key)
-                   .where(F.col("_rn") <= F.col("_need"))
-                   .select(key, item, (F.col("_have") + F.col("_rn")).cast("int").alias(out)))
-        chosen = materialize(chosen.unionByName(new))
+            return done
+        m *= 2
+
+
+def _complete(users: DataFrame, chosen: DataFrame, excluded: DataFrame | None,
+              table: PopularityTable, k: int, key: str, out: str, seed: int) -> DataFrame:
+    """``chosen`` (one row per user and item) and what its short users lack."""
+    chosen = staged(chosen.select(key, table.item, F.col(out).cast("int").alias(out)), "sampling-chosen")
+    have = chosen.groupBy(key).agg(F.count(F.lit(1)).alias("_have"))
+    short = (users.select(key).join(have, key, "left").withColumn("_have", F.coalesce("_have", F.lit(0)))
+                  .where(F.col("_have") < k))
+    return chosen.unionByName(_top_up(short, chosen, excluded, table, k, key, out, seed))
+
+
+def _complete_arrays(gathered: DataFrame, excluded: DataFrame | None, table: PopularityTable, k: int,
+                     key: str, out: str, seed: int) -> DataFrame:
+    """Rows of ``gathered`` (key, ``_items``: at most k of every user), and what
+    its short users lack; who is short is read off the arrays."""
+    item = table.item
+    gathered = staged(gathered, "sampling-gathered")
+
+    def rows(df: DataFrame) -> DataFrame:
+        return (df.select(key, F.posexplode("_items").alias("_p", item))
+                  .select(key, item, (F.col("_p") + 1).cast("int").alias(out)))
+
+    few = gathered.where(F.size("_items") < k)
+    if few.isEmpty():
+        return rows(gathered)
+    short = few.select(key, F.size("_items").cast("bigint").alias("_have"))
+    return rows(gathered).unionByName(_top_up(short, rows(few), excluded, table, k, key, out, seed))
 
 
 def sample_negatives(users: DataFrame, table: PopularityTable, k: int = 100, seed: int = 42,
@@ -142,23 +219,23 @@ def sample_negatives(users: DataFrame, table: PopularityTable, k: int = 100, see
     allowed -> (user, item, neg_rank 1..k)."""
     u = users.select(key).withColumn("m", F.lit(oversample * k))
     d = popularity_draws(u, table, seed, key)
-    chosen = _first_k(d, F.lit(k), key, table.item, "draw", out)
-    return _complete(u, chosen, None, table, k, key, out, seed, oversample * k)
-
-
-def _first_k_arrays(draws: DataFrame, excluded_lists: DataFrame, k: int, key: str, item: str,
-                    draw: str, out: str) -> DataFrame:
-    """First ``k`` distinct admissible items per user in draw order with one
-    shuffle of (user, draw, item): a user's pairs are gathered and sorted by
-    draw, then the user's excluded items (one row per user) are taken out.
-    Draw lists are bounded by the user's draw count."""
-    g = draws.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(draw, item))).alias("_d")).join(excluded_lists, key, "left")
+    return _complete_arrays(_first_k_arrays(d, None, k, key, table.item, "draw"), None, table, k, key, out, seed)
+
+
+def _first_k_arrays(draws: DataFrame, excluded_lists: DataFrame | None, k: int, key: str, item: str,
+                    draw: str) -> DataFrame:
+    """(key, ``_items``): the first ``k`` distinct admissible items per user in
+    draw order with one shuffle of (user, draw, item): a user's pairs are
+    gathered and sorted by draw, then the user's excluded items (one row per
+    user) are taken out. Draw lists are bounded by the user's draw count."""
+    g = draws.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(draw, item))).alias("_d"))
     items = F.transform("_d", lambda x: x[item])
+    if excluded_lists is None:
+        return g.select(key, F.slice(F.array_distinct(items), 1, k).alias("_items"))
+    g = g.join(excluded_lists, key, "left")
     admissible = F.when(F.col("_pos").isNull(), F.array_distinct(items)).otherwise(
         F.array_except(items, F.col("_pos")))
-    return (g.select(key, F.posexplode(F.slice(admissible, 1, k)).alias("_p", item))
-             .select(key, item, (F.col("_p") + 1).cast("int").alias(out)))
+    return g.select(key, F.slice(admissible, 1, k).alias("_items"))
 
 
 def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: PopularityTable,
@@ -170,7 +247,7 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
 
     ``users`` has the key and ``n_pos`` (number of excluded items of that
     user); each user draws ``oversample * k + 2 * n_pos`` times. Users still
-    short after de-duplication draw again (``_complete``), so every user gets
+    short after de-duplication are topped up (``_top_up``), so every user gets
     exactly ``k`` when the catalogue allows.
 
     With ``max_positives`` (a proven bound on positives per user, such as
@@ -184,8 +261,6 @@ def sample_negatives_excluding(users: DataFrame, positives: DataFrame, table: Po
     d = popularity_draws(u, table, seed, key)
     if max_positives is not None:
         lists = positives.groupBy(key).agg(F.collect_set(item).alias("_pos"))
-        chosen = _first_k_arrays(d, lists, k, key, item, "draw", out)
-    else:
-        d = d.join(positives.select(key, item), [key, item], "left_anti")
-        chosen = _first_k(d, F.lit(k), key, item, "draw", out)
-    return _complete(u, chosen, positives, table, k, key, out, seed, oversample * k)
+        return _complete_arrays(_first_k_arrays(d, lists, k, key, item, "draw"), positives, table, k, key, out, seed)
+    d = d.join(positives.select(key, item), [key, item], "left_anti")
+    return _complete(u, _first_k(d, F.lit(k), key, item, "draw", out), positives, table, k, key, out, seed)

@@ -95,3 +95,76 @@ def test_bounded_array_path_equals_anti_join_path(spark):
     a = sample_negatives_excluding(users, data, table, 30, 7).collect()
     b = sample_negatives_excluding(users, data, table, 30, 7, max_positives=250).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def _steep(spark, n_items=60, users=1):
+    # item i has about 2 ** (i / 2) rows: most draws repeat the last few items
+    return spark.createDataFrame([(i, int(2 ** (i / 2)) + 1) for i in range(n_items)], "book_id int, count long")
+
+
+def test_short_users_never_meet_the_catalogue(spark, monkeypatch):
+    """Rows made for a short user stay under a multiple of k and its excluded
+    items, however many items there are."""
+    from recprep.operators import sampling
+    pop = spark.createDataFrame([(i, 10 ** 6 if i < 4 else 1) for i in range(20000)], "book_id int, count long")
+    table = popularity_table(pop, "book_id")
+    users = spark.range(0, 7).select(F.col("id").cast("int").alias("user_id"), F.lit(3).cast("long").alias("n_pos"))
+    pos = users.select("user_id", F.explode(F.array(F.lit(0), F.lit(9), F.lit(-5))).alias("book_id"))
+    asked, plain = [], sampling.spread
+    monkeypatch.setattr(sampling, "spread", lambda df, expected_rows=None: asked.append(expected_rows) or plain(
+        df, expected_rows=expected_rows))
+    k = 10
+    got = sample_negatives_excluding(users, pos, table, k=k, seed=2).collect()
+    assert len(got) == 7 * k == len({(r.user_id, r.book_id) for r in got})
+    assert not {r.book_id for r in got} & {0, 9}
+    assert len(asked) >= 3                            # draws, head, arrivals
+    # item -5 is not in the catalogue: 2 excluded items count
+    assert asked[1] == 7 * (sampling.HEAD_FACTOR * k + 2) and asked[2] == 7 * sampling.TAIL_FACTOR * k
+    by_user = collections.defaultdict(list)
+    for r in got:
+        by_user[r.user_id].append(r.neg_rank)
+    assert all(sorted(v) == list(range(1, k + 1)) for v in by_user.values())
+
+
+def test_top_up_follows_the_law_of_sampling_without_replacement(spark, monkeypatch):
+    """First items by share, and every item's chance to be among the k, as in
+    a simulation that draws without replacement; head and tail are both small,
+    and arrivals often end too early."""
+    import random
+    from recprep.operators import sampling
+    monkeypatch.setattr(sampling, "HEAD_FACTOR", 1)
+    monkeypatch.setattr(sampling, "TAIL_FACTOR", 1)
+    counts = {i: c for i, c in enumerate([400, 200, 90, 50, 30, 20, 10, 8, 5, 4, 3, 2])}
+    table = popularity_table(spark.createDataFrame(list(counts.items()), "book_id int, count long"), "book_id")
+    n, k = 4000, 3
+    short = spark.range(0, n).select(F.col("id").cast("int").alias("user_id"), F.lit(0).cast("long").alias("_have"))
+    pos = short.select("user_id", F.lit(1).alias("book_id"))
+    none = short.select("user_id", F.lit(0).alias("book_id"), F.lit(1).alias("neg_rank")).limit(0)
+    got = sampling._top_up(short, none, pos, table, k, "user_id", "neg_rank", 5).collect()
+    assert len(got) == n * k == len({(r.user_id, r.book_id) for r in got})
+    left = {i: c for i, c in counts.items() if i != 1}
+    first = collections.Counter(r.book_id for r in got if r.neg_rank == 1)
+    for i, c in left.items():
+        assert abs(first[i] / n - c / sum(left.values())) < 0.025
+    rnd, inside, trials = random.Random(1), collections.Counter(), 20000
+    for _ in range(trials):
+        pool = dict(left)
+        for _ in range(k):
+            i = rnd.choices(list(pool), pool.values())[0]
+            inside[i] += 1
+            del pool[i]
+    have = collections.Counter(r.book_id for r in got)
+    assert set(have) <= set(left) and 1 not in have
+    assert all(abs(have[i] / n - inside[i] / trials) < 0.035 for i in left)
+
+
+def test_draws_do_not_depend_on_how_arrivals_are_cut(spark, monkeypatch):
+    from recprep.operators import sampling
+    table = popularity_table(_steep(spark), "book_id")
+    users = spark.range(0, 40).select(F.col("id").cast("int").alias("user_id"))
+    monkeypatch.setattr(sampling, "HEAD_FACTOR", 2)
+    results = []
+    for factor in (1, 2, 16):
+        monkeypatch.setattr(sampling, "TAIL_FACTOR", factor)
+        results.append(sorted(map(tuple, sample_negatives(users, table, 12, 4).collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == 40 * 12
