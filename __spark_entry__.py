@@ -63,7 +63,7 @@ from recprep.operators.ordering import head_per_group
 from recprep.operators.sequences import collect_sequences
 from recprep.operators.setops import array_difference, repeat_epochs
 from recprep.operators.windows import (
-    count_over, flag_last, running_offsets, sort_within, split_by_ratio,
+    flag_last, running_offsets, sort_within, split_by_ratio, with_group_size,
 )
 from recprep.plans import evaluation, ranking
 from recprep.plans import sequences as seqplan
@@ -660,7 +660,7 @@ def q_d6_null_counts(spark, sf):
 
 
 def q_e1_count_over(spark, sf):
-    return _pairs(spark, sf).withColumn("n", count_over("user_id"))
+    return with_group_size(_pairs(spark, sf), "user_id")
 
 
 def q_e2_sort_within_positional(spark, sf):
@@ -678,6 +678,14 @@ def q_e2_sort_within_positional(spark, sf):
     return out.select("user_id", "pos", "book_id", "qty")
 
 
+def q_e2_sort_within(spark, sf):
+    """E2, default form, by the global rank."""
+    x = fx.interactions(spark, sf).select(
+        F.when(F.col("user_id") % 17 != 0, F.col("user_id")).alias("user_id"),
+        (F.col("book_id").cast("long") * 100000 + F.col("user_id")).alias("book_id"))
+    return sort_within(x, "user_id", "book_id", method="global")
+
+
 def q_e5_flag_last(spark, sf):
     sd = _seq_data(spark, sf)
     return flag_last(sd.rows).select("user_id", "book_id", "is_last")
@@ -800,6 +808,7 @@ def _library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "d6_null_counts": q_d6_null_counts,
         "e1_count_over": q_e1_count_over,
         "e2_sort_within_positional": q_e2_sort_within_positional,
+        "e2_sort_within": q_e2_sort_within,
         "e5_flag_last": q_e5_flag_last,
         "e6_running_offsets": q_e6_running_offsets,
         "f1_popularity_rank": q_f1_popularity_rank,
@@ -1513,6 +1522,11 @@ WHERE NOT EXISTS (SELECT 1 FROM srows s WHERE s.user_id = d.user_id AND s.book_i
         "d6_null_counts": D6_SQL,
         "e1_count_over": PAIRS + " SELECT user_id, book_id, count(*) OVER (PARTITION BY user_id) AS n FROM pairs",
         "e2_sort_within_positional": E2_SQL,
+        "e2_sort_within": "WITH " + FIX_INTERACTIONS + """
+SELECT CASE WHEN user_id % 17 <> 0 THEN user_id END AS user_id, CAST(book_id AS BIGINT) * 100000 + user_id AS book_id,
+       CAST(row_number() OVER (PARTITION BY CASE WHEN user_id % 17 <> 0 THEN user_id END
+                               ORDER BY CAST(book_id AS BIGINT) * 100000 + user_id) - 1 AS INT) AS pos
+FROM interactions""",
         "e5_flag_last": SEQ_BASE + " SELECT user_id, book_id, pos = n - 1 AS is_last FROM srows",
         "e6_running_offsets": E6_SQL,
         "f1_popularity_rank": SEQ_BASE + """

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recprep.operators.joins import maybe_broadcast
-from recprep.session import materialize
 
 # The ranking example layout written by the reference.
 RANKING_COLUMNS = [
@@ -23,7 +22,7 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
 
     Counted with a group-by (map-side partial counts, so a key holding a
     third of the rows costs one small partial per task). The kept keys are
-    checkpointed (one row per key) and semi-joined back, so the input is
+    written once (one row per key) and semi-joined back, so the input is
     read twice: once to count, once to filter. When their number is under the broadcast bound
     (counted, not assumed) the semi join is a map-side broadcast filter: a
     hot key above ``hi`` is dropped where it is read and never reaches a
@@ -37,10 +36,9 @@ def filter_by_activity(df: DataFrame, key: str = "user_id", lo: int | None = 10,
         cond = cond & (F.col("_act_n") >= lo)
     if hi is not None:
         cond = cond & (F.col("_act_n") <= hi)
-    # the kept keys (one row per key) are checkpointed once: the size check
-    # and the join then read that small table instead of re-counting the input
-    keep = materialize(counts.where(cond).select(key))
-    kept = keep.select(F.col(key).alias("_act_key"))
+    # written once by the size check; the join then reads that small table
+    # instead of counting the input again
+    kept = counts.where(cond).select(F.col(key).alias("_act_key"))
     return df.join(maybe_broadcast(kept, max_rows=broadcast_rows),
                    F.col(key).eqNullSafe(F.col("_act_key")), "left_semi")
 

@@ -6,21 +6,26 @@ one task. Instead rows are range-partitioned on the order key and sorted
 inside each partition; the layout is written as Parquet (range bounds come from
 a sample, so it must be frozen; counting reads one column of it); then each partition's row count (one row per
 partition, a proven-small table) gives its start offset, broadcast back.
-Cost: one range shuffle, one checkpoint write, no further shuffle.
+Cost: one range shuffle of the rows and one write; besides, only one row per
+partition is exchanged.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 from operator import and_
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from recprep.session import staged
+from recprep.session import ship_package, staged
 
-_PID, _LOCAL, _OFF = "_rx_pid", "_rx_local", "_rx_off"
+_PID, _LOCAL, _OFF, _SUM = "_rx_pid", "_rx_local", "_rx_off", "_rx_sum"
 _LOW33 = (1 << 33) - 1
 
 
@@ -92,24 +97,50 @@ def with_row_index(df: DataFrame, order, name: str = "row_idx", start: int = 0,
              .drop(_PID, _LOCAL, _OFF))
 
 
+def _summed_layout(df: DataFrame, order: Sequence, value: str, num_partitions: int | None,
+                   inclusive: bool) -> DataFrame:
+    """The sorted layout with the running sum of ``value`` inside each range
+    partition (``_SUM``, nulls as 0), computed on the way to the file: a range
+    partition arrives sorted, batch by batch, so no further exchange is due."""
+    n = _partitions(df, num_partitions)
+    whole = isinstance(df.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    s = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(_PID, F.spark_partition_id())
+    out = T.StructType([*s.schema.fields, T.StructField(_SUM, T.LongType() if whole else T.DoubleType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0 if whole else 0.0
+        for b in batches:
+            v = pc.fill_null(b.column(b.schema.get_field_index(value)).cast(pa.int64() if whole else pa.float64()), 0)
+            v = v.to_numpy(zero_copy_only=False)
+            total = before + np.cumsum(v)
+            if len(v):
+                before = total[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total if inclusive else total - v)],
+                                             names=[*b.schema.names, _SUM])
+
+    ship_package(df.sparkSession)
+    return staged(s.mapInArrow(add, out), "summed-layout")
+
+
 def running_sum(df: DataFrame, order, value: str, name: str = "running",
                 inclusive: bool = False, num_partitions: int | None = None) -> DataFrame:
-    """E6 (global form): running total of ``value`` in ``order``.
+    """E6 (global form): running total of ``value`` in ``order``, with one
+    range exchange of the rows. Nulls count as 0.
 
     ``inclusive=False`` gives offsets (sum of the rows before), the form used
-    for cumulative ranges and jagged offsets.
+    for cumulative ranges and jagged offsets. Whole numbers sum to bigint,
+    others to double.
     """
     order = _cols(order)
-    s = _sorted_layout(df, order, num_partitions)
+    s = _summed_layout(df, order, value, num_partitions, inclusive)
+    # one row per partition
     part = s.groupBy(_PID).agg(F.sum(value).alias("_rx_tot"))
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(_PID, F.coalesce(F.sum("_rx_tot").over(w), F.lit(0)).alias(_OFF))
-    frame_end = 0 if inclusive else -1
-    within = Window.partitionBy(_PID).orderBy(_LOCAL).rowsBetween(
-        Window.unboundedPreceding, frame_end)
+    kind = s.schema[_SUM].dataType
     return (s.join(F.broadcast(offsets), _PID)
-             .withColumn(name, F.col(_OFF) + F.coalesce(F.sum(value).over(within), F.lit(0)))
-             .drop(_PID, _LOCAL, _OFF))
+             .withColumn(name, (F.col(_OFF) + F.col(_SUM)).cast(kind))
+             .drop(_PID, _SUM, _OFF))
 
 
 DEFAULT_WINDOW_GROUP_ROWS = 5_000_000

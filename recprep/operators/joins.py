@@ -2,28 +2,87 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from recprep.session import staged
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
+#: what a row and an array element take at least once broadcast, and how much
+#: a Parquet file grows
+ROW_BYTES, ELEMENT_BYTES, FILE_GROWTH = 16, 8, 4
+
+
+def _limit(df: DataFrame, name: str, default: int) -> int:
+    conf = df.sparkSession.conf.get(f"recprep.broadcast.{name}", None)
+    return int(conf) if conf else default
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("recprep.broadcast.maxRows", None)
-    return int(conf) if conf else DEFAULT_BROADCAST_ROWS
+    return _limit(df, "maxRows", DEFAULT_BROADCAST_ROWS)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
-                    known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven below a bound.
+def _fixed_width(schema: T.StructType) -> int | None:
+    """Bytes of a row if all its columns are of fixed size, else None."""
+    sizes = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+             T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16}
+    each = [sizes.get(type(f.dataType)) for f in schema.fields]
+    return None if None in each else ROW_BYTES + sum(each)
 
-    The count is a driver scalar (one cheap job unless ``known_rows`` is
-    given). Above the bound the frame is returned as is and the join shuffles
-    (sort-merge with AQE skew splitting).
+
+def _file_bytes(df: DataFrame) -> int:
+    """What the optimizer knows of a table that is read straight from files:
+    their size."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
+                    known_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when both its rows and its bytes are proven below
+    a bound (``recprep.broadcast.maxRows`` and ``maxBytes``).
+
+    With ``known_rows`` and columns of fixed size both follow from the schema.
+    Otherwise ``df`` is written once to the shared folder, so that its plan is
+    not run again, and is measured there: rows from the files' footers; bytes
+    from their size times FILE_GROWTH, but no less than the fixed-size columns
+    and all strings and array elements take (a repeated value hardly shows in
+    a file). Above a bound the join shuffles (AQE splits skewed partitions).
     """
-    limit = max_rows if max_rows is not None else broadcast_limit(df)
+    rows_limit = max_rows if max_rows is not None else broadcast_limit(df)
+    bytes_limit = max_bytes if max_bytes is not None else _limit(df, "maxBytes", DEFAULT_BROADCAST_BYTES)
+    if known_rows is not None and known_rows > rows_limit:
+        return df
+    width = _fixed_width(df.schema)
+    if known_rows is not None and width is not None:
+        return F.broadcast(df) if known_rows * width <= bytes_limit else df
+    df = staged(df, "broadcast-side")
     rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= limit else df
+    if rows > rows_limit:
+        return df
+    size = max(FILE_GROWTH * _file_bytes(df), rows * (width or ROW_BYTES))
+    if width is None and size <= bytes_limit:
+        size = max(size, df.agg(F.sum(_row_bytes(df.schema))).first()[0] or 0)
+    return F.broadcast(df) if size <= bytes_limit else df
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """Bytes of a row; nested columns by their JSON text."""
+    total = F.lit(ROW_BYTES).cast("bigint")
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            n = F.octet_length(c)
+        elif isinstance(f.dataType, T.ArrayType) and not isinstance(
+                f.dataType.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+            n = F.size(c) * ELEMENT_BYTES
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            n = F.octet_length(F.to_json(F.struct(c)))
+        else:
+            n = F.lit(ELEMENT_BYTES)
+        total = total + ELEMENT_BYTES + F.greatest(F.lit(0), F.coalesce(n, F.lit(0)))
+    return total
 
 
 def attach_internal_id(id_map: DataFrame, metadata: DataFrame,
@@ -54,7 +113,7 @@ def lookup(df: DataFrame, col: str, mapping: DataFrame, key: str = "value",
            dtype: str | None = None, known_rows: int | None = None) -> DataFrame:
     """C4: dictionary replace through a join on a mapping table; unmapped ->
     ``default`` (null unless given). The mapping is broadcast only under the
-    row bound (``known_rows`` skips the count when the size is known)."""
+    bounds of ``maybe_broadcast``."""
     out = out or col
     m = mapping.select(F.col(key).alias("_lk_key"), F.col(value).alias("_lk_val"))
     res = df.join(maybe_broadcast(m, known_rows=known_rows), df[col] == F.col("_lk_key"), "left")

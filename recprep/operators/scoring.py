@@ -17,8 +17,8 @@ def embedding_lookup(df: DataFrame, id_col: str, table: DataFrame, key: str = "v
                      vec: str = "embedding", out: str | None = None,
                      table_rows: int | None = None) -> DataFrame:
     """M1: id -> vector by an equi-join; the table is broadcast only under
-    the row bound, otherwise both sides shuffle on the id (a hot id is split
-    by AQE skew handling)."""
+    the bounds of rows and bytes, otherwise both sides shuffle on the id (a hot
+    id is split by AQE skew handling)."""
     out = out or f"{id_col}_vec"
     t = table.select(F.col(key).alias("_emb_key"), F.col(vec).alias(out))
     t = maybe_broadcast(t, known_rows=table_rows)

@@ -3,39 +3,60 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recprep.operators.indexing import rank_within, running_sum
+from recprep.operators.joins import maybe_broadcast
 
 TRAIN, EVAL, TEST = "train", "eval", "test"
 
 
 def count_over(*keys) -> Column:
-    """Group size on every row (nulls counted, as ``count(1)``)."""
+    """E1 as a column: group size on every row (nulls counted, as
+    ``count(1)``). A group is held by one task; use it for bounded groups and
+    ``with_group_size`` otherwise."""
     return F.count(F.lit(1)).over(Window.partitionBy(*keys))
 
 
+def with_group_size(df: DataFrame, keys, name: str = "n") -> DataFrame:
+    """Group size on every row, for groups of any size. Sizes come from a
+    partial aggregate and are joined back (nulls are one group), so a hot key's
+    rows stay where they are, or are split by AQE if there are too many keys to
+    broadcast."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gs_n"))
+    sizes = maybe_broadcast(sizes.select(*[F.col(c).alias(f"_gs_k{i}") for i, c in enumerate(keys)], "_gs_n"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_gs_k{i}")) for i, c in enumerate(keys)])
+    out = [F.col(c) for c in df.columns if c != name]
+    return df.join(sizes, same).select(*out, F.col("_gs_n").alias(name))
+
+
 def sort_within(df: DataFrame, key: str, col: str, pos: str = "pos",
-                positional: bool = False, input_order: str | None = None) -> DataFrame:
+                positional: bool = False, input_order: str | None = None,
+                method: str = "auto") -> DataFrame:
     """Order ``col`` inside each ``key``.
 
     Default keeps every row whole and adds its 0-based position. With
     ``positional=True`` only ``col`` is re-ordered and the j-th smallest value
     is attached to the row that was j-th in ``input_order`` -- the reference's
     behaviour when it sorts one column over a group (other columns keep their
-    row slots).
+    row slots). Rows with a null key are one group. ``method`` as in
+    ``rank_within``: large groups are ranked by global range sorts, and slots
+    and values meet by (key, position), which no hot key can skew.
     """
-    w_sorted = Window.partitionBy(key).orderBy(col)
     if not positional:
-        return df.withColumn(pos, F.row_number().over(w_sorted) - 1)
+        return rank_within(df, key, [col], pos=pos, size="_sw_n", method=method).drop("_sw_n")
     if input_order is None:
         raise ValueError("positional=True needs input_order (the rows' original order)")
-    w_orig = Window.partitionBy(key).orderBy(input_order)
-    slots = df.withColumn(pos, F.row_number().over(w_orig) - 1).drop(col)
-    values = df.select(key, col, (F.row_number().over(w_sorted) - 1).alias(pos))
-    return slots.join(values, [key, pos])
+    slots = rank_within(df, key, [input_order], pos=pos, size="_sw_n", method=method).drop("_sw_n", col)
+    values = rank_within(df.select(key, col), key, [col], pos="_sw_pos", size="_sw_n", method=method).select(
+        F.col(key).alias("_sw_key"), F.col(col), "_sw_pos")
+    joined = slots.join(values, F.col(key).eqNullSafe(F.col("_sw_key")) & (F.col(pos) == F.col("_sw_pos")))
+    return joined.select(key, pos, *[c for c in slots.columns if c not in (key, pos)], col)
 
 
 def split_by_ratio(df: DataFrame, key: str, order, ratio: float = 0.8,
