@@ -81,7 +81,7 @@ def _cells(words: DataFrame, block: int) -> DataFrame:
     # at most 4 / block of the words
     large = (rows.groupBy("longer", "side", "key").agg(F.count("*").alias("size")).where(F.col("size") > block)
                  .select("longer", "side", "key", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
-    rows = (rows.join(maybe_broadcast(staged(large, "spelling-large")), ["longer", "side", "key"], "left")
+    rows = (rows.join(maybe_broadcast(large), ["longer", "side", "key"], "left")
                 .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
                 .withColumn("block", F.pmod(F.xxhash64("word", F.lit(1)), F.col("blocks")).cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
