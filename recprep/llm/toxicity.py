@@ -6,8 +6,9 @@ lower-cased text, white space as one space, hashed to DIMS numbers. Of every
 feature, all labelled texts that may teach give the share of texts of each
 class that have it; r is the log of the ratio of the two, both smoothed by
 SMOOTHING texts of the overall make-up, so that an unseen feature has r = 0.
-Features whose shares differ by less than SIGNIFICANCE standard errors are
-left out (r = 0): they would only let the fit learn its texts by heart.
+Features whose shares differ by less than SIGNIFICANCE standard errors, or by
+less than a factor of LEAST_RATIO, are left out (r = 0): they would only let
+the fit learn its texts by heart, or their lengths.
 
 A text is the vector with r in the places of its features, and logistic
 regression (Spark ML, ridge penalty) is fitted on such vectors of all labelled
@@ -18,6 +19,7 @@ over the features of the whole text. The model is DIMS numbers at most.
 
 from __future__ import annotations
 
+import math
 import re
 from typing import Iterator
 
@@ -38,8 +40,11 @@ SIZES = (2, 3, 4, 5, 6)
 #: texts, of the overall make-up, added to each class before the ratio
 SMOOTHING = 20.0
 SIGNIFICANCE = 4.0
+LEAST_RATIO = 2.0
 RIDGE = 0.0003
 ROUNDS = 100
+#: bits of the table that tells which ids may have a label: two to this power
+ID_BITS = 24
 #: characters whose n-grams are made at once
 _CHUNK = 1 << 18
 
@@ -98,9 +103,10 @@ def _ratios(learn: DataFrame) -> DataFrame:
     p0, p1, p = F.col("c0") / F.col("n0"), F.col("c1") / F.col("n1"), (F.col("c0") + F.col("c1")) / n
     error = F.sqrt(p * (1 - p) * (1 / F.col("n0") + 1 / F.col("n1")))
     some = SMOOTHING / n
+    r = F.log((p1 + some) / (p0 + some))
     used = c.where((F.col("idx") >= 0) & (F.col("n0") > 0) & (F.col("n1") > 0)
-                   & (F.abs(p1 - p0) > SIGNIFICANCE * error))
-    return used.select("idx", F.log((p1 + some) / (p0 + some)).alias("r")).union(
+                   & (F.abs(p1 - p0) > SIGNIFICANCE * error) & (F.abs(r) >= math.log(LEAST_RATIO)))
+    return used.select("idx", r.alias("r")).union(
         whole.select(F.lit(-1).alias("idx"), F.col("n1") / n))
 
 
@@ -126,7 +132,7 @@ def _vectors(learn: DataFrame, at: np.ndarray, r: np.ndarray) -> DataFrame:
 
     path = staging_path(spark, "toxicity-vectors")
     done = append_columns(learn, ["text"], [T.StructField("features", parts, False)], make)
-    done.select(F.col("label").cast("double"), "features").write.parquet(path)
+    done.select(F.col("label").cast("double"), "features").write.option("compression", "zstd").parquet(path)
     kind = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
     return spark.read.schema(kind).parquet(path)
 
@@ -171,6 +177,23 @@ def score(df: DataFrame, model: tuple[np.ndarray, np.ndarray, float], text_col:
                                            T.StructField("predicted", T.IntegerType(), False)], make)
 
 
+def _labelled(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, label) of the rows (id, text) whose id is in ``known`` (known,
+    label). Texts are long and mostly unlabelled, so they are first held
+    against a table of 2 ** ID_BITS bits, one set by each labelled id: most
+    texts without a label never reach the shuffle."""
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(1 << ID_BITS))
+
+    bits = known.select(place("known").alias("p")).select(
+        F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("bit")).groupBy(
+        "word").agg(F.bit_or("bit").alias("bits"))           # 2 ** ID_BITS / 64 rows at most
+    maybe = (rows.withColumn("p", place("id"))
+                 .join(F.broadcast(bits), F.floor(F.col("p") / 64) == F.col("word"))
+                 .where(F.expr("(bits & shiftleft(1L, cast(p % 64 as int))) != 0")))
+    return maybe.join(known, F.col("id") == F.col("known")).select("text", "label")
+
+
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "label", keep: list[str] | None = None) -> DataFrame:
     """Learn from the labelled rows whose crc32(id as text) mod 5 is not 0,
@@ -188,10 +211,11 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     keep = [c for c in (keep or df.columns) if c not in results]
     ident = F.col(f"`{id_col}`")
     held = F.coalesce(F.crc32(ident.cast("string")) % 5 == 0, F.lit(True))
-    known = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("known")).agg(
+    known = labels.where(F.col(label_col).isin(0, 1)).groupBy(
+        F.col(id_col).cast(df.schema[id_col].dataType).alias("known")).agg(
         F.max(label_col).alias("label"))
     rows = df.where(~held).select(ident.alias("id"), F.col(f"`{text_col}`").alias("text"))
-    learn = staged(rows.join(known, F.col("id") == F.col("known")).select("text", "label"), "toxicity-learn")
+    learn = staged(_labelled(rows, known.where("known is not null")), "toxicity-learn")
     model = fit(learn)
     cols = list(dict.fromkeys([*keep, text_col]))
     src = df.select(*[F.col(f"`{c}`") for c in cols], held.alias("held_out"))

@@ -247,7 +247,9 @@ def brute_ratios(texts, labels):
         error = (p * (1 - p) * (1 / n[0] + 1 / n[1])) ** 0.5
         if abs(share[1] - share[0]) > toxicity.SIGNIFICANCE * error:
             some = toxicity.SMOOTHING / sum(n)
-            out[f] = float(np.log((share[1] + some) / (share[0] + some)))
+            r = float(np.log((share[1] + some) / (share[0] + some)))
+            if abs(r) >= np.log(toxicity.LEAST_RATIO):
+                out[f] = r
     return out
 
 
