@@ -7,7 +7,7 @@ dot product of its demands with what the sequence has left (both as fractions
 of the limits), which prefers examples whose shape matches the free space.
 
 Examples longer than a sequence are cut into full sequences first; what is
-left waits in a window of WINDOW examples. Where cutting is allowed, a
+left, and no more of it, waits in a window of WINDOW examples. Where cutting is allowed, a
 sequence that no waiting example fits is filled up with the front of the
 largest one, so padding is left only in the last sequence of a task and where
 the segment or loss limit stops a sequence.
@@ -49,12 +49,15 @@ class Limits:
 
 class Packer:
     """Places examples as they come. ``emit(key, start, length, sequence,
-    offset)`` is called once for every piece."""
+    offset)`` is called once for every piece. What waits is ``trim(key, start,
+    length)`` in place of the key, so that of a long example only the part that
+    waits is held."""
 
-    def __init__(self, limits: Limits, emit: Callable, cut: bool = True, window: int = WINDOW):
-        self.top, self.emit, self.cut, self.window = limits, emit, cut, window
+    def __init__(self, limits: Limits, emit: Callable, cut: bool = True, window: int = WINDOW,
+                 trim: Callable = lambda key, start, length: key):
+        self.top, self.emit, self.cut, self.window, self.trim = limits, emit, cut, window, trim
         self.next_sequence = 0
-        self.waiting: list = [None] * window          # (key, start, running loss or None)
+        self.waiting: list = [None] * window          # (key, start, running loss from ``first`` or None, first)
         self.tokens = np.zeros(window, dtype=np.int64)
         self.loss = np.zeros(window, dtype=np.int64)
         self.free = list(range(window - 1, -1, -1))
@@ -102,8 +105,10 @@ class Packer:
         while not self.free:
             self._step()
         i = self.free.pop()
-        self.waiting[i] = (key, start, running)
         self.tokens[i], self.loss[i] = length, self._loss_of(running, start, length)
+        if running is not None:
+            running = running[start:start + length + 1].copy()
+        self.waiting[i] = (self.trim(key, start, length), start, running, start)
 
     def _step(self) -> None:
         """Put one waiting example, or a front of it, into the open sequence."""
@@ -120,8 +125,8 @@ class Packer:
             self._place(i, int(self.tokens[i]))
         elif self.cut:
             i = int(np.argmax(np.where(held, self.tokens, -1)))
-            _, start, running = self.waiting[i]
-            take = self._front(running, start, min(left, int(self.tokens[i])), left_loss)
+            _, start, running, first = self.waiting[i]
+            take = self._front(running, start - first, min(left, int(self.tokens[i])), left_loss)
             if take > 0:
                 self._place(i, take)
             self._open()
@@ -131,17 +136,17 @@ class Packer:
             self._open()
 
     def _place(self, i: int, take: int) -> None:
-        key, start, running = self.waiting[i]
+        key, start, running, first = self.waiting[i]
         if self.sequence is None:
             self.sequence = self._number()
         self.emit(key, start, take, self.sequence, self.used)
-        loss = self._loss_of(running, start, take)
+        loss = self._loss_of(running, start - first, take)
         self.used, self.segments, self.lossy = self.used + take, self.segments + 1, self.lossy + loss
         if take == self.tokens[i]:
             self.waiting[i] = None
             self.free.append(i)
         else:
-            self.waiting[i] = (key, start + take, running)
+            self.waiting[i] = (key, start + take, running, first)
             self.tokens[i] -= take
             self.loss[i] -= loss
 
@@ -179,16 +184,20 @@ def pack(df: DataFrame, key_cols: list[str], input_cols: list[str],
         first = TaskContext.get().partitionId() * SEQUENCES_PER_TASK
         fn = make()
         rows: list[tuple] = []
-        held: dict[int, list] = {}                    # row number -> [key values, ids, pieces left]
         key_types = []
 
         def emit(key, start, length, sequence, offset):
-            k, ids, flags = key
-            part = ids[start:start + length]
-            rows.append((k, start, length, zlib.crc32(part), len(ids), first + sequence, offset,
-                         length if flags is None else int(flags[start:start + length].sum())))
+            k, ids, flags, base, total = key          # the ids from ``base`` on, of ``total``
+            span = slice(start - base, start - base + length)
+            rows.append((k, start, length, zlib.crc32(ids[span]), total, first + sequence, offset,
+                         length if flags is None else int(flags[span].sum())))
 
-        packer = Packer(limits, emit, cut)
+        def trim(key, start, length):
+            k, ids, flags, base, total = key
+            span = slice(start - base, start - base + length)
+            return k, ids[span].copy(), None if flags is None else flags[span].copy(), start, total
+
+        packer = Packer(limits, emit, cut, trim=trim)
 
         def drain():
             arrays = [pa.array([r[0][j] for r in rows], type=t) for j, t in enumerate(key_types)]
@@ -206,7 +215,7 @@ def pack(df: DataFrame, key_cols: list[str], input_cols: list[str],
                     if flags is not None:
                         flags = np.asarray(flags, dtype=np.int64)
                         running = np.concatenate([[0], np.cumsum(flags)])
-                    packer.add((key, np.ascontiguousarray(ids, dtype="<u4"), flags), len(ids), running)
+                    packer.add((key, np.ascontiguousarray(ids, dtype="<u4"), flags, 0, len(ids)), len(ids), running)
                 if rows:
                     yield drain()
         packer.flush()
@@ -278,10 +287,11 @@ _TOKENIZER: dict[int, Callable[[str], np.ndarray]] = {}
 
 
 def pack_documents(df: DataFrame, tokenizer_path: str, key_col: str = "doc_id",
-                   text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
+                   text_col: str = "text", limits: Limits = Limits(segments=Limits.tokens)) -> DataFrame:
     """Tokenize whole texts (null: empty), end each with id 0 and pack them,
     cutting freely: each id lies in exactly one piece. Repeated rows are
-    packed each on its own."""
+    packed each on its own. Unless told otherwise, a sequence takes as many
+    texts as it has tokens for."""
     spark = df.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
