@@ -53,12 +53,16 @@ READER_WORDS = frozenset("comment comments disqus respond replies discussion".sp
 WRAP_CHARS, WRAP_TIMES, WRAP_TIMES_READERS, WRAP_LINKS = 100, 3, 10, 0.5
 #: Containers that are never left out for a word of their class.
 KEPT_TAGS = frozenset("html body article main".split())
+#: What holds the whole page.
+WHOLE = frozenset("body html #root".split())
 BONUS = {"article": 10.0, "main": 8.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0,
          "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "address": -3.0, "table": -3.0}
 #: blocks that give their points to their parent, not to themselves
 LEAVES = frozenset("p pre li dt dd blockquote h1 h2 h3 h4 h5 h6 figcaption caption address th".split())
 
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+#: the end of a tag, or a quote that opens a value
+_STOP = re.compile(r"""=\s*(["'])|>""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 
@@ -153,39 +157,28 @@ class _Page:
         self.pieces.append((self.stack[-1], s))
 
 
-def _tag_end(s: str, at: int) -> int:
-    """The index of the ``>`` that ends the tag at ``at``; quoted values may
-    hold one. An unclosed quote ends at the next ``>``; -1: no end at all."""
-    first = end = s.find(">", at)
-    while end >= 0:
-        body = s[at:end]
-        q = _open_quote(body)
-        if not q:
-            return end
-        close = s.find(q[0], end)
-        if close < 0 or close - at > 65536:
-            return first
-        end = s.find(">", close + 1)
-    return first
-
-
-def _open_quote(body: str) -> str:
-    """The quote that is still open at the end of ``body``, or nothing."""
-    if '"' not in body and "'" not in body:
-        return ""
-    quote = ""
-    for m in re.finditer(r"""=\s*["']|["']""", body):
-        c = m.group()[-1]
-        if quote:
-            if c == quote:
-                quote = ""
-        elif len(m.group()) > 1:
-            quote = c
-    return quote
+def _tag_end(s: str, at: int, absent: set) -> int:
+    """The index of the ``>`` that ends the tag at ``at``; a quoted value, of
+    any length, may hold one. A quote that is never closed ends at the next
+    ``>``; -1: no end at all. ``absent`` has the quotes that are known not to
+    come again, so that a page is searched for each of them once in vain."""
+    while True:
+        m = _STOP.search(s, at)
+        if not m:
+            return -1
+        if m.group() == ">":
+            return m.start()
+        quote, at = m.group(1), m.end()
+        close = -1 if quote in absent else s.find(quote, at)
+        if close < 0:
+            absent.add(quote)
+        else:
+            at = close + 1
 
 
 def parse(s: str) -> _Page:
     page, at, n = _Page(), 0, len(s)
+    absent: set = set()
     while at < n:
         lt = s.find("<", at)
         if lt < 0:
@@ -212,7 +205,7 @@ def parse(s: str) -> _Page:
                 at = lt + 1
             continue
         tag = m.group().lower()
-        end = _tag_end(s, m.end())
+        end = _tag_end(s, m.end(), absent)
         if end < 0:                                   # the page ends inside a tag
             break
         at = end + 1
@@ -275,9 +268,33 @@ def _drop_doubtful(page: _Page) -> None:
         out[i] = out[i] or out[parent[i]] or (i in doubt and i not in stays)
 
 
+def _raise(page: _Page, best: int, score: list, scored: list, top: float, density) -> int:
+    """The highest ancestor of ``best``, up to a main element, that has another
+    branch which scores comparably: half as high, or a fifth and 10 points at
+    least. Such branches are further parts of the article (sections, posts)."""
+    tag, parent, out = page.tag, page.parent, page.out
+    peak = [score[i] if scored[i] and not out[i] and tag[i] not in INLINE else 0.0 for i in range(len(tag))]
+    for i in range(len(tag) - 1, 0, -1):
+        if not out[i]:
+            peak[parent[i]] = max(peak[parent[i]], peak[i])
+    chain = [best]
+    while parent[chain[-1]] >= 0 and tag[chain[-1]] != "main":
+        chain.append(parent[chain[-1]])
+    level = {node: k for k, node in enumerate(chain)}
+    found = 0
+    for i in range(1, len(tag)):
+        k = level.get(parent[i], 0)
+        if k > found and i not in level and not out[i] and density(i) <= 0.5 and (
+                peak[i] >= 0.5 * top or peak[i] >= max(10.0, 0.2 * top)):
+            found = k
+    return chain[found]
+
+
 def main_text(source: str | None) -> str:
     """The article text of one page ("" if there is none): character
-    references decoded, each run of white space one space."""
+    references decoded, each run of white space one space. Of containers that
+    score alike the first in page order is the best; the others are further
+    parts of the article."""
     if not source:
         return ""
     page = parse(source)
@@ -332,20 +349,29 @@ def main_text(source: str | None) -> str:
     up = best                                         # a lone article around the best is the article
     while up > 0 and tag[up] != "article":
         up = parent[up]
-    if up > 0 and sum(t == "article" and not o for t, o in zip(tag, out)) == 1:
+    lone = up > 0 and sum(t == "article" and not o for t, o in zip(tag, out)) == 1
+    if lone:
         best = up
-    kept = {best}
-    if tag[best] not in ("article", "body", "html", "#root"):
-        for i in range(n):
-            if i == best or parent[i] != parent[best] or out[i] or tag[i] in INLINE or not size[i]:
-                continue
-            if scored[i] and score[i] >= max(10.0, 0.2 * top):
-                kept.add(i)
-            elif tag[i] in LEAVES and density(i) < (0.25 if size[i] > 80 else 0.01):
-                kept.add(i)
+    kept, cut = {best}, set()
+    if not lone:
+        raised = _raise(page, best, score, scored, top, density)
+        if raised != best:
+            best, kept = raised, {raised}
+            if tag[best] in WHOLE:                    # what is mostly links there is a menu
+                cut = {i for i in range(n) if i and parent[i] == best and tag[i] not in INLINE and density(i) > 0.5}
+        elif tag[best] not in WHOLE and tag[best] != "article":
+            for i in range(n):
+                if i == best or parent[i] != parent[best] or out[i] or tag[i] in INLINE or not size[i]:
+                    continue
+                if scored[i] and score[i] >= max(10.0, 0.2 * top):
+                    kept.add(i)
+                elif tag[i] in LEAVES and density(i) < (0.25 if size[i] > 80 else 0.01):
+                    kept.add(i)
+                elif tag[parent[i]] not in WHOLE and not links[i]:
+                    kept.add(i)                       # plain text beside the article, inside its container
     inside = [False] * n
     for i in range(n):
-        inside[i] = not out[i] and (i in kept or (i > 0 and inside[parent[i]]))
+        inside[i] = not out[i] and i not in cut and (i in kept or (i > 0 and inside[parent[i]]))
     return " ".join("".join(" " if s == "" else s for node, s in pieces if inside[node]).split())
 
 
