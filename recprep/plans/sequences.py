@@ -3,8 +3,9 @@
 filter users (20..200) -> dense 1-based ids -> item popularity -> leave-last-
 two split -> mask train items -> sliding windows (train set); last window of
 train items + mask, and [eval item] + k weighted negatives that exclude the
-user's train and eval items (eval set). No step gathers a whole history: all
-arrays are collected from at most ``seq_len`` or ``k`` rows.
+user's train and eval items (eval set). Arrays are collected from at most
+``seq_len`` or ``k`` rows, or from a whole history, which the user filter
+bounds.
 """
 
 from __future__ import annotations
