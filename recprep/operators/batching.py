@@ -6,6 +6,7 @@ shards are reproducible and no step sorts the data in one task.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from recprep.functions.random import uniform
 from recprep.operators.indexing import with_row_index
 
+#: a prime that products of two numbers below it keep within a signed long
+PRIME = (1 << 31) - 1
+EPOCH_ROUNDS = 32
+
 
 def shuffle_key(seed: int, epoch: int, *keys) -> Column:
     """K1's sort key: a J9 draw per row, new for every epoch."""
@@ -31,6 +36,55 @@ def shuffle_rows(df: DataFrame, seed: int, epoch: int, keys, index: str = "row_i
     return with_row_index(k, ["_sh_key", *keys], name=index).drop("_sh_key")
 
 
+def _epoch_rounds(seed: int, epoch: int, rounds: int) -> list[tuple[int, int, int, int]]:
+    """The numbers of each round, from md5 of (seed, epoch, round): an offset
+    (to be taken modulo the row count) and three coefficients below PRIME."""
+    out = []
+    for r in range(rounds):
+        h = [int(hashlib.md5(f"{seed}|{epoch}|{r}|{j}".encode()).hexdigest()[:13], 16) for j in range(4)]
+        out.append((h[0], 1 + h[1] % (PRIME - 1), 1 + h[2] % (PRIME - 1), h[3] % PRIME))
+    return out
+
+
+def epoch_positions(df: DataFrame, n: int, seed: int, epoch: int, index: str = "row_idx",
+                    name: str = "position", rounds: int = EPOCH_ROUNDS) -> DataFrame:
+    """K1 for one more epoch over rows that have a dense index 0..n-1: the place
+    of each row in the epoch's order, a bijection of [0, n) computed row by row,
+    so a new epoch needs neither a sort nor a shuffle.
+
+    Swap-or-not rounds: a round pairs x with (offset - x) mod n and, if a bit
+    hashed from the larger of the two says so, takes the partner. Both members
+    of a pair see the same bit, so every round is a bijection for any n. A null
+    index stays null; an index outside [0, n) is an error of the caller.
+    """
+    if n < 1:
+        return df.withColumn(name, F.lit(None).cast("bigint"))
+    steps = F.array(*[F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in
+                                 zip("kabc", (k % n, a, b, c))]) for k, a, b, c in
+                      _epoch_rounds(seed, epoch, rounds)])
+
+    def one(x, s):
+        partner = F.pmod(s["k"] - x, F.lit(n).cast("bigint"))
+        high = F.greatest(x, partner)
+        mixed = ((high % PRIME) * s["a"] + (high / PRIME).cast("bigint") * s["b"] + s["c"]) % PRIME
+        return F.when(mixed * 2 < PRIME, partner).otherwise(x)
+
+    return df.withColumn(name, F.aggregate(steps, F.col(index).cast("bigint"), one))
+
+
+def epoch_positions_sql(table: str, index: str, n: str, seed: int, epoch: int,
+                        rounds: int = EPOCH_ROUNDS, name: str = "position") -> str:
+    """The same bijection as SQL: a query adding ``name`` to ``table``; ``n`` is
+    a scalar SQL expression."""
+    sql = f"SELECT *, CAST({index} AS BIGINT) AS {name} FROM {table}"
+    for k, a, b, c in _epoch_rounds(seed, epoch, rounds):
+        pair = f"SELECT *, (({k} % {n}) - {name} + {n}) % {n} AS _p FROM ({sql}) q"
+        high = f"greatest({name}, _p)"
+        bit = f"(({high} % {PRIME}) * {a} + ({high} // {PRIME}) * {b} + {c}) % {PRIME} * 2 < {PRIME}"
+        sql = f"SELECT * EXCLUDE (_p) REPLACE (CASE WHEN {bit} THEN _p ELSE {name} END AS {name}) FROM ({pair}) q"
+    return sql
+
+
 def assign_batches(df: DataFrame, size: int, drop_last: bool = False, order=None,
                    index: str = "row_idx", batch: str = "batch_id") -> DataFrame:
     """K3: ``batch_id = index div size``; ``drop_last`` removes the short

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from recprep.functions.arrays import pad_left, pad_right
 from recprep.functions.random import uniform
+from recprep.operators.indexing import rank_within
 
 PAD_ID = 0
+#: items that one row of a segmented list holds at most
+CHUNK = 65_536
 
 
 def _field(name: str):
@@ -34,6 +37,45 @@ def collect_sequences(df: DataFrame, key: str, order, cols, suffix: str = "") ->
     return s.select(key, *[F.transform("_seq", _field(c)).alias(c + suffix) for c in cols])
 
 
+def collect_sequence_chunks(df: DataFrame, key: str, order, cols, chunk: int = CHUNK,
+                            method: str = "auto") -> DataFrame:
+    """D4 for keys of any length: ``collect_sequences`` cut into rows (key,
+    ``chunk`` from 0, lists of at most ``chunk`` elements), so no task gathers a
+    whole key. ``order`` must tell a key's rows apart; rows equal in it and in
+    ``cols`` may change places unseen. Null keys form one key, as in D4."""
+    order = [order] if isinstance(order, str) else list(order)
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    rows = rank_within(df, key, [*order, *[c for c in cols if c not in order]], pos="_pos", size="_n", method=method)
+    return _gathered(rows, key, cols, F.floor(F.col("_pos") / chunk).cast("int"))
+
+
+def _gathered(rows: DataFrame, key: str, cols: list[str], number, *others) -> DataFrame:
+    fields = [F.col("_pos"), *[F.col(c) for c in cols]]
+    s = rows.groupBy(key, number.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("_seq"), *others)
+    kept = [c for c in s.columns if c not in (key, "chunk", "_seq")]
+    return s.select(key, "chunk", *[F.transform("_seq", _field(c)).alias(c) for c in cols], *kept)
+
+
+def split_leave_last_chunks(df: DataFrame, key: str = "user_id", order: str = "book_id",
+                            item: str = "book_id", chunk: int = CHUNK, method: str = "auto") -> DataFrame:
+    """E4 (list form) for keys of any length: rows (key, ``chunk``,
+    ``train_interactions`` of at most ``chunk`` items); a key's last chunk also
+    has ``eval_interactions`` and ``test_interactions``, the others null."""
+    ordered = [order] if order == item else [order, item]
+    rows = rank_within(df, key, ordered, pos="_pos", size="_n", method=method)
+    at, left = F.col("_pos"), F.col("_n") - F.col("_pos")
+    # the last two rows fall into the chunk of the last train item
+    place = F.greatest(F.least(at, F.col("_n") - 3), F.lit(0))
+    rows = rows.withColumn("_item", F.when(left > 2, F.col(item)))
+    return _gathered(rows, key, ["_item"], F.floor(place / chunk).cast("int"),
+                     F.max(F.when(left == 2, F.col(item))).alias("eval_interactions"),
+                     F.max(F.when(left == 1, F.col(item))).alias("test_interactions"),
+                     F.sum((left > 2).cast("int")).alias("_train")).select(
+        key, "chunk", F.slice("_item", F.lit(1), F.col("_train").cast("int")).alias("train_interactions"),
+        "eval_interactions", "test_interactions")
+
+
 def split_leave_last_lists(df: DataFrame, key: str = "user_id", order: str = "book_id",
                            item: str = "book_id") -> DataFrame:
     """E4 (list form): ``train_interactions`` = all but the last two items,

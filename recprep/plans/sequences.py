@@ -23,7 +23,7 @@ from recprep.operators.sequences import (
     candidate_lists, eval_sequences, mask_tokens, sliding_sequences,
 )
 from recprep.operators.windows import EVAL, TEST, TRAIN, split_leave_last
-from recprep.session import materialize
+from recprep.session import materialize, staged
 
 # The reference's sequence settings.
 MIN_INTERACTIONS, MAX_INTERACTIONS = 20, 200
@@ -92,30 +92,34 @@ def size_map(sd: SequenceData, spark) -> DataFrame:
                                  "name string, size bigint")
 
 
+# Fixed value: the reference's part count.
 SEQUENCE_PARTS = 2
 
 
 def prepare_sequence_dataset(spark, data_dir: str, out_dir: str, n_parts: int = SEQUENCE_PARTS,
                              seq_len: int = SEQ_LEN, step: int = SLIDING_STEP,
                              mask_prob: float = MASK_PROB, k: int = EVAL_NEG_NUM,
-                             seed: int = SEED) -> dict:
+                             seed: int = SEED, lo: int = MIN_INTERACTIONS,
+                             hi: int | None = MAX_INTERACTIONS) -> dict:
     """Section 3.2 end to end: raw interactions -> train windows (shuffled
     parts) and eval sequences with candidates (parts), plus the
-    ``n_users`` / ``n_items`` size map."""
+    ``n_users`` / ``n_items`` size map. Both sets are written once, and their
+    bytes say how many files a part gets (``write_parts``)."""
     from recprep.plans.ranking import INTERACTIONS_FILE
     from recprep.sources import files
 
     inter = files.read_interactions(spark, f"{data_dir.rstrip('/')}/{INTERACTIONS_FILE}")
-    sd = prepare(inter)
+    sd = prepare(inter, lo, hi)
     files.write_size_map(size_map(sd, spark), f"{out_dir}/size_map_bert4rec")
-    train = bert_train_set(sd, seq_len, step, mask_prob, seed).select(
-        "user_id", "train_interactions", "labels", "window_start")
-    ev = bert_eval_set(sd, seq_len, k, seed)
+    train = staged(bert_train_set(sd, seq_len, step, mask_prob, seed).select(
+        "user_id", "train_interactions", "labels", "window_start"), "train-windows")
+    ev = staged(bert_eval_set(sd, seq_len, k, seed), "eval-sequences")
     out = {
         "train": files.write_parts(train, f"{out_dir}/parquet_bert4rec", "train", n_parts,
-                                   shuffle=True, seed=seed, keys=["user_id", "window_start"]),
+                                   shuffle=True, seed=seed, keys=["user_id", "window_start"],
+                                   files=files.files_for_bytes(train, n_parts)),
         "eval": files.write_parts(ev, f"{out_dir}/parquet_bert4rec", "eval", n_parts,
-                                  order=["user_id"]),
+                                  order=["user_id"], files=files.files_for_bytes(ev, n_parts)),
         "size_map": f"{out_dir}/size_map_bert4rec",
         "n_users": sd.n_users, "n_items": sd.n_items,
     }

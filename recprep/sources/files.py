@@ -67,11 +67,22 @@ def read_examples(spark: SparkSession, path: str, feature_cols, label_col: str |
 ROWS_PER_FILE = 5_000_000
 
 
+#: compressed bytes that one written file holds (about)
+BYTES_PER_FILE = 256 << 20
+
+
 def files_per_part(rows: int, n_parts: int) -> int:
     """How many files (and tasks) each part gets for this many rows."""
     return max(1, -(-rows // (n_parts * ROWS_PER_FILE)))
 
 
+def files_for_bytes(table: DataFrame, n_parts: int) -> int:
+    """How many files (and tasks) each part gets, by the bytes of a table read
+    straight from files (``staged``): no pass over the rows."""
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, -(-size // (n_parts * BYTES_PER_FILE)))
+
+
 def write_parts(df: DataFrame, out_dir: str, prefix: str, n_parts: int, shuffle: bool = False,
                 seed: int = 42, keys=None, order=None, mode: str = "overwrite",
                 rows: int | None = None, files: int | None = None) -> str:

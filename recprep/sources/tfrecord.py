@@ -2,7 +2,8 @@
 
 ``df.write.format("tfrecord").save(dir)`` writes one GZIP TFRecord file per
 task, one ``tf.train.Example`` per row; ``spark.read.format("tfrecord")
-.schema(ddl).load(dir)`` reads one input partition per file. Integer and
+.schema(ddl).load(dir)`` reads whole files, small ones together in one input
+partition, and decodes a chunk of records column by column. Integer and
 boolean columns become ``int64_list`` features, float/double ``float_list``,
 string/binary ``bytes_list``; arrays of those become multi-value features.
 Records carry masked CRC-32C checksums of the length and of the payload.
@@ -32,6 +33,8 @@ from pyspark.sql.types import (
     LongType, ShortType, StringType, StructType,
 )
 
+from recprep.sources.example_columns import decode_columns
+
 # ---------------------------------------------------------------- CRC-32C
 _CRC_POLY = 0x82F63B78  # Castagnoli, reflected
 _MASK_DELTA = 0xA282EAD8
@@ -325,6 +328,23 @@ def decode_example(buf: bytes) -> dict:
         return _decode_general(buf)
 
 
+def feature_order(buf: bytes) -> list[tuple[str, str]]:
+    """(name, kind) of a record's features, in its order; [] if it has none
+    or one without a value list."""
+    out = []
+    for num, _, feats in _fields(buf):
+        for fnum, _, entry in _fields(feats) if num == 1 else ():
+            parts = {enum: ev for enum, _, ev in _fields(entry)} if fnum == 1 else {}
+            kind = [k for k, _, _ in _fields(parts.get(2, b""))]
+            if 1 not in parts or len(kind) != 1 or kind[0] not in _KIND_NAMES:
+                return []
+            out.append((bytes(parts[1]).decode(), _KIND_NAMES[kind[0]]))
+    return out
+
+
+_KIND_NAMES = {1: "bytes", 2: "float", 3: "int"}
+
+
 def _decode_general(buf: bytes) -> dict:
     out = {}
     for num, _, feats in _fields(buf):
@@ -484,8 +504,9 @@ class TFRecordWriter(DataSourceArrowWriter):
 
 
 class TFRecordReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict, default_fs: str | None = None):
-        self.schema = schema
+    def __init__(self, schema: StructType, options: dict, default_fs: str | None = None,
+                 parallelism: int = 1):
+        self.schema, self.parallelism = schema, parallelism
         self.path, self.default_fs = options.get("path"), default_fs
         self.verify = options.get("verifyChecksums", "true").lower() == "true"
 
@@ -496,7 +517,10 @@ class TFRecordReader(DataSourceReader):
         whole = files.get_file_info(where).type == fs.FileType.File
         found = [where] if whole else [f for f in _listed(files, where)
                                        if f.endswith((".tfrecord.gz", ".tfrecord"))]
-        return [InputPartition(f) for f in found]
+        if not found:
+            return []
+        sizes = [i.size or 0 for i in files.get_file_info(found)]
+        return [InputPartition(group) for group in pack_files(found, sizes, self.parallelism)]
 
     def read(self, partition):
         """Yields Arrow record batches (one per chunk of records)."""
@@ -506,22 +530,47 @@ class TFRecordReader(DataSourceReader):
         fields = [(f.name, f.dataType) for f in self.schema.fields]
         arrow_schema = to_arrow_schema(self.schema)
         files, _ = store(self.path, self.default_fs)
-        zipped = partition.value.endswith(".gz")
-        with files.open_input_stream(partition.value, compression=None) as raw, \
-                (gzip.GzipFile(fileobj=raw) if zipped else io.BufferedReader(raw, 1 << 20)) as fh:
-            for payloads in read_record_chunks(fh, verify=self.verify):
-                cols = {name: [] for name, _ in fields}
-                for payload in payloads:
-                    ex = decode_example(payload)
-                    for name, dt in fields:
-                        vals = ex.get(name)
-                        if vals is None:
-                            cols[name].append(None)
-                        elif isinstance(dt, ArrayType):
-                            cols[name].append([_convert(v, dt.elementType) for v in vals])
-                        else:
-                            cols[name].append(_convert(vals[0], dt) if vals else None)
-                yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
+        kinds = {name: _kind(dt) for name, dt in fields}
+
+        def one_by_one(payloads):
+            cols = {name: [] for name, _ in fields}
+            for payload in payloads:
+                ex = decode_example(payload)
+                for name, dt in fields:
+                    vals = ex.get(name)
+                    if vals is None:
+                        cols[name].append(None)
+                    elif isinstance(dt, ArrayType):
+                        cols[name].append([_convert(v, dt.elementType) for v in vals])
+                    else:
+                        cols[name].append(_convert(vals[0], dt) if vals else None)
+            return pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
+
+        for name in partition.value:
+            with files.open_input_stream(name, compression=None) as raw, \
+                    (gzip.GzipFile(fileobj=raw) if name.endswith(".gz")
+                     else io.BufferedReader(raw, 1 << 20)) as fh:
+                for payloads in read_record_chunks(fh, verify=self.verify):
+                    yield decode_columns(payloads, arrow_schema, kinds, feature_order, one_by_one)
+
+
+#: what a task reads at most of small files, and what opening a file is worth
+MAX_TASK_BYTES, OPEN_BYTES = 128 << 20, 4 << 20
+
+
+def pack_files(paths: list[str], sizes: list[int], parallelism: int) -> list[list[str]]:
+    """Files grouped into input partitions, largest first: small files share
+    one while every core gets work; a file is never cut (GZIP)."""
+    total = sum(s + OPEN_BYTES for s in sizes)
+    limit = min(MAX_TASK_BYTES, max(OPEN_BYTES, -(-total // max(1, parallelism))))
+    out, held = [], limit + 1
+    for path, size in sorted(zip(paths, sizes), key=lambda x: (-x[1], x[0])):
+        if held + size + OPEN_BYTES > limit:
+            out.append([])
+            held = 0
+        out[-1].append(path)
+        held += size + OPEN_BYTES
+    return out
 
 
 def _convert(v, dt):
@@ -539,7 +588,8 @@ def _convert(v, dt):
 class TFRecordDataSource(DataSource):
     """``format("tfrecord")``: a schema is required for reading."""
 
-    default_fs: str | None = None                     # set by ``register``
+    default_fs: str | None = None                     # both set by ``register``
+    parallelism: int = 1
 
     @classmethod
     def name(cls):
@@ -549,7 +599,7 @@ class TFRecordDataSource(DataSource):
         raise ValueError("tfrecord reads need an explicit schema: .schema('a bigint, ...')")
 
     def reader(self, schema: StructType):
-        return TFRecordReader(schema, self.options, self.default_fs)
+        return TFRecordReader(schema, self.options, self.default_fs, self.parallelism)
 
     def writer(self, schema: StructType, overwrite: bool):
         return TFRecordWriter(schema, self.options, overwrite, self.default_fs)
@@ -562,7 +612,8 @@ def register(spark) -> None:
 
     ship_package(spark)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    bound = type("TFRecordDataSource", (TFRecordDataSource,), {"default_fs": conf.get("fs.defaultFS")})
+    bound = type("TFRecordDataSource", (TFRecordDataSource,), {
+        "default_fs": conf.get("fs.defaultFS"), "parallelism": spark.sparkContext.defaultParallelism})
     spark.dataSource.register(bound)
 
 

@@ -19,6 +19,10 @@ from recprep.functions.scalar import logistic_loss
 from recprep.operators.metrics import auc_from_buckets, threshold_bucket
 from recprep.session import staging_path
 
+STATE_SCHEMA = "bucket int, pos bigint, neg bigint, loss_sum double"
+#: committed states that stay on disk
+STATES_KEPT = 8
+
 
 def stream_examples(spark: SparkSession, path: str, schema: StructType | str,
                     max_files_per_trigger: int | None = None) -> DataFrame:
@@ -54,8 +58,8 @@ def metric_state(stream: DataFrame, logit: str = "logit", label: str = "label",
 def run_stream_metrics(stream: DataFrame, logit: str = "logit", label: str = "label",
                        num_thresholds: int = 200, state_path: str | None = None,
                        checkpoint: str | None = None, state_partitions: int = 4) -> str:
-    """Run N2 to the end of the input; each micro-batch replaces the state
-    table with the complete (bounded) bucket table. Returns its path.
+    """Run N2 to the end of the input; each micro-batch saves the complete
+    (bounded) bucket table as a new state (``save_state``). Returns the path.
 
     The state has at most ``num_thresholds`` rows whatever the input size
     (the heavy part, the per-batch partial aggregation, runs over all input
@@ -67,11 +71,8 @@ def run_stream_metrics(stream: DataFrame, logit: str = "logit", label: str = "la
     state_path = state_path or staging_path(spark, "metric-state")
     ck = checkpoint or staging_path(spark, "metric-ckpt")
 
-    def _save(batch: DataFrame, _epoch: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(state_path)
-
     writer = (metric_state(stream, logit, label, num_thresholds).writeStream
-              .outputMode("complete").foreachBatch(_save)
+              .outputMode("complete").foreachBatch(lambda batch, epoch: save_state(batch, epoch, state_path))
               .option("checkpointLocation", ck).trigger(availableNow=True))
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
@@ -83,9 +84,55 @@ def run_stream_metrics(stream: DataFrame, logit: str = "logit", label: str = "la
     return state_path
 
 
+def committed_epoch(spark: SparkSession, state_path: str) -> int | None:
+    """The last epoch whose state was saved whole; None if there is none."""
+    folder = _hadoop_path(spark, f"{state_path}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return max((int(n) for n in names if n.isdigit()), default=None)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def save_state(state: DataFrame, epoch: int, state_path: str, keep: int = STATES_KEPT) -> None:
+    """Save one epoch's state: its own folder first, then an empty commit file
+    named after the epoch. Readers follow the last commit, so they see a whole
+    state or the one before it, never a half-written one. An epoch that runs
+    again after its commit changes nothing; one that failed before its commit
+    is written anew. The last ``keep`` states stay, for readers still at work.
+    """
+    spark = state.sparkSession
+    last = committed_epoch(spark, state_path)
+    if last is not None and epoch <= last:
+        return
+    state.coalesce(1).write.mode("overwrite").parquet(f"{state_path}/epoch-{epoch}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    mark = _hadoop_path(spark, f"{state_path}/commits/{epoch}")
+    fs = mark.getFileSystem(conf)
+    fs.mkdirs(mark.getParent())
+    fs.create(mark, True).close()
+    # the commit file goes first: no reader is sent to a state that is being removed
+    for old in sorted(int(s.getPath().getName()) for s in fs.listStatus(mark.getParent())
+                      if s.getPath().getName().isdigit())[:-keep]:
+        fs.delete(_hadoop_path(spark, f"{state_path}/commits/{old}"), False)
+        fs.delete(_hadoop_path(spark, f"{state_path}/epoch-{old}"), True)
+
+
+def read_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The last committed state; an empty one before the first commit."""
+    epoch = committed_epoch(spark, state_path)
+    if epoch is None:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{state_path}/epoch-{epoch}")
+
+
 def metrics_from_state(spark: SparkSession, state_path: str, num_thresholds: int = 200) -> DataFrame:
-    """AUC and mean log-loss from the saved state."""
-    st = spark.read.parquet(state_path)
+    """AUC and mean log-loss from the last committed state."""
+    st = read_state(spark, state_path)
     auc = auc_from_buckets(st.select("bucket", "pos", "neg"), num_thresholds)
     loss = st.agg(F.try_divide(F.sum("loss_sum"), F.sum("pos") + F.sum("neg")).alias("log_loss")).first()
     return auc.withColumn("log_loss", F.lit(loss["log_loss"]).cast("double"))
