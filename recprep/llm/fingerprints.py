@@ -3,24 +3,25 @@
 A text's units are its words, cut every UNIT characters, so that text without
 spaces has units too. Its k-mers are runs of K units, shorter at the text's
 end; a k-mer's occurrence number tells repeats apart. One hash orders all numbered k-mers and
-its top bits deal them to BINS bins (one permutation in place of BINS). In
-each bin the L smallest are taken, put back into text order, and hashed as a
-tuple together with the bin. The list of these hashes is the signature: it
-changes when k-mers change and also when they change places, as edit distance
-does. The likeness of two signatures is the share of bins that agree, among
-bins that either has.
+the BINS permutations are that order begun at BINS evenly spaced points of the
+hash range, going round its end. Under each, the L smallest of the whole text
+are taken, put back into text order, and hashed as a tuple together with the
+permutation's number. The list of these hashes is the signature: it changes
+when k-mers change and also when they change places, as edit distance does.
+The likeness of two signatures is the share of permutations that agree.
 
 No Python, no explode and no shuffle: one array expression per text.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recprep.llm.common import let
+from recprep.llm.common import let, staged
 
 UNIT = 4
 K = 2
@@ -75,18 +76,32 @@ def _numbered(sorted_heads: Column) -> Column:
 
 
 def _entries(sorted_heads: Column) -> Column:
-    """The L smallest of every bin, in text order, hashed as a tuple."""
+    """Per permutation, the L smallest of the whole text in text order, hashed
+    as a tuple. Permutation j reads the circle of hashes from j / BINS on, so
+    its smallest are the next L heads there, beyond the end from the start."""
     def of(s: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(
             _bin(F.get(s, i).bitwiseXOR(F.get(s, i - 1))) != 0, F.lit(True)))
 
         def entry(i: Column) -> Column:
-            some = F.filter(F.slice(s, i + 1, L), lambda x: _bin(x) == _bin(F.get(s, i)))
+            some = F.transform(F.sequence(F.lit(0), F.least(F.lit(L), F.size(s)) - 1),
+                               lambda o: F.get(s, (i + o) % F.size(s)))
             placed = F.sort_array(F.transform(some, lambda x: F.struct(
                 x.bitwiseAND(F.lit(_PLACE)).alias("p"), F.shiftrightunsigned(x, _PLACE_BITS).alias("h"))))
-            return F.shiftleft(_bin(F.get(s, i)), 63 - _BIN_BITS).bitwiseOR(
-                F.xxhash64(F.transform(placed, lambda x: x["h"])).bitwiseAND(F.lit(_ENTRY)))
-        return F.transform(starts, entry)
+            return F.xxhash64(F.transform(placed, lambda x: x["h"])).bitwiseAND(F.lit(_ENTRY))
+
+        def numbered(first: Column, last: Column, value: Column) -> Column:
+            return F.when(first > last, F.array().cast("array<bigint>")).otherwise(F.transform(
+                F.sequence(first, last), lambda j: F.shiftleft(j, 63 - _BIN_BITS).bitwiseOR(value)))
+
+        def spread(at: Column) -> Column:
+            # a start serves the permutations after the bin before it, up to its own bin
+            each = F.transform(at, lambda i, t: let(entry(i), lambda value: numbered(
+                F.coalesce(_bin(F.get(s, F.get(at, t - 1))) + 1, F.lit(0).cast("bigint")), _bin(F.get(s, i)), value)))
+            rest = let(entry(F.lit(0)), lambda value: numbered(
+                _bin(F.get(s, F.size(s) - 1)) + 1, F.lit(BINS - 1).cast("bigint"), value))
+            return F.flatten(F.concat(each, F.array(rest)))
+        return let(starts, spread)
     return let(sorted_heads, of)
 
 
@@ -105,7 +120,8 @@ def signature(text: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the bins of either signature that agree; two empty ones: 1."""
+    """Share of the permutations that agree; an empty signature agrees with
+    empty ones only."""
     bins = F.size(F.array_union(F.transform(a, _bin), F.transform(b, _bin)))
     return F.when(bins == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / bins)
 
@@ -121,42 +137,52 @@ def fingerprints(df: DataFrame, text_col: str = "text", out_col: str = "fingerpr
     return df.withColumn(out_col, as_text(signature(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))))
 
 
+def _bounds(keys: DataFrame, ranges: int) -> list:
+    """About ``ranges`` real keys at even distances, and the greatest, in order
+    (as JSON values): taken from the keys alone, sorted over all tasks."""
+    step = max(1, keys.count() // ranges)
+    placed = keys.repartitionByRange("key").sortWithinPartitions("key").select(
+        "key", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+    picks = placed.where(F.col("at") % step == step - 1).select("key").union(keys.agg(F.max("key").alias("key")))
+    found = picks.where("key is not null").agg(F.to_json(F.array_sort(F.collect_set("key"))).alias("b")).first()
+    return json.loads(found["b"] or "[]")
+
+
 def with_next(df: DataFrame, id_col: str, text_col: str, make_columns) -> DataFrame:
     """(id, text, sig, next_text, next_sig): every row with the next one in
-    descending order of id, after the last the first; ties by text, nulls last.
-
-    One shuffle: ids are dealt to ranges whose upper bounds are real ids, and a
-    bound's row also goes, as a copy, to the end of the range above (the
-    greatest id's to the end of the lowest range), where it is only looked at.
+    descending order of id, after the last the first; rows of one id go by a
+    hash of their text, null ids come last.
+
+    One shuffle of the texts: keys (id, hash) are dealt to ranges whose upper
+    bounds are real keys, and a bound's row also goes, as a copy, to the end of
+    the range above (the greatest key's to the end of the lowest range), where
+    it is only looked at. An id that many rows share is cut by the hash; only
+    repeated rows stay together.
     """
     spark = df.sparkSession
     src = df.select(F.col(f"`{id_col}`").alias("id"),
-                    F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                    F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).withColumn(
+        "key", F.struct("id", F.xxhash64("text").alias("h")))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
-    ranges = RANGES_PER_TASK * tasks                  # so that hashing them to tasks comes out even
-    bounds = src.agg(F.percentile_approx("id", [(i + 1) / ranges for i in range(ranges)], 10000)
-                     .alias("b"), F.max("id").alias("top")).first()
-    upper = sorted(set(bounds["b"] or []) | ({bounds["top"]} if bounds["top"] is not None else set()))
-    if not upper:
-        upper = [0]
-    array = F.array(*[F.lit(u) for u in upper])
-    # the number of bounds below the id, found in two steps: ranges are (bound before, bound]
+    keys = staged(src.select("key"), "next-keys")
+    upper = _bounds(keys, RANGES_PER_TASK * tasks)    # so that hashing them to tasks comes out even
+    kind = f"array<{src.schema['key'].dataType.simpleString()}>"
+    # one literal each, however many bounds there are
+    literal = lambda some: F.from_json(F.lit(json.dumps(some)), kind)
+    # the number of bounds below the key, found in two steps: ranges are (bound before, bound]
     step = math.isqrt(len(upper)) + 1
-    below = lambda a: F.size(F.filter(a, lambda u: u < F.col("id")))
-    own = F.when(F.col("id").isNull(), F.lit(0)).otherwise(let(
-        F.greatest(below(F.array(*[F.lit(u) for u in upper[::step]])) - 1, F.lit(0)) * step,
-        lambda at: at + below(F.slice(array, at + 1, F.lit(step)))))
-    is_bound = F.array_contains(array, F.col("id"))
-    above = F.when(F.col("id") == upper[-1], F.lit(0)).otherwise(own + 1)
-    places = F.when(F.coalesce(is_bound, F.lit(False)), F.array(
-        F.struct(own.alias("range"), F.lit(False).alias("copy")),
-        F.struct(above.alias("range"), F.lit(True).alias("copy")))).otherwise(
-        F.array(F.struct(own.alias("range"), F.lit(False).alias("copy"))))
-    # without an id all rows form the one range, whose first row follows the last
-    dealt = (src.withColumn("place", F.explode(places)).select("id", "text", "place.range", "place.copy")
-                .repartition(tasks, "range"))
+    below = lambda a: F.size(F.filter(a, lambda u: u < F.col("key")))
+    own = let(F.greatest(below(literal(upper[::step])) - 1, F.lit(0)) * step,
+              lambda at: at + below(F.slice(literal(upper), at + 1, F.lit(step))))
+    ranged = src.withColumn("own", own)
+    above = F.when(F.col("own") == len(upper) - 1, F.lit(0)).otherwise(F.col("own") + 1)
+    mine = F.struct(F.col("own").alias("range"), F.lit(False).alias("copy"))
+    places = F.when(F.get(literal(upper), F.col("own")) == F.col("key"), F.array(
+        mine, F.struct(above.alias("range"), F.lit(True).alias("copy")))).otherwise(F.array(mine))
+    dealt = (ranged.withColumn("place", F.explode(places)).select("id", "text", "key", "place.range", "place.copy")
+                   .repartition(tasks, "range"))
     dealt = make_columns(dealt)
-    order = Window.partitionBy("range").orderBy("copy", F.col("id").desc_nulls_last(), "text")
+    order = Window.partitionBy("range").orderBy("copy", F.col("key").desc(), "text")
     return dealt.withColumn("next_text", F.lead("text").over(order)).withColumn(
         "next_sig", F.lead("sig").over(order)).where("not copy")
 
@@ -164,13 +190,13 @@ def with_next(df: DataFrame, id_col: str, text_col: str, make_columns) -> DataFr
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text: the last third (by
     code points, rounded down) replaced by as many first code points of the
-    next document, or all it has; next is by descending id, ties by text, null
-    ids last, and after the last row the first.
+    next document, or all it has; next is by descending id, ties by a hash of
+    the text, null ids last, and after the last row the first.
 
     Columns: the id, ``n_chars``, ``edited_sha256``, ``fingerprint``,
     ``edited_fingerprint``, ``near_edited``, ``near_next``. Null text counts as
-    empty; a row that has no next (a table of rows without ids) is followed by
-    the empty text. Repeated rows are kept; other columns are ignored.
+    empty; the only row of a table follows itself. Repeated rows are kept; other
+    columns are ignored.
     """
     rows = with_next(df, id_col, text_col, lambda d: d.withColumn("sig", signature(F.col("text"))))
     n = F.char_length("text")

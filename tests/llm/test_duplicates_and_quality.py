@@ -156,11 +156,9 @@ def brute_signature(text):
         if o:
             head = (_x64(("q", head), ("i", o)) & (1 << 64) - 1) >> 25
         heads.append(head << 24 | place)
-    bins = {}
-    for x in sorted(heads):
-        bins.setdefault(x >> 57, []).append(x)
     out = []
-    for b, xs in sorted(bins.items()):
+    for b in range(fingerprints.BINS):                # permutation b: the hashes from b / BINS on, round the end
+        xs = sorted(heads, key=lambda x: (x - (b << 57)) % (1 << 63))
         placed = sorted((x & (1 << 24) - 1, x >> 24) for x in xs[:fingerprints.L])
         v = (b << 57) | (_x64(*[("q", p[1]) for p in placed]) & (1 << 57) - 1)
         out.append(v - (1 << 64) if v >> 63 else v)
@@ -177,6 +175,47 @@ def test_signature_equals_brute_force(spark):
         assert r.s == brute_signature(r.t)
 
 
+def test_swapped_halves_lower_the_likeness_of_short_texts(spark):
+    rnd = random.Random(8)
+    for words in (10, 20, 40, 80):
+        rows = []
+        for i in range(40):
+            t = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(words)]
+            rows.append((i, " ".join(t), " ".join(t[words // 2:] + t[:words // 2])))
+        df = spark.createDataFrame(rows, "i int, a string, b string")
+        near = df.select(fingerprints.likeness(fingerprints.signature(F.col("a")),
+                                               fingerprints.signature(F.col("b"))).alias("x"))
+        assert near.agg(F.avg("x")).first()[0] < 0.5
+        same = df.select(fingerprints.likeness(fingerprints.signature(F.col("a")),
+                                               fingerprints.signature(F.col("a"))).alias("x"))
+        assert same.agg(F.min("x")).first()[0] == 1.0
+
+
+def test_rows_of_one_id_are_cut_and_many_ranges_are_cheap(spark):
+    rows = [(7 if i % 3 else i, f"text {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        dealt = fingerprints.with_next(df, "doc_id", "text", lambda d: d.withColumn("sig", F.lit(None)))
+        order = sorted(rows, key=lambda r: (-r[0], -_x64(("s", r[1].encode()))))
+        want = {r[1]: order[(i + 1) % len(order)][1] for i, r in enumerate(order)}
+        got = dealt.select("text", "next_text", "range").collect()
+        assert len(got) == 3000 and all(want[r.text] == r.next_text for r in got)
+        sizes = {}
+        for r in got:
+            sizes[r.range] = sizes.get(r.range, 0) + 1
+        assert max(sizes.values()) < 100
+        spark.conf.set("spark.sql.shuffle.partitions", "8000")
+        import time
+        began = time.time()
+        plan = fingerprints.with_next(df, "doc_id", "text", lambda d: d.withColumn("sig", F.lit(None)))
+        plan._jdf.queryExecution().optimizedPlan().toString()
+        assert time.time() - began < 30
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_edited_texts_follow_the_next_document(spark):
     rnd = random.Random(7)
     for n in (1, 2, 60):
@@ -186,7 +225,7 @@ def test_edited_texts_follow_the_next_document(spark):
         rows.append(rows[-2])                         # a repeated row
         df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string").repartition(3)
         got = fingerprints.edited_fingerprints(df).collect()
-        order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+        order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -_x64(("s", (r[1] or "").encode()))))
         want = []
         for i, r in enumerate(order):
             t, nxt = r[1] or "", order[(i + 1) % len(order)][1] or ""
