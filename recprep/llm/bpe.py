@@ -36,8 +36,11 @@ SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 #: answers about arcs remembered per Python worker: two to this power
 ARC_BITS = 21
 
-#: chunks of text remembered per Python worker
-MEMO_ENTRIES = 500_000
+#: bytes of chunks and their ids remembered per Python worker (about), what one
+#: entry takes besides, and the longest chunk that is remembered
+MEMO_BYTES = 96 << 20
+ENTRY_BYTES = 140
+LONGEST_CHUNK = 100
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -129,7 +132,7 @@ class Encoder:
 
     Every prefix of a word has exactly one accepted path, so one pass from
     left to right over table transitions finds the state at each byte. Words
-    already encoded are remembered, about MEMO_ENTRIES of them.
+    already encoded are remembered, about MEMO_BYTES of them, long ones never.
     """
 
     def __init__(self, auto: MergeAutomaton):
@@ -142,6 +145,7 @@ class Encoder:
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         #: chunk between single spaces -> packed ids of the chunk after a space
         self.chunks: dict[str, bytes] = {}
+        self.held, self.long = 0, []         # bytes remembered; chunks to forget after this call
         self.leads = np.array(auto.leads, dtype=np.int64)
         self.size = np.array([len(b) for b in auto.labels], dtype=np.int64)
         # prefix tree of the labels: rows of 256 children, nodes without children last
@@ -303,6 +307,9 @@ class Encoder:
         alone = dict(zip(others, ids[len(letters):]))
         known.update([(c, known[c[:-1]] + alone[c[-1]]) for c in ended])
         known.update([(c, b"".join([alone[w] for w in p])) for c, p in odd.items()])
+        new = [*letters, *ended, *odd]
+        self.long = [c for c in new if len(c) > LONGEST_CHUNK]
+        self.held += sum(ENTRY_BYTES + len(c) + len(known[c]) for c in new if len(c) <= LONGEST_CHUNK)
         return alone
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -320,14 +327,17 @@ class Encoder:
                     chunks.update(got[1])
                     sections.append(got)
             plan.append(sections)
-        if len(self.chunks) > MEMO_ENTRIES:
+        if self.held > MEMO_BYTES:
             self.chunks = {c: self.chunks[c] for c in chunks if c in self.chunks}
+            self.held = sum(ENTRY_BYTES + len(c) + len(i) for c, i in self.chunks.items())
         alone = self._learn({c for c in chunks if c not in self.chunks}, words)
         word, chunk, out = alone.__getitem__, self.chunks.__getitem__, []
         for sections in plan:
             out.append(b"".join([s if isinstance(s, bytes) else
                                  b"".join(map(word, s[0])) + b"".join(map(chunk, s[1]))
                                  for s in sections]))
+        for c in self.long:
+            self.chunks.pop(c, None)
         return out
 
 

@@ -165,3 +165,35 @@ def test_pieces_of_long_masked_examples_are_right(spark):
             at += p.length
         assert at == len(ids)
     assert got.groupby("sequence_id").loss_tokens.sum().max() <= 20
+
+
+def test_space_poor_text_is_not_remembered():
+    import json
+    import random
+
+    import public_tokenizers
+    import tokenizers
+
+    from recprep.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = bpe.Encoder(bpe.load_automaton(f.read()))
+    lib = tokenizers.Tokenizer.from_file(path)
+    lib.no_truncation(), lib.no_padding()
+    rnd = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(3000)) + " short words " + "汉字" * 300 + ". " + "x" * 200 + ","
+             for _ in range(40)]
+    got = encoder(texts)
+    assert [list(memoryview(g).cast("I")) for g in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, encoder.chunks), default=0) <= bpe.LONGEST_CHUNK
+    assert encoder.held < 40 * 2000
+    old, bpe.MEMO_BYTES = bpe.MEMO_BYTES, 1000
+    try:
+        for i in range(50):
+            words = " ".join(f"w{i}q{j}z" for j in range(20))
+            assert list(memoryview(encoder([words])[0]).cast("I")) == lib.encode(words, add_special_tokens=False).ids
+        assert len(encoder.chunks) <= 60
+    finally:
+        bpe.MEMO_BYTES = old
