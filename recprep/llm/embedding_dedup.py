@@ -16,6 +16,10 @@ is cut into cells, and every pair of cells meets in a group of its own, so no
 task holds a large bucket. A pair that shares several segments counts in the
 first of them only. Equal vectors are one row with a count. Groups return
 counts and a spanning forest of their links, never their pairs.
+
+Groups meet twice. First they get codes, factors and rotated vectors of a byte
+per component, and tell which of their rows have a pair that the estimates do
+not rule out; then those rows alone come back with their exact vectors.
 """
 
 from __future__ import annotations
@@ -59,70 +63,104 @@ def plan(rows: int, threshold: float, miss: float = MISS) -> tuple[int, int]:
     return bits, math.ceil(math.log(miss) / math.log(1 - agree ** bits))
 
 
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """The rows of a list column without nulls, all of one length."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+
+
+def _bytes(rows: np.ndarray) -> pa.Array:
+    """A binary value per row of a matrix."""
+    flat = np.ascontiguousarray(rows)
+    width = flat.shape[1] * flat.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(flat), [
+        None, pa.py_buffer(np.arange(len(flat) + 1, dtype=np.int32) * width), pa.py_buffer(flat.tobytes())])
+
+
 def encode(df: DataFrame, vector_col: str, dim: int, bits: int, tables: int) -> DataFrame:
-    """Append ``code`` (the signs under the first rotation, packed), ``factor``
-    (its correction factor) and ``segments`` (one number per table)."""
+    """Append ``signs`` (under all rotations, packed; the first ``dim`` are the
+    code), ``factor`` (the code's correction factor), ``turned`` (the vector
+    under the first rotation in steps of ``step``, a byte each), ``unit`` (the
+    unit vector, exact) and ``segments`` (one number per table)."""
     turns = math.ceil(tables * bits / dim)
-    fields = [T.StructField("code", T.BinaryType()), T.StructField("factor", T.DoubleType()),
-              T.StructField("segments", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("signs", T.BinaryType()), T.StructField("factor", T.DoubleType()),
+              T.StructField("turned", T.BinaryType()), T.StructField("step", T.DoubleType()),
+              T.StructField("unit", T.BinaryType()), T.StructField("segments", T.ArrayType(T.LongType()))]
 
     def make():
         rotations = [rotation(dim, k) for k in range(turns)]
-        weights = (1 << np.arange(bits, dtype=np.int64))
 
         def rows(vectors):
-            if not vectors:
-                return [[], [], []]
-            x = np.array(vectors, dtype=np.float64)
+            x = _matrix(vectors)
+            # by a power of two, which is exact, so that no square overflows or vanishes
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             turned = [x @ r.T for r in rotations]
-            signs = np.concatenate([t > 0 for t in turned], axis=1)[:, :tables * bits]
-            segments = signs.reshape(len(x), tables, bits) @ weights
-            code = np.packbits(turned[0] > 0, axis=1)
+            signs = np.concatenate([t > 0 for t in turned], axis=1)
             factor = np.abs(turned[0]).sum(axis=1) / math.sqrt(dim)
-            return [[c.tobytes() for c in code], pa.array(factor), segments.tolist()]
+            step = np.abs(turned[0]).max(axis=1) / 127
+            near = np.rint(turned[0] / step[:, None]).astype(np.int8)
+            segments = segments_of(signs, bits, tables)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(x) + 1, dtype=np.int32) * tables), pa.array(segments.ravel()))
+            return [_bytes(np.packbits(signs, axis=1)), pa.array(factor), _bytes(near), pa.array(step),
+                    _bytes(x), lists]
         return rows
 
-    return append_columns(df, [vector_col], fields, make)
+    return append_columns(df, [vector_col], fields, make, raw=True)
 
 
-class Cell:
-    """One side of a group: ids, weights, unit vectors, codes and segments."""
+def segments_of(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """The number that each table's bits make, row by row."""
+    return signs[:, :tables * bits].reshape(len(signs), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
 
-    def __init__(self, t: pa.Table):
-        self.id = t.column("id").to_numpy()
-        self.weight = t.column("copies").to_numpy()
-        x = np.array(t.column("vector").to_pylist(), dtype=np.float64)
-        self.x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        self.code = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(len(x), -1)
-        self.factor = t.column("factor").to_numpy()
-        self.segments = np.array(t.column("segments").to_pylist(), dtype=np.int64)
 
+class Cell:
+    """One side of a group: ids, codes, rotated vectors and segments and, at
+    the second meeting, weights and exact unit vectors."""
 
-def linked_pairs(a: Cell, b: Cell, turn: np.ndarray, table: int, threshold: float,
-                 same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i of a, j of b) of all pairs at or above the threshold that meet
-    first in segment ``table``."""
-    dim = a.x.shape[1]
-    signs = (np.unpackbits(b.code, axis=1)[:, :dim].astype(np.float64) * 2 - 1) / math.sqrt(dim)
-    found_i, found_j = [], []
-    error = ERRORS * np.sqrt(np.maximum(1 - b.factor ** 2, 0) / b.factor ** 2 / max(1, dim - 1))
+    def __init__(self, t: pa.Table, dim: int, bits: int, tables: int):
+        def rows(name, kind):
+            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind).reshape(t.num_rows, -1)
+
+        self.id = t.column("id").to_numpy()
+        self.factor, self.step = t.column("factor").to_numpy(), t.column("step").to_numpy()
+        signs = np.unpackbits(rows("signs", np.uint8), axis=1) if t.num_rows else np.zeros((0, dim), np.uint8)
+        self.code = (signs[:, :dim].astype(np.float32) * 2 - 1) / np.float32(math.sqrt(dim))
+        self.segments = segments_of(signs, bits, tables) if t.num_rows else np.zeros((0, tables), np.int64)
+        # only rows that ask carry it: those of the low cell
+        self.turned = rows("turned", np.int8) if t.num_rows and not t.column("turned").null_count else None
+        if "unit" in t.schema.names and t.num_rows:
+            self.x, self.weight = rows("unit", np.float64), t.column("copies").to_numpy()
+
+
+def open_pairs(a: Cell, b: Cell, table: int, threshold: float, same: bool):
+    """Rows (i of a, j of b), some at a time, of the pairs that meet first in
+    segment ``table`` and whose estimate leaves it open whether they link."""
+    dim = b.code.shape[1]
+    sure = ERRORS * np.sqrt(np.maximum(1 - b.factor ** 2, 0) / max(1, dim - 1))
     for at in range(0, len(a.id), 256):
-        turned = a.x[at:at + 256] @ turn.T
-        estimate = (turned @ signs.T) / b.factor
-        maybe = estimate + error >= threshold
+        step = a.step[at:at + 256, None]
+        dot = (a.turned[at:at + 256].astype(np.float32) @ b.code.T) * step
+        # half a step of rounding in every component; and of the single-precision product
+        maybe = dot + sure + step * math.sqrt(dim) / 2 + 1e-5 >= threshold * b.factor
         if same:
-            maybe &= np.arange(at, at + len(turned))[:, None] < np.arange(len(b.id))[None, :]
+            maybe &= np.arange(at, at + len(dot))[:, None] < np.arange(len(b.id))[None, :]
         i, j = np.nonzero(maybe)
         i += at
-        if len(i):
-            exact = np.einsum("ij,ij->i", a.x[i], b.x[j]) >= threshold
-            i, j = i[exact], j[exact]
-            first = (a.segments[i] == b.segments[j]).argmax(axis=1) == table
-            found_i.append(i[first])
-            found_j.append(j[first])
-    none = np.zeros(0, dtype=np.int64)
-    return (np.concatenate(found_i), np.concatenate(found_j)) if found_i else (none, none)
+        first = (a.segments[i] == b.segments[j]).argmax(axis=1) == table
+        if first.any():
+            yield i[first], j[first]
+
+
+def linked_pairs(a: Cell, b: Cell, table: int, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i of a, j of b) of all pairs at or above the threshold that meet
+    first in segment ``table``."""
+    found_i, found_j = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for i, j in open_pairs(a, b, table, threshold, same):
+        exact = np.einsum("ij,ij->i", a.x[i], b.x[j]) >= threshold
+        found_i.append(i[exact])
+        found_j.append(j[exact])
+    return np.concatenate(found_i), np.concatenate(found_j)
 
 
 def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[list, list]:
@@ -181,17 +219,19 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         links = found.where("b is null").groupBy(F.col("a").alias("n")).agg(F.sum("links").alias("links"))
         roots = components(found.where("b is not null"), "a", "b")
         rooted = nodes.join(roots, nodes["id"] == roots["node"], "left").select(
-            "label", "vector", "id", "first", "copies", F.coalesce("root", "id").alias("root"))
+            nodes["id"], "first", "copies", F.coalesce("root", "id").alias("root"))
         names = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("name"))
         named = (rooted.join(names, F.col("root") == F.col("r"))
                        .join(links, F.col("id") == F.col("n"), "left")
-                       .select(F.col("label").alias("l"), F.col("vector").alias("v"), "name",
+                       .select(F.col("id").alias("node"), "name",
                                (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
     else:
-        named = nodes.select(F.col("label").alias("l"), F.col("vector").alias("v"),
-                             F.col("first").alias("name"), F.lit(0).cast("long").alias("links"))
-    good = rows.where("fine").join(named, (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v"))).select(
-        "id", "links", "name")
+        named = nodes.select(F.col("id").alias("node"), F.col("first").alias("name"), F.lit(0).cast("long").alias("links"))
+    # vectors meet here once; names and links then come by the node's number
+    member = rows.where("fine").join(nodes.select(F.col("label").alias("l"), F.col("vector").alias("v"),
+                                                  F.col("id").alias("of")),
+                                     (F.col("label") == F.col("l")) & (F.col("vector") == F.col("v"))).select("id", "of")
+    good = member.join(named, F.col("of") == F.col("node")).select("id", "links", "name")
     rest = rows.where("not fine").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("name"))
     return good.union(rest).select(F.col("id").alias(id_col), F.col("links").alias("n_links"),
                                    F.col("name").alias("component_id"),
@@ -201,11 +241,13 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 def _link(nodes: DataFrame, dim: int, threshold: float, miss: float) -> DataFrame:
     """(a, b, links): with a null b, rows of a's other linked rows in one
     group; else an edge of a spanning forest."""
+    key = ["label", "table", "segment", "low", "high"]
     most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(most, threshold, miss)
     coded = staged(encode(nodes.select("id", "label", "copies", "vector"), "vector", dim, bits, tables),
                    "vector-codes")
-    spots = coded.select("*", F.posexplode("segments").alias("table", "segment"))
+    spots = coded.select("id", "label", "signs", "factor", "turned", "step",
+                         F.posexplode("segments").alias("table", "segment"))
     # how many cells each large bucket needs; the others are one cell
     buckets = (coded.select("label", F.posexplode("segments").alias("table", "segment"))
                     .groupBy(F.col("label").alias("bl"), F.col("table").alias("bt"), F.col("segment").alias("bs"))
@@ -220,20 +262,41 @@ def _link(nodes: DataFrame, dim: int, threshold: float, miss: float) -> DataFram
         F.least(F.col("cell"), o).alias("low"), F.greatest(F.col("cell"), o).alias("high")))
     met = placed.withColumn("g", F.explode(groups)).select(
         "label", "table", "segment", F.col("g.low").alias("low"), F.col("g.high").alias("high"), "cell",
-        "id", "copies", "vector", "code", "factor", "segments")
-    # dealt by the whole group key: the cells of a large bucket go to many tasks
-    met = met.repartition("label", "table", "segment", "low", "high")
-    schema = "a long, b long, links long"
+        "id", "signs", "factor", F.when(F.col("cell") == F.col("g.low"), F.col("turned")).alias("turned"), "step")
 
-    def run(t: pa.Table) -> pa.Table:
+    def sides(t: pa.Table) -> tuple[Cell, Cell, int]:
         low, high, table = (t.column(c)[0].as_py() for c in ("low", "high", "table"))
         cell = t.column("cell").to_numpy()
-        a = Cell(t.filter(pa.array(cell == low)))
-        b = a if low == high else Cell(t.filter(pa.array(cell == high)))
+        a = Cell(t.filter(pa.array(cell == low)), dim, bits, tables)
+        return a, a if low == high else Cell(t.filter(pa.array(cell == high)), dim, bits, tables), table
+
+    def ask(t: pa.Table) -> pa.Table:
+        a, b, table = sides(t)
+        in_a, in_b = np.zeros(len(a.id), dtype=bool), np.zeros(len(b.id), dtype=bool)
+        if len(a.id) and len(b.id):
+            for i, j in open_pairs(a, b, table, threshold, a is b):
+                in_a[i] = True
+                in_b[j] = True
+        ids = a.id[in_a | in_b] if a is b else np.concatenate([a.id[in_a], b.id[in_b]])
+        low, high, segment = (t.column(c)[0].as_py() for c in ("low", "high", "segment"))
+        cell = np.full(len(ids), high, dtype=np.int32)
+        cell[:len(ids) if a is b else in_a.sum()] = low
+        same = lambda v, kind: pa.array(np.full(len(ids), v), kind)
+        return pa.table({"k": pa.array(ids, pa.int64()), "table": same(table, pa.int32()),
+                         "segment": same(segment, pa.int64()), "low": same(low, pa.int32()),
+                         "high": same(high, pa.int32()), "cell": pa.array(cell, pa.int32())})
+
+    # dealt by the whole group key: the cells of a large bucket go to many tasks
+    asked = met.repartition(*key).groupBy(*key).applyInArrow(
+        ask, "k long, table int, segment long, low int, high int, cell int")
+    again = asked.join(coded.drop("segments", "vector"), F.col("k") == F.col("id")).drop("k").repartition(*key)
+
+    def run(t: pa.Table) -> pa.Table:
+        a, b, table = sides(t)
         if not len(a.id) or not len(b.id):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()),
                              "links": pa.array([], pa.int64())})
-        i, j = linked_pairs(a, b, rotation(dim, 0), table, threshold, a is b)
+        i, j = linked_pairs(a, b, table, threshold, a is b)
         if a is b:
             ids, weight, p, q = a.id, a.weight, i, j
         else:
@@ -248,4 +311,4 @@ def _link(nodes: DataFrame, dim: int, threshold: float, miss: float) -> DataFram
             "b": pa.array([None] * len(some) + ids[y].tolist(), pa.int64()),
             "links": pa.array(np.concatenate([count[some], np.zeros(len(x))]).astype(np.int64))})
 
-    return met.groupBy("label", "table", "segment", "low", "high").applyInArrow(run, schema)
+    return again.groupBy(*key).applyInArrow(run, "a long, b long, links long")

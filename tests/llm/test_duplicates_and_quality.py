@@ -119,6 +119,31 @@ def test_vectors_link_as_brute_force(spark, monkeypatch, cell):
     assert embedding_dedup.near_duplicates(df.where(F.lit(False))).count() == 0
 
 
+@pytest.mark.parametrize("dim, miss", [(24, 1e-6), (64, 1e-3)])
+def test_vectors_of_many_segment_bits_link_as_brute_force(spark, monkeypatch, dim, miss):
+    """Several bits per segment, cut buckets, a third of the rows near-equal."""
+    monkeypatch.setattr(embedding_dedup, "CELL", 64)
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((700, dim))
+    vectors = np.concatenate([base, base[:150] + 0.1 * rng.standard_normal((150, dim)),
+                              base[0] + 0.12 * rng.standard_normal((400, dim)),
+                              base[5] * np.array([[1e-200], [1e200]]), base[:3]])
+    assert embedding_dedup.plan(len(vectors), 0.93, miss)[0] >= 4
+    df = spark.createDataFrame([(i, v.tolist(), 7) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.near_duplicates(df, miss=miss).toPandas().set_index("vec_id").sort_index()
+    x = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    found, links = got.n_links.to_numpy(), near.sum(axis=1)
+    assert (found <= links).all() and found.sum() >= 0.995 * links.sum()
+    if miss < 1e-5:
+        root = classes(len(vectors), list(zip(*np.nonzero(near))))
+        assert (found == links).all() and got.component_id.tolist() == list(root)
+    assert got.n_links[700 + 150 + 400] >= 2
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(8)
     turn = embedding_dedup.rotation(64, 0)
