@@ -102,8 +102,8 @@ def _unpack(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches()[0]
 
 
-def _blocks(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """The bucketed table of blocks: ``block``, ``blob`` (its rows), ``ids``,
+def _blocks(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> str:
+    """Write the bucketed table of blocks and return its name. Columns: ``block``, ``blob`` (its rows), ``ids``,
     and ``lang`` / ``keys``, the n-grams it asks for in each language."""
     spark = df.sparkSession
     ship_package(spark)
@@ -154,7 +154,7 @@ def _blocks(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFra
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.mapInArrow(run, out).write.bucketBy(n, "block").option("compression", "zstd")
        .option("path", staging_path(spark, "quality-blocks")).saveAsTable(name))
-    return spark.table(name)
+    return name
 
 
 def _arrow_schema(s: T.StructType) -> pa.Schema:
@@ -312,10 +312,13 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     cols = [c for c in df.columns if c not in results]
     keep = [c for c in (keep or cols) if c not in results]
     src = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, id_col, text_col, lang_col])])
-    blocks = _blocks(src, id_col, text_col, lang_col)
+    spark = df.sparkSession
+    name = _blocks(src, id_col, text_col, lang_col)
+    blocks = spark.table(name)
     model = staged(fit(_count_grams(blocks, trusted, id_col, text_col, lang_col)), "quality-model")
     wanted = list(dict.fromkeys([*keep, id_col, lang_col]))
     scored = staged(_score(blocks, model, src.schema, text_col, lang_col, wanted), "quality-scores")
+    spark.sql(f"DROP TABLE {name}")                          # the catalog's entry; all that follows reads the scores
     held = scored.where(F.col(id_col).isNotNull() & _held_out(F.col(id_col))).select(
         F.col(id_col).alias("h"), F.col(lang_col).alias("tl"), "perplexity")
     limits = (held.join(trusted.select(F.col(id_col).alias("t")).distinct(), F.col("h") == F.col("t"), "left_semi")

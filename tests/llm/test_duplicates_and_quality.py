@@ -373,6 +373,14 @@ def test_perplexity_equals_brute_force(spark, monkeypatch):
     assert quality.classify(df.where(F.lit(False)), trusted).count() == 0
 
 
+def test_no_table_of_blocks_is_left_in_the_catalog(spark):
+    df = spark.createDataFrame([(i, f"some words {i}", "en") for i in range(20)],
+                               "doc_id long, text string, lang string")
+    got = quality.classify(df, df.select("doc_id"))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("quality_blocks")]
+    assert got.count() == 20
+
+
 def test_threshold_is_the_quantile_of_held_out_trusted_texts(spark):
     import zlib
     rnd = random.Random(11)
