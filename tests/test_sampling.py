@@ -168,3 +168,45 @@ def test_draws_do_not_depend_on_how_arrivals_are_cut(spark, monkeypatch):
         monkeypatch.setattr(sampling, "TAIL_FACTOR", factor)
         results.append(sorted(map(tuple, sample_negatives(users, table, 12, 4).collect())))
     assert results[0] == results[1] == results[2] and len(results[0]) == 40 * 12
+
+
+def test_most_users_make_only_the_first_part_of_their_draws(spark, monkeypatch):
+    """A flat catalogue: the first part holds k distinct items, whichever path
+    is taken; the sample is that of all draws made at once."""
+    from recprep.operators import sampling
+    pop = spark.createDataFrame([(i, 3) for i in range(5000)], "book_id int, count long")
+    table = popularity_table(pop, "book_id")
+    users = spark.createDataFrame([(u, 2) for u in range(20)] + [(99, 4990)], "user_id int, n_pos long")
+    pos = spark.createDataFrame([(u, i) for u in range(20) for i in (u, u + 1)] + [(99, i) for i in range(4990)],
+                                "user_id int, book_id int")
+    made = []
+    draws = sampling.popularity_draws
+
+    def counted(users, *args, first=0, **kw):
+        made.append(users.selectExpr(f"sum(greatest(m - {first}, 0))").first()[0] or 0)
+        return draws(users, *args, first=first, **kw)
+
+    def samples():
+        return [sorted(map(tuple, sample_negatives_excluding(users, pos, table, 20, 3, max_positives=bound).collect()))
+                for bound in (None, 5000)]
+
+    monkeypatch.setattr(sampling, "popularity_draws", counted)
+    got = samples()
+    assert sum(made) <= 2 * (21 * 25 + 80 + 2 * 4990)
+    monkeypatch.setattr(sampling, "FIRST_DRAWS", 10_000)
+    assert got == samples() and got[0] == got[1] and len(got[0]) == 20 * 20 + 10
+
+
+def test_ranges_above_the_broadcast_bound_are_hashed(spark):
+    pop = spark.createDataFrame([(i, 3) for i in range(500)], "book_id int, count long")
+    table = popularity_table(pop, "book_id")
+    users = spark.range(0, 50).selectExpr("cast(id as int) user_id", "40 m")
+    want = sorted(map(tuple, popularity_draws(users, table, 3).collect()))
+    spark.conf.set("recprep.broadcast.maxRows", "10")
+    try:
+        draws = popularity_draws(users, table, 3)
+        plan = draws._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, draws.collect())) == want
+    finally:
+        spark.conf.unset("recprep.broadcast.maxRows")
