@@ -3,6 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+from recprep.operators import scoring
 from recprep.operators.scoring import (
     assemble_item_vector, dot_score, embedding_lookup, embedding_lookup_seq, mean_vector,
     score_candidates, tower_transform,
@@ -63,3 +64,43 @@ def test_score_candidates_builtin_and_model_fn(spark):
     user = score_candidates(df, model_fn=make, seq_len=4, n_cands=3).collect()
     assert sorted((r["position"], r["item"], r["score"]) for r in user) == \
         [(0, 3, 13.0), (1, 5, 15.0), (2, 7, 17.0)]
+
+
+def test_large_tables_are_scored_by_cells(spark, monkeypatch):
+    """Above the broadcast bounds: the same scores, and no exchange carries a
+    candidate with a vector; null and unknown items, users without a history
+    and repeated users and vectors as before."""
+    t = spark.createDataFrame([(i, [i / 7, i / 3, 1.0]) for i in [*range(1, 200), 5]], "vec_id int, embedding array<float>")
+    rows = [(u, [0, 1 + u % 60, 2 + u % 50, 300], [1 + (u * 7 + j) % 199 for j in range(30)] + [5, 999, None])
+            for u in range(60)]
+    rows += [(60, [0, 0, 0, 300], [3, 4]), (61, [1, 2, 3, 300], []), (7, [0, 0, 9, 300], [5, 6])]
+    df = spark.createDataFrame(rows, "user_id int, eval_seqs array<int>, candidate_items array<int>")
+
+    plans, write = {}, scoring.staged
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(scoring, "staged", noted)
+
+    def scores():
+        return score_candidates(df, item_vectors=t, mask_id=300).collect()
+
+    def key(r):
+        return r["user_id"], r["position"], r["item"] is None, r["item"] or 0, r["score"] is None, r["score"] or 0.0
+
+    want = scores()
+    assert list(plans) == ["item-vectors"]
+    spark.conf.set("recprep.broadcast.maxRows", "10")
+    try:
+        got = scores()
+    finally:
+        spark.conf.unset("recprep.broadcast.maxRows")
+    want, got = sorted(map(key, want)), sorted(map(key, got))
+    assert [w[:5] for w in want] == [g[:5] for g in got]
+    np.testing.assert_allclose([w[5] for w in want], [g[5] for g in got], rtol=1e-12)
+    plan = plans["grid-scores"]
+    top = plan[:plan.index("REPARTITION_BY_NUM")]
+    assert "ShuffledHashJoin" in top and "ENSURE_REQUIREMENTS" not in top
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
