@@ -90,7 +90,9 @@ def near_fingerprints(fps: DataFrame, col: str, max_bits: int) -> DataFrame:
         probes = p if probes is None else probes.union(p)
     if tables is None:
         return fps.select(F.col(col).alias("a"), F.col(col).alias("b")).limit(0)
-    p, t = probes.alias("p"), tables.alias("t")
+    # the optimizer sizes the probes like the fingerprints they come from, a
+    # ball smaller than they are; without the hint it would broadcast them
+    p, t = probes.hint("merge").alias("p"), tables.alias("t")
     pairs = p.join(t, (F.col("p.segment") == F.col("t.segment")) & (F.col("p.key") == F.col("t.key"))
                    & (F.col("a") != F.col("b"))
                    & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
