@@ -257,6 +257,7 @@ def _score(blocks: DataFrame, model: DataFrame, schema: T.StructType, text_col:
     """The kept columns of all rows and their ``perplexity``."""
     asks = (blocks.select("block", F.explode("asks").alias("a"))
                   .select("block", F.col("a.lang").alias("al"), F.explode("a.keys").alias("ak")))
+    asks = asks.hint("merge")     # sized by the optimizer like the blocks' lists before they are exploded: no broadcast
     answers = asks.join(model, (F.col("al") == F.col("lang")) & (F.col("ak") == F.col("key"))).select(
         F.col("block").alias("to"), "lang", "key", F.col("part").cast("float"), F.col("weight").cast("float"))
     out = T.StructType([schema[c] for c in keep] + [T.StructField("perplexity", T.DoubleType())])
