@@ -1,5 +1,5 @@
 """Scores of whole candidate lists against vectors that are too many to
-broadcast, and shuffle files that end with the write."""
+broadcast, their metrics, and shuffle files that end with the write."""
 
 import glob
 
@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from recprep.operators import list_scoring, scoring
+from recprep.operators.metrics import ranking_metrics, ranking_metrics_arrays
 from recprep.operators.scoring import score_candidates
+from recprep.plans.evaluation import _ranked_answers, evaluate_sequences
 from recprep.session import staged
 
 
@@ -75,6 +77,29 @@ def test_layout_names_every_row_group(spark, monkeypatch):
     assert ends[0][0] == 1 and ends[-1][1] == 5000 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_metrics_of_lists_as_in_the_long_form(spark):
+    nan = float("nan")
+    each = [[1.0, 1.0, 2.0], [nan, 3.0, nan, 4.0], [None, 1.0, None], [3.0, nan, None, 3.0], [0.0, -0.0, 0.0], [2.0],
+            [None], [1.0, float("inf"), None, float("-inf")]]
+    df = spark.createDataFrame(list(enumerate(each)), "user_id int, scores array<double>")
+    long = df.select("user_id", F.posexplode("scores").alias("position", "score")).withColumn(
+        "label", (F.col("position") == 0).cast("int"))
+    want = ranking_metrics(long, ks=(1, 2, 3)).first().asDict()
+    got = ranking_metrics_arrays(_ranked_answers(df), "scores", "labels", ks=(1, 2, 3)).first().asDict()
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("more", [(), ODD])
+def test_evaluation_above_the_bounds(spark, tmp_path, small_bounds, more):
+    lists(spark, more).write.parquet(str(tmp_path / "eval"))
+    got = evaluate_sequences(spark, str(tmp_path / "eval"), vectors(spark), mask_id=9000, ks=(2, 5))
+    assert ("Window" in got._jdf.queryExecution().optimizedPlan().toString()) == bool(more)
+    got = got.first().asDict()
+    spark.conf.unset("recprep.broadcast.maxRows")
+    want = evaluate_sequences(spark, str(tmp_path / "eval"), vectors(spark), mask_id=9000, ks=(2, 5)).first().asDict()
+    assert got == pytest.approx(want)
+
+
 def test_shuffle_files_end_with_the_write(spark):
     dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
 
